@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.dedupe import first_per_key
+
 
 def canonical_description(df: DataFrame, code: str, description: str) -> DataFrame:
     """One row per code with its shortest description.
 
     Length ignores trailing blanks; a NULL description sorts first and therefore wins
     (as in the source, where ``ORDER BY LEN(d)`` puts NULL first); equal lengths are
-    broken by the description text.  ``min`` of a struct is a plain hash aggregate with
-    map-side combining, so it needs neither a DISTINCT pass nor a sort and a hot code
-    costs one partial row per map task.
+    broken by the description text.  No DISTINCT pass is needed: the top-1 window is
+    pre-limited map-side (partial ``WindowGroupLimit``), so each code -- codes are few
+    and hot -- leaves every map task as a single row.
     """
-    d = F.col(description)
-    length = F.length(F.rtrim(d))
-    best = F.min(F.struct(length.isNotNull().alias("f0"), length.alias("len"),
-                          d.isNotNull().alias("f1"), d.alias("d")))
-    return df.groupBy(code).agg(best["d"].alias(description))
+    ranked = df.select(code, description, F.length(F.rtrim(F.col(description))).alias("_len"))
+    best = first_per_key(ranked, [code], [("_len", "asc"), (description, "asc")])
+    return best.select(code, description)
 
 
 def ambiguous_codes(df: DataFrame, code: str, description: str) -> DataFrame:

@@ -3,72 +3,40 @@
 The source rule leaves ties undefined; here the caller's order is completed with every
 remaining column, so the survivor is repeatable.
 
-Plan shape: when every order column can be expressed as an ascending struct field, the
-survivor is picked by ``min(struct(order..., payload...))`` in a hash aggregate.  That
-aggregate is combined map-side before the shuffle, so a key that holds a third of all
-rows reaches the reducer as one partial row per map task, and no sort is needed.  A
-descending string order falls back to ``row_number`` over a window, which Spark also
-pre-limits map-side (``WindowGroupLimit`` partial + final).
+Plan shape: ``row_number() = 1`` over a window is planned by Spark as a *partial*
+``WindowGroupLimit`` before the shuffle and a final one after it.  Each map task keeps
+only its best row per key, so a key holding a third of all rows reaches its reducer as
+at most one row per map task: skew is absorbed before the exchange.  (A ``min`` over a
+struct of the row would do the same logically, but a struct buffer is not fixed-width,
+so Spark can only run it as a sort-based aggregate, measured ~1.8x slower.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from strata.functions.expr import epoch_micros
 
 Order = Sequence[tuple[str, str]]  # (column, "asc" | "desc"); asc = NULLS FIRST, desc = NULLS LAST
 
 
-def _orderable_asc(c: Column, dtype: T.DataType, direction: str) -> tuple[Column, Column] | None:
-    """(null_flag, value) whose ascending order equals the requested order, or None when
-    the value cannot be flipped (descending strings)."""
-    if direction == "asc":
-        return c.isNotNull(), c  # NULL first
-    flag = c.isNull()  # NULL last
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                          T.DoubleType, T.DecimalType)):
-        return flag, -c
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return flag, -epoch_micros(c)
-    if isinstance(dtype, T.DateType):
-        return flag, -F.unix_date(c)
-    if isinstance(dtype, T.BooleanType):
-        return flag, ~c
-    return None
-
-
-def _complete_order(df: DataFrame, keys: Sequence[str], order: Order) -> list[tuple[str, str]]:
+def complete_order(columns: Sequence[str], keys: Sequence[str], order: Order) -> list[tuple[str, str]]:
+    """``order`` followed by every other non-key column ascending (a total order)."""
     named = [o[0] for o in order]
-    rest = [c for c in df.columns if c not in keys and c not in named]
+    rest = [c for c in columns if c not in keys and c not in named]
     return list(order) + [(c, "asc") for c in rest]
 
 
+def sort_columns(order: Order):
+    return [F.col(n).asc_nulls_first() if d == "asc" else F.col(n).desc_nulls_last() for n, d in order]
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Order = ()) -> DataFrame:
     """One row per ``keys`` value: the first under ``order`` completed by all other
     columns ascending.  Output has the input's columns in the input's order."""
-    keys = list(keys)
-    full_order = _complete_order(df, keys, order)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields: list[Column] = []
-    for i, (name, direction) in enumerate(full_order):
-        pair = _orderable_asc(F.col(name), types[name], direction)
-        if pair is None:
-            return _first_per_key_window(df, keys, full_order)
-        fields += [pair[0].alias(f"_f{i}"), pair[1].alias(f"_v{i}")]
-    payload = [c for c in df.columns if c not in keys]
-    best = F.min(F.struct(*fields, F.struct(*[F.col(c) for c in payload]).alias("_row")))
-    out = df.groupBy(*keys).agg(best.alias("_best"))
-    return out.select(*[F.col(k) if k in keys else F.col("_best._row")[k].alias(k) for k in df.columns])
-
-
-def _first_per_key_window(df: DataFrame, keys: Sequence[str], full_order: Order) -> DataFrame:
-    sort = [F.col(n).asc_nulls_first() if d == "asc" else F.col(n).desc_nulls_last() for n, d in full_order]
-    w = Window.partitionBy(*keys).orderBy(*sort)
+    full_order = complete_order(df.columns, keys, order)
+    w = Window.partitionBy(*keys).orderBy(*sort_columns(full_order))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -81,6 +49,6 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str], count_name: str = "n_copies") -> DataFrame:
-    """Keys that occur more than once, with their row count (aggregated map-side, so a
-    hot key is never gathered row by row)."""
+    """Keys that occur more than once, with their row count (a hash aggregate combined
+    map-side, so a hot key is never gathered row by row)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1)
