@@ -1,0 +1,45 @@
+"""File-driven incremental encounter load: each landed file is consumed once, existing
+silver rows never change, new encounters get the next keys."""
+
+import datetime as dt
+
+from strata.plans.refresh import run_refresh
+from strata.sources.tables import read_layer
+from strata.streaming.incremental import stream_encounters
+from test_refresh import ENC_H, write_batch, write_csv
+
+
+def _row(eid, patient, start, stop, cost="10.00"):
+    return (eid, start, stop, patient, "org-1", "pay-1", "ambulatory", "C1", "Checkup", cost, "20.00", "5.00",
+            None, None)
+
+
+def test_stream_incremental_insert(spark, tmp_path):
+    write_batch(tmp_path / "src", 1)
+    root = str(tmp_path / "wh")
+    run_refresh(spark, str(tmp_path / "src"), root, dt.datetime(2024, 1, 1), version="b1")
+    before = {r.encounter_id: r.encounter_key for r in read_layer(spark, root, "silver", "encounters").collect()}
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    ckpt = str(tmp_path / "stream-ckpt")
+
+    write_csv(landing / "day1.csv", ENC_H, [
+        _row("enc-10", "pat-1", "2021-06-01T09:00:00Z", "2021-06-01T09:30:00Z"),
+        _row("enc-1", "pat-1", "2021-01-01T10:00:59Z", "2021-01-01T10:01:00Z", cost="555.00")])
+    stream_encounters(spark, str(landing), root, ckpt, dt.datetime(2024, 1, 2)).awaitTermination()
+    after1 = {r.encounter_id: r for r in read_layer(spark, root, "silver", "encounters").collect()}
+    assert after1["enc-10"].encounter_key == max(before.values()) + 1
+    assert float(after1["enc-1"].base_encounter_cost) == 100.0          # re-sent id: unchanged
+    assert {k: after1[k].encounter_key for k in before} == before
+
+    write_csv(landing / "day2.csv", ENC_H, [_row("enc-11", "pat-2", "2021-06-02T09:00:00Z", "2021-06-02T09:10:00Z")])
+    stream_encounters(spark, str(landing), root, ckpt, dt.datetime(2024, 1, 3)).awaitTermination()
+    after2 = {r.encounter_id: r for r in read_layer(spark, root, "silver", "encounters").collect()}
+    assert after2["enc-11"].encounter_key == after1["enc-10"].encounter_key + 1
+    assert after2["enc-10"].recorded_at == dt.datetime(2024, 1, 2)
+
+    # nothing new landed: no batch runs, nothing changes
+    stream_encounters(spark, str(landing), root, ckpt, dt.datetime(2024, 1, 4)).awaitTermination()
+    after3 = {r.encounter_id: (r.encounter_key, r.recorded_at)
+              for r in read_layer(spark, root, "silver", "encounters").collect()}
+    assert after3 == {k: (v.encounter_key, v.recorded_at) for k, v in after2.items()}
