@@ -5,23 +5,25 @@
 1. range-partition the rows into ``num_partitions`` slices of the order key and sort
    inside each slice (one shuffle, spread over all tasks), then ``checkpoint()`` that
    result to the shared ``spark.checkpoint.dir``;
-2. count rows per slice: an aggregate with one row per slice;
-3. running offsets over those few rows (a window over ``num_partitions`` rows only);
-4. broadcast the offsets back (their size is the partition count, not the data) and
-   add each row's position inside its slice.
-
-The checkpoint matters for correctness: steps 2 and 4 are two branches of the plan,
-and if each planned its own range exchange each would sample its own range bounds, so
-the counts would not describe the slices being numbered.  Reading one written copy also
-means a task re-run after a lost executor sees exactly the same slice and order, so the
-keys never change.  Keys are contiguous and unique even with ties.
+2. count rows per slice (a hash aggregate over the checkpoint: one row per slice) and
+   turn the counts into running offsets.  The offsets are as many as the slices -- a
+   number chosen by the caller, not a property of the data -- so they are brought to
+   the driver and applied as an array literal;
+3. key = start + offset[slice] + position of the row inside its slice.  No join and
+   no window over the data.
+
+The checkpoint matters for correctness: the counted slices and the numbered slices
+must be the same rows in the same order.  Two separately planned range exchanges would
+each sample their own bounds; one written copy cannot disagree with itself, and a task
+re-run after a lost executor reads the same slice, so keys never change.  Keys are
+contiguous and unique even with ties.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
@@ -38,27 +40,33 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_name: str, start: int |
     """Add ``key_name`` = start + rank of the row under ``order`` (0-based).
 
     ``start`` is an int, or a one-row DataFrame whose single column holds the first key
-    (for example ``max(existing key) + 1``); that row is broadcast, a bounded size.
+    (for example ``next_key_start(existing)`` = ``max(key) + 1``).
     """
     n = _partitions(df, num_partitions)
     sort_cols = [F.col(c).asc_nulls_first() for c in order]
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols).checkpoint(eager=True)
-    tagged = (ranged.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    keyed = tagged.join(F.broadcast(offsets), "_pid")
+    per_slice = dict(ranged.groupBy(F.spark_partition_id().alias("p")).count().collect())  # <= n rows
+    slices = ranged.rdd.getNumPartitions()
+    offsets, running = [], 0
+    for p in range(slices):
+        offsets.append(running)
+        running += per_slice.get(p, 0)
+    first = _resolve_start(start)
+    pid = F.spark_partition_id()
+    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), pid + 1) if offsets else F.lit(0)
+    in_slice = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    key = (F.lit(first) + offset + in_slice).cast(key_type)
+    return ranged.select(*[F.col(c) for c in df.columns], key.alias(key_name))
+
+
+def _resolve_start(start: int | DataFrame) -> int:
+    """The first key: an int, or the single value of a one-row DataFrame (a global
+    aggregate such as ``max(key) + 1``, so fetching it is bounded)."""
     if isinstance(start, DataFrame):
-        base_col = start.columns[0]
-        keyed = keyed.crossJoin(F.broadcast(start.select(F.col(base_col).alias("_base"))))
-        base = F.col("_base")
-    else:
-        base = F.lit(int(start))
-    in_slice = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    key = (base + F.col("_off") + in_slice).cast(key_type)
-    return keyed.select(*[F.col(c) for c in df.columns], key.alias(key_name))
+        value = start.first()[0]
+        return 1 if value is None else int(value)
+    return int(start)
 
 
 def next_key_start(existing: DataFrame, key_name: str) -> DataFrame:

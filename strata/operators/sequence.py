@@ -35,10 +35,16 @@ def next_in_key(df: DataFrame, key: str, order: str | Sequence[str], value: str,
     b = df.withColumn("_bkt", bucket)
     inner = Window.partitionBy(key, "_bkt").orderBy(*order)
     with_next = b.withColumn("_nxt", F.lead(value).over(inner))
-    first_of = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(value).alias("v"))
-    firsts = b.groupBy(key, "_bkt").agg(F.min(first_of).alias("_first"))
+    if value == order[0]:
+        # the value is the leading order column: the bucket's first value is its min,
+        # a fixed-width hash aggregate combined map-side
+        first_value = F.min(value)
+    else:
+        first_value = F.min(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
+                                     F.col(value).alias("v")))["v"]
+    firsts = b.groupBy(key, "_bkt").agg(first_value.alias("_first"))
     across = Window.partitionBy(key).orderBy("_bkt")
-    boundary = firsts.select(key, "_bkt", F.lead(F.col("_first")["v"]).over(across).alias("_nb"))
+    boundary = firsts.select(key, "_bkt", F.lead("_first").over(across).alias("_nb"))
     return (with_next.join(boundary, [key, "_bkt"], "left")
             .withColumn(out, F.coalesce(F.col("_nxt"), F.col("_nb")))
             .drop("_bkt", "_nxt", "_nb"))
