@@ -28,8 +28,7 @@ from strata.operators import canonical, constraints, quality, refint
 from strata.operators.calendar import date_dimension
 from strata.operators.dedupe import duplicate_groups, first_per_key
 from strata.operators.keys import assign_keys
-from strata.operators.merge import (UNGUARDED, ensure_placeholder, incremental_insert,  # noqa: F401
-                                    infer_missing_members, upsert_scd1)
+from strata.operators.merge import ensure_placeholder, incremental_insert, infer_missing_members, upsert_scd1
 from strata.operators.outliers import cap_outliers, iqr_bounds
 from strata.operators.sequence import next_in_key
 from strata.plans import questions as Q
@@ -281,6 +280,27 @@ def q_placeholder_member(spark, d):
                                     "s_nationkey": -1, "s_acctbal": 0.0}, "supplier_key")
 
 
+# ---------------------------------------------------------------------- T1
+def q_silver_payers(spark, d):
+    """Silver payers through the warehouse's own load: the payer file lists the
+    suppliers in good standing (ids as text, state = nation key), the state lookup is
+    ``nation``, and payer ids used by ``lineitem`` but absent from the file become
+    inferred members after the key-0 placeholder."""
+    from strata.plans.silver import silver_payers
+
+    none = F.lit(None).cast("string")
+    s = table(spark, d, "supplier").filter(F.col("s_acctbal") > 0)
+    bronze = s.select(F.col("s_suppkey").cast("string").alias("Id"), F.col("s_name").alias("NAME"),
+                      none.alias("ADDRESS"), none.alias("CITY"),
+                      F.col("s_nationkey").cast("string").alias("STATE_HEADQUARTERED"),
+                      none.alias("ZIP"), none.alias("PHONE"))
+    states = table(spark, d, "nation").select(F.col("n_nationkey").alias("StateID"),
+                                              F.col("n_name").alias("StateName"),
+                                              F.col("n_nationkey").cast("string").alias("Abbreviation"))
+    used = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("PAYER"))
+    return silver_payers(bronze, used, None, BATCH1_TS, states=states)
+
+
 # ------------------------------------------------------------------- D1, T4/T5
 def q_date_dimension(spark, d):
     return date_dimension(table(spark, d, "orders"), "o_orderdate")
@@ -474,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_insert": q_incremental_insert,
     "inferred_members": q_inferred_members,
     "placeholder_member": q_placeholder_member,
+    "silver_payers": q_silver_payers,
     "date_dimension": q_date_dimension,
     "gold_dim": q_gold_dim,
     "gold_fact": q_gold_fact,

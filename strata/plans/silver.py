@@ -62,11 +62,12 @@ def silver_payers(bronze_payers: DataFrame, bronze_encounters: DataFrame, existi
     """Dedupe by Id, keep payers whose state is in the lookup, type-1 upsert, the key-0
     placeholder, then inferred members for payer ids used by encounters."""
     spark = bronze_payers.sparkSession
-    states = states if states is not None else us_states(spark)
+    # the built-in lookup is a fixed 50-row constant, so broadcasting it is bounded; a
+    # caller's lookup table is left to the planner's size check
+    states = F.broadcast(us_states(spark)) if states is None else states
     b = trim_ids(bronze_payers, ["Id", "NAME", "ADDRESS", "CITY", "STATE_HEADQUARTERED"])
     b = first_per_key(drop_null_keys(b, ["Id"]), ["Id"])
-    # the lookup is a fixed 50-row constant, so broadcasting it is bounded
-    src = b.join(F.broadcast(states), F.col("STATE_HEADQUARTERED") == F.col("Abbreviation"), "inner").select(
+    src = b.join(states, F.col("STATE_HEADQUARTERED") == F.col("Abbreviation"), "inner").select(
         F.col("Id").alias("payer_id"), F.col("NAME").alias("payer_name"), F.col("ADDRESS").alias("payer_address"),
         F.col("CITY").alias("payer_city"), F.col("STATE_HEADQUARTERED").alias("state_headquartered"),
         F.col("StateName").alias("payer_state"), F.col("ZIP").alias("zip"), F.col("PHONE").alias("phone"))

@@ -46,10 +46,23 @@ def _canon(names, rows):
     return [n.lower() for n in sorted(names, key=str.lower)], sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "smallint": "SMALLINT"}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper().replace(" ", "")
+    return SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
 def compare(spark, con, key: str, fn, sql: str, sf_dir: str) -> dict:
     sdf = fn(spark, sf_dir)
     s_names = sdf.columns
+    s_types = {f.name.lower(): _duck_type(f.dataType.simpleString()) for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
+    d_types = {c[0].lower(): str(c[1]).upper().replace(" ", "")
+               for c in con.execute(f"DESCRIBE {sql}").fetchall()} if sql else {}
     cur = con.execute(sql)
     d_names = [c[0] for c in cur.description]
     d_rows = cur.fetchall()
@@ -64,5 +77,9 @@ def compare(spark, con, key: str, fn, sql: str, sf_dir: str) -> dict:
         only_s = [r for r in sr if r not in ds][:3]
         only_d = [r for r in dr if r not in ss][:3]
         out["only_spark"], out["only_oracle"] = only_s, only_d
-    out["ok"] = out["names_match"] and out["values_match"]
+    type_diff = {k: (s_types[k], d_types.get(k)) for k in s_types if d_types.get(k) != s_types[k]}
+    out["types_match"] = not type_diff
+    if type_diff:
+        out["type_diff"] = type_diff
+    out["ok"] = out["names_match"] and out["values_match"] and out["types_match"]
     return out
