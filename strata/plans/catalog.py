@@ -301,6 +301,62 @@ def q_silver_payers(spark, d):
     return silver_payers(bronze, used, None, BATCH1_TS, states=states)
 
 
+def bronze_patients(spark: SparkSession, d: str) -> DataFrame:
+    """Patients file from ``customer``: id as text, the name as FIRST, the market
+    segment as RACE and its first letter as MARITAL (only 'M' is a known code)."""
+    none_s, none_d, none_g = F.lit(None).cast("string"), F.lit(None).cast("date"), F.lit(None).cast("decimal(9,6)")
+    c = table(spark, d, "customer")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("Id"), none_d.alias("BIRTHDATE"), none_d.alias("DEATHDATE"),
+        none_s.alias("PREFIX"), F.col("c_name").alias("FIRST"), none_s.alias("LAST"), none_s.alias("SUFFIX"),
+        none_s.alias("MAIDEN"), F.substring("c_mktsegment", 1, 1).alias("MARITAL"),
+        F.col("c_mktsegment").alias("RACE"), none_s.alias("ETHNICITY"), none_s.alias("GENDER"),
+        none_s.alias("BIRTHPLACE"), none_s.alias("ADDRESS"), none_s.alias("CITY"), none_s.alias("STATE"),
+        none_s.alias("COUNTY"), none_s.alias("ZIP"), none_g.alias("LAT"), none_g.alias("LON"))
+
+
+def bronze_encounters(spark: SparkSession, d: str) -> DataFrame:
+    """Encounters file from ``orders``: an encounter runs from the order date to its last
+    line's ship date; the payer is the order's lowest supplier key; CODE / DESCRIPTION are
+    status / priority; claim = sum of line prices, coverage = the order total.  Lines are
+    aggregated per order before the join (one row per order)."""
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.max("l_shipdate").alias("_stop"), F.min("l_suppkey").alias("_payer"),
+        F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("_claim"))
+    o = table(spark, d, "orders")
+    j = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    money = "decimal(10,2)"
+    return j.select(
+        F.col("o_orderkey").cast("string").alias("Id"), F.col("o_orderdate").alias("START"),
+        F.col("_stop").alias("STOP"), F.col("o_custkey").cast("string").alias("PATIENT"),
+        F.col("o_orderstatus").alias("ORGANIZATION"), F.col("_payer").cast("string").alias("PAYER"),
+        F.col("o_orderpriority").alias("ENCOUNTERCLASS"), F.col("o_orderstatus").alias("CODE"),
+        F.col("o_orderpriority").alias("DESCRIPTION"), F.col("o_totalprice").cast(money).alias("BASE_ENCOUNTER_COST"),
+        F.col("_claim").cast(money).alias("TOTAL_CLAIM_COST"), F.col("o_totalprice").cast(money).alias("PAYER_COVERAGE"),
+        F.lit(None).cast("string").alias("REASONCODE"), F.lit(None).cast("string").alias("REASONDESCRIPTION"))
+
+
+def q_silver_patients(spark, d):
+    """Silver patients through the warehouse's own load (dedupe, name and recode rules,
+    type-1 upsert into an empty table)."""
+    from strata.plans.silver import silver_patients
+
+    return silver_patients(bronze_patients(spark, d), None, BATCH1_TS)
+
+
+def q_silver_encounters(spark, d):
+    """Silver encounters through the warehouse's own load: IQR limit over all bronze
+    rows, canonical descriptions, patient / payer filters (NULL payer -> placeholder),
+    dedupe, key lookups, floors and caps, incremental insert into an empty table."""
+    from strata.plans.silver import silver_encounters, silver_patients
+
+    ensure_checkpoint_dir(spark)
+    bronze = bronze_encounters(spark, d).checkpoint(eager=True)  # bronze is a stored layer
+    patients = silver_patients(bronze_patients(spark, d), None, BATCH1_TS)
+    payers = q_silver_payers(spark, d)
+    return silver_encounters(bronze, patients, payers, None, BATCH1_TS)
+
+
 # ------------------------------------------------------------------- D1, T4/T5
 def q_date_dimension(spark, d):
     return date_dimension(table(spark, d, "orders"), "o_orderdate")
@@ -495,6 +551,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inferred_members": q_inferred_members,
     "placeholder_member": q_placeholder_member,
     "silver_payers": q_silver_payers,
+    "silver_patients": q_silver_patients,
+    "silver_encounters": q_silver_encounters,
     "date_dimension": q_date_dimension,
     "gold_dim": q_gold_dim,
     "gold_fact": q_gold_fact,
