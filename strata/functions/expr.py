@@ -84,13 +84,6 @@ def presence_flag(c: ColumnOrName) -> Column:
     return col(c).isNotNull()
 
 
-def trim_if_string(df_schema_type, c: ColumnOrName) -> Column:
-    """Trim only string columns; numeric keys are left as they are (no cast)."""
-    from pyspark.sql.types import StringType
-
-    return F.trim(col(c)) if isinstance(df_schema_type, StringType) else col(c)
-
-
 # ----------------------------------------------------------------------- date / time
 def epoch_micros(ts: ColumnOrName) -> Column:
     """Microseconds since 1970-01-01 of a wall-clock timestamp, independent of the

@@ -119,7 +119,3 @@ def ensure_placeholder(dim: DataFrame, row: Mapping[str, Any], surrogate_key: st
     one = spark.range(1).select(*[_typed_lit(row.get(c), types[c]).alias(c) for c in dim.columns])
     return dim.unionByName(keep_new(one, dim, surrogate_key))
 
-
-def with_columns_like(df: DataFrame, like: DataFrame) -> DataFrame:
-    """Cast and order ``df``'s columns as in ``like`` (for appends)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])

@@ -22,7 +22,6 @@ from strata.operators.keys import assign_keys
 from strata.operators.merge import (UNGUARDED, ensure_placeholder, incremental_insert, infer_missing_members,
                                     upsert_scd1)
 from strata.operators.outliers import cap_outliers, iqr_bounds
-from strata.operators.refint import keep_referenced
 from strata.sources.lookups import us_states
 from strata import schemas
 
@@ -131,14 +130,13 @@ def silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame,
     canon = canonical_description(b, "CODE", "DESCRIPTION").withColumnRenamed("DESCRIPTION", "_canon")
     b = b.withColumn("_payer", F.coalesce(F.col("PAYER"), F.lit(PLACEHOLDER_PAYER_ID)))
     b = drop_null_keys(b, ["Id"])
-    b = keep_referenced(b, "PATIENT", patients, "patient_id")
-    b = keep_referenced(b, "_payer", payers, "payer_id")
-    b = first_per_key(b, ["Id"])
+    # Referential filters before the dedupe.  Patients and payers are unique per id, so
+    # an inner join is the semi join *and* the key lookup: one join per dimension.
     pats = patients.select(F.col("patient_id").alias("_pid"), "patient_key", F.col("birth_date").alias("_birth"))
     pays = payers.select(F.col("payer_id").alias("_yid"), "payer_key")
-    j = (b.join(canon, "CODE").join(pats, F.col("PATIENT") == F.col("_pid"))
-         .join(pays, F.col("_payer") == F.col("_yid")))
-    j = cap_outliers(_durations(j), "_dur", "encounter_duration_min", limits)
+    b = b.join(pats, F.col("PATIENT") == F.col("_pid")).join(pays, F.col("_payer") == F.col("_yid"))
+    b = first_per_key(b, ["Id"])
+    j = cap_outliers(_durations(b.join(canon, "CODE")), "_dur", "encounter_duration_min", limits)
     money = "decimal(10,2)"
     src = j.select(
         F.col("Id").alias("encounter_id"), F.col("START").alias("encounter_start"),
@@ -168,18 +166,20 @@ def silver_procedures(bronze: DataFrame, patients: DataFrame, patient_id_col: st
     b = trim_ids(bronze, ["PATIENT", "ENCOUNTER", "CODE"])
     limits = iqr_bounds(_durations(bronze), "_dur")
     canon = canonical_description(b, "CODE", "DESCRIPTION").withColumnRenamed("DESCRIPTION", "_canon")
-    b = keep_referenced(b, "PATIENT", patients, patient_id_col)
-    b = keep_referenced(b, "ENCOUNTER", encounters, encounter_id_col)
     keep = [c for c in ["START", "STOP", "PATIENT", "ENCOUNTER", "CODE", "DESCRIPTION", "BASE_COST",
                         "REASONCODE", "REASONDESCRIPTION"] if c in b.columns]
-    b = first_per_key(b.select(*keep), ["START", "PATIENT", "CODE"], [("STOP", "desc")])
+    # Referential filters before the dedupe; patients and encounters are unique per id,
+    # so the inner join is both the filter and the key lookup.
     pat_cols = [F.col(patient_id_col).alias("_pid"), "patient_key"]
     if birth_date_col:
         pat_cols.append(F.col(birth_date_col).alias("_birth"))
     encs = encounters.select(F.col(encounter_id_col).alias("_eid"), "encounter_key")
-    j = (b.join(canon, "CODE").join(patients.select(*pat_cols), F.col("PATIENT") == F.col("_pid"))
+    b = (b.select(*keep).join(patients.select(*pat_cols), F.col("PATIENT") == F.col("_pid"))
          .join(encs, F.col("ENCOUNTER") == F.col("_eid")))
-    j = cap_outliers(_durations(j), "_dur", "procedure_duration_min", limits)
+    # the looked-up columns depend on PATIENT / ENCOUNTER only, so they cannot change
+    # which row of a (START, PATIENT, CODE) group sorts first
+    b = first_per_key(b, ["START", "PATIENT", "CODE"], [("STOP", "desc")])
+    j = cap_outliers(_durations(b.join(canon, "CODE")), "_dur", "procedure_duration_min", limits)
     cols: list[Column] = [
         F.col("START").alias("procedure_start"), F.col("STOP").alias("procedure_stop"),
         X.date_key("START").alias("date_key"), F.col("procedure_duration_min"), F.col("patient_key")]
