@@ -47,7 +47,8 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_name: str, start: int |
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols).checkpoint(eager=True)
     per_slice = dict(ranged.groupBy(F.spark_partition_id().alias("p")).count().collect())  # <= n rows
-    slices = ranged.rdd.getNumPartitions()
+    # the range exchange makes at most n slices (fewer when the data has few distinct keys)
+    slices = max([n] + [p + 1 for p in per_slice])
     offsets, running = [], 0
     for p in range(slices):
         offsets.append(running)
