@@ -6,6 +6,7 @@ All are filters or map-side-combined aggregates; none gathers a group in one tas
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,11 @@ def row_count(df: DataFrame, table_name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(table_name).alias("table_name"), "n_rows")
 
 
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, n_rows) for several tables: one-row counts, unioned."""
+    return reduce(DataFrame.unionByName, [row_count(df, name) for name, df in tables.items()])
+
+
 def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """min and max of each column, one row (``min_<c>``, ``max_<c>``)."""
     aggs = []

@@ -430,7 +430,7 @@ def q_constraint_report(spark, d):
 # ------------------------------------------------------------------- X1-X15
 def q_row_counts(spark, d):
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-    return constraints.constraint_report([quality.row_count(table(spark, d, n), n) for n in names])
+    return quality.row_counts({n: table(spark, d, n) for n in names})
 
 
 def q_profile_nulls(spark, d):
