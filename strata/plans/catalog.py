@@ -9,7 +9,10 @@ Role mapping (the warehouse's entities played by the TPC-H-like tables):
 * procedures <- ``lineitem`` joined to ``orders`` (START = o_orderdate,
   STOP = l_shipdate, PATIENT = o_custkey, ENCOUNTER = l_orderkey) and ``part``
   (CODE = p_type, DESCRIPTION = p_name);
-* money: claim = ``l_extendedprice``, coverage <- ``l_discount``.
+* money: claim = ``l_extendedprice``, coverage <- ``l_discount``;
+* the silver loads read files shaped like the raw CSVs, derived from the same tables:
+  payers <- suppliers in good standing, patients <- ``customer``, encounters <-
+  ``orders`` with STOP = the order's last ship date (see ``bronze_*`` below).
 
 Every query reads whole tables; nothing is sampled or capped except the top-k reports,
 where the limit is the feature.
@@ -32,6 +35,7 @@ from strata.operators.merge import ensure_placeholder, incremental_insert, infer
 from strata.operators.outliers import cap_outliers, iqr_bounds
 from strata.operators.sequence import next_in_key
 from strata.plans import questions as Q
+from strata.plans.silver import silver_encounters, silver_patients, silver_payers, silver_procedures
 from strata.session import ensure_checkpoint_dir
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -286,8 +290,6 @@ def q_silver_payers(spark, d):
     suppliers in good standing (ids as text, state = nation key), the state lookup is
     ``nation``, and payer ids used by ``lineitem`` but absent from the file become
     inferred members after the key-0 placeholder."""
-    from strata.plans.silver import silver_payers
-
     none = F.lit(None).cast("string")
     s = table(spark, d, "supplier").filter(F.col("s_acctbal") > 0)
     bronze = s.select(F.col("s_suppkey").cast("string").alias("Id"), F.col("s_name").alias("NAME"),
@@ -339,8 +341,6 @@ def bronze_encounters(spark: SparkSession, d: str) -> DataFrame:
 def q_silver_patients(spark, d):
     """Silver patients through the warehouse's own load (dedupe, name and recode rules,
     type-1 upsert into an empty table)."""
-    from strata.plans.silver import silver_patients
-
     return silver_patients(bronze_patients(spark, d), None, BATCH1_TS)
 
 
@@ -348,8 +348,6 @@ def q_silver_encounters(spark, d):
     """Silver encounters through the warehouse's own load: IQR limit over all bronze
     rows, canonical descriptions, patient / payer filters (NULL payer -> placeholder),
     dedupe, key lookups, floors and caps, incremental insert into an empty table."""
-    from strata.plans.silver import silver_encounters, silver_patients
-
     ensure_checkpoint_dir(spark)
     bronze = bronze_encounters(spark, d).checkpoint(eager=True)  # bronze is a stored layer
     patients = silver_patients(bronze_patients(spark, d), None, BATCH1_TS)
@@ -377,8 +375,6 @@ def q_gold_fact(spark, d):
     """Fact procedures: IQR limit over all bronze rows, canonical descriptions, RI filters
     before the dedupe, latest STOP per (START, PATIENT, CODE), key lookups, capped
     duration, floored cost, keys from 1 in natural-key order."""
-    from strata.plans.silver import silver_procedures
-
     patients = assign_keys(table(spark, d, "customer").select("c_custkey"), ["c_custkey"], "patient_key")
     encounters = assign_keys(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], "encounter_key")
     # bronze is a stored layer: derive it once (a three-way join here) and let the IQR
