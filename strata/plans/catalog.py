@@ -355,6 +355,34 @@ def q_silver_encounters(spark, d):
     return silver_encounters(bronze, patients, payers, None, BATCH1_TS)
 
 
+def bronze_procedures_text_ids(spark: SparkSession, d: str) -> DataFrame:
+    """``bronze_procedures`` with the patient and encounter ids as text, matching the
+    silver patient and encounter loads."""
+    b = bronze_procedures(spark, d)
+    none = F.lit(None).cast("string")
+    return (b.withColumn("PATIENT", F.col("PATIENT").cast("string"))
+            .withColumn("ENCOUNTER", F.col("ENCOUNTER").cast("string"))
+            .withColumn("REASONCODE", none).withColumn("REASONDESCRIPTION", none))
+
+
+def q_gold_constraints(spark, d):
+    """The whole silver -> gold path on the driver tables (payers, patients, encounters,
+    procedures; two role-playing date dimensions; narrowed dims and facts), then the gold
+    constraint report: six foreign keys, six primary keys, four NOT NULL columns."""
+    from strata.plans.gold import gold_constraint_report, gold_tables
+
+    ensure_checkpoint_dir(spark)
+    payers = q_silver_payers(spark, d)
+    patients = silver_patients(bronze_patients(spark, d), None, BATCH1_TS)
+    encounters = silver_encounters(bronze_encounters(spark, d).checkpoint(eager=True), patients, payers, None,
+                                   BATCH1_TS)
+    procedures = silver_procedures(bronze_procedures_text_ids(spark, d).checkpoint(eager=True), patients,
+                                   "patient_id", encounters, "encounter_id")
+    gold = gold_tables({"payers": payers, "patients": patients, "encounters": encounters,
+                        "procedures": procedures})
+    return gold_constraint_report(gold)
+
+
 # ------------------------------------------------------------------- D1, T4/T5
 def q_date_dimension(spark, d):
     return date_dimension(table(spark, d, "orders"), "o_orderdate")
@@ -552,6 +580,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_dimension": q_date_dimension,
     "gold_dim": q_gold_dim,
     "gold_fact": q_gold_fact,
+    "gold_constraints": q_gold_constraints,
     "fk_report": q_fk_report,
     "pk_report": q_pk_report,
     "constraint_report": q_constraint_report,
