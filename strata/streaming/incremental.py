@@ -6,8 +6,9 @@ and only changes how new files are noticed: a Structured Streaming file source w
 ``availableNow`` trigger picks up each landed CSV exactly once (the streaming checkpoint
 records which files were consumed), and ``foreachBatch`` then
 
-1. appends the micro-batch to bronze as ``bronze/encounters_stream/batch=<id>``
-   (rewriting the same folder if a failed batch is retried, so it is idempotent);
+1. appends the micro-batch to bronze as ``bronze/encounters_stream/batch=<id>`` and its
+   unparseable rows to ``bronze/encounters_stream_rejected/batch=<id>`` (rewriting the
+   same folders if a failed batch is retried, so it is idempotent);
 2. runs ``silver_encounters`` over the *whole* bronze (the refreshed table plus every
    streamed batch), so the IQR limit is still computed over all bronze rows and rows
    once rejected by the referential filters are retried, as in the batch load;
@@ -22,15 +23,21 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from strata import schemas
 from strata.plans.silver import silver_encounters
+from strata.sources.csv_bronze import BAD
 from strata.sources.tables import publish, read_layer, write_version
 
-CSV_OPTIONS = {"header": "true", "mode": "DROPMALFORMED", "quote": '"', "escape": '"',
-               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]['Z']", "dateFormat": "yyyy-MM-dd"}
+# Same parsing as the batch ingest: rows that do not fit the schema are kept aside with
+# their raw text, not dropped.
+CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "quote": '"',
+               "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]['Z']", "dateFormat": "yyyy-MM-dd"}
+STREAM_SCHEMA = T.StructType(schemas.BRONZE_ENCOUNTERS.fields + [T.StructField(BAD, T.StringType(), True)])
 
 
 def _streamed_bronze(spark: SparkSession, root: str) -> DataFrame | None:
@@ -44,7 +51,11 @@ def load_batch(batch: DataFrame, batch_id: int, root: str, batch_ts: dt.datetime
     """One micro-batch: append to bronze, incremental insert into silver, publish."""
     spark = batch.sparkSession
     stamp = batch_ts or dt.datetime.now().replace(microsecond=0)
-    batch.write.mode("overwrite").parquet(f"{root}/bronze/encounters_stream/batch={batch_id}")
+    fields = schemas.BRONZE_ENCOUNTERS.fieldNames()
+    (batch.filter(F.col(BAD).isNotNull()).select(F.col(BAD).alias("raw_record"), *fields)
+     .write.mode("overwrite").parquet(f"{root}/bronze/encounters_stream_rejected/batch={batch_id}"))
+    (batch.filter(F.col(BAD).isNull()).select(*fields)
+     .write.mode("overwrite").parquet(f"{root}/bronze/encounters_stream/batch={batch_id}"))
     bronze = read_layer(spark, root, "bronze", "encounters")
     streamed = _streamed_bronze(spark, root)
     if streamed is not None:
@@ -64,7 +75,7 @@ def stream_encounters(spark: SparkSession, landing_dir: str, root: str, checkpoi
     """Start the file-driven incremental load.  With ``available_now`` the query
     processes every file that has landed and stops (a scheduled daily run); otherwise it
     keeps running and loads files as they arrive."""
-    reader = spark.readStream.schema(schemas.BRONZE_ENCOUNTERS)
+    reader = spark.readStream.schema(STREAM_SCHEMA)
     for k, v in CSV_OPTIONS.items():
         reader = reader.option(k, v)
     stream = reader.csv(landing_dir)

@@ -25,12 +25,15 @@ def test_stream_incremental_insert(spark, tmp_path):
 
     write_csv(landing / "day1.csv", ENC_H, [
         _row("enc-10", "pat-1", "2021-06-01T09:00:00Z", "2021-06-01T09:30:00Z"),
-        _row("enc-1", "pat-1", "2021-01-01T10:00:59Z", "2021-01-01T10:01:00Z", cost="555.00")])
+        _row("enc-1", "pat-1", "2021-01-01T10:00:59Z", "2021-01-01T10:01:00Z", cost="555.00")],
+        raw_lines=["enc-bad,not-a-time,2021-06-01T09:30:00Z,pat-1,org-1,pay-1,a,C1,d,1,1,1,,"])
     stream_encounters(spark, str(landing), root, ckpt, dt.datetime(2024, 1, 2)).awaitTermination()
     after1 = {r.encounter_id: r for r in read_layer(spark, root, "silver", "encounters").collect()}
     assert after1["enc-10"].encounter_key == max(before.values()) + 1
     assert float(after1["enc-1"].base_encounter_cost) == 100.0          # re-sent id: unchanged
     assert {k: after1[k].encounter_key for k in before} == before
+    rejected = spark.read.parquet(f"{root}/bronze/encounters_stream_rejected").collect()
+    assert [r.Id for r in rejected] == ["enc-bad"] and "enc-bad" not in after1
 
     write_csv(landing / "day2.csv", ENC_H, [_row("enc-11", "pat-2", "2021-06-02T09:00:00Z", "2021-06-02T09:10:00Z")])
     stream_encounters(spark, str(landing), root, ckpt, dt.datetime(2024, 1, 3)).awaitTermination()
