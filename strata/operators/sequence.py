@@ -9,9 +9,11 @@ second, much smaller window over one row per (key, bucket):
     rows --window per (key, bucket)----------------------------+
       \\--aggregate to one row per (key, bucket) --window per key--join on (key, bucket)
 
-The second window sees at most one row per bucket of a key (days in the data's time
-range), however many rows that key has.  ``bucket`` must be a non-decreasing function
-of the order column, so ties of the order column never straddle two buckets.
+The second window sees at most one row per bucket of a key, however many rows that key
+has.  By default buckets are adaptive (``adaptive_buckets``): calendar periods, with a
+hot key's busy periods cut into equal time slices so that no (key, bucket) holds much
+more than ``target_rows`` rows.  A bucket must be a non-decreasing function of the
+order column, so ties of the order column never straddle two buckets.
 """
 
 from __future__ import annotations
@@ -21,18 +23,59 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.expr import epoch_micros
+
+_DAY_MICROS = 86_400_000_000
+
+
+def adaptive_buckets(df: DataFrame, key: str, ts: str, unit: str = "day",
+                     target_rows: int = 2_000_000) -> DataFrame:
+    """Add ``_bkt``: a time bucket per row that keeps every (key, bucket) near or below
+    ``target_rows`` rows.
+
+    Rows start in calendar buckets of ``unit`` ('day', 'week', 'month'); a (key, bucket)
+    pair with more than ``target_rows`` rows -- a hot key's busy period -- is cut into
+    ``ceil(n / target_rows)`` equal time slices.  The bucket is ``struct(start, slice)``,
+    non-decreasing in ``ts`` within a key, as the stitching requires.  The heavy pairs
+    come from one aggregate (one row per (key, bucket)) and are at most
+    rows / target_rows, so the planner broadcasts them when small and joins otherwise.
+    """
+    day = F.to_date(F.col(ts))
+    start = day if unit == "day" else F.trunc(day, unit)
+    span_days = {"day": F.lit(1), "week": F.lit(7)}.get(unit, F.datediff(F.add_months(start, 1), start))
+    b = df.withColumn("_bstart", start)
+    heavy = (b.groupBy(key, "_bstart").agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > target_rows)
+             .select(F.col(key).alias("_hk"), F.col("_bstart").alias("_hs"),
+                     F.ceil(F.col("_n") / target_rows).cast("long").alias("_slices")))
+    b = b.join(heavy, (F.col(key) == F.col("_hk")) & (F.col("_bstart") == F.col("_hs")), "left")
+    into = epoch_micros(F.col(ts)) - epoch_micros(F.col("_bstart").cast("timestamp_ntz"))
+    span = span_days.cast("long") * _DAY_MICROS
+    slice_no = F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(
+        F.least(F.floor(into * F.col("_slices") / span), F.col("_slices") - 1)).cast("long")
+    return b.withColumn("_bkt", F.struct(F.col("_bstart").alias("start"), slice_no.alias("slice"))).drop(
+        "_bstart", "_hk", "_hs", "_slices")
+
 
 def _order_list(order: str | Sequence[str]) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
 
+def _bucketed(df: DataFrame, key: str, order: list[str], bucket: Column | None, unit: str,
+              target_rows: int) -> DataFrame:
+    if bucket is None:
+        return adaptive_buckets(df, key, order[0], unit, target_rows)
+    return df.withColumn("_bkt", bucket)
+
+
 def next_in_key(df: DataFrame, key: str, order: str | Sequence[str], value: str, out: str,
-                bucket: Column) -> DataFrame:
+                bucket: Column | None = None, unit: str = "day", target_rows: int = 2_000_000) -> DataFrame:
     """Add ``out`` = ``value`` of the next row of the same key in ``order``
     (``lead(value) over (partition by key order by order)``), NULL for the last row.
-    The first order column drives ``bucket``; later ones break ties."""
+    The first order column drives the bucket (``adaptive_buckets`` unless a ``bucket``
+    column is given); later order columns break ties."""
     order = _order_list(order)
-    b = df.withColumn("_bkt", bucket)
+    b = _bucketed(df, key, order, bucket, unit, target_rows)
     inner = Window.partitionBy(key, "_bkt").orderBy(*order)
     with_next = b.withColumn("_nxt", F.lead(value).over(inner))
     if value == order[0]:
@@ -51,11 +94,12 @@ def next_in_key(df: DataFrame, key: str, order: str | Sequence[str], value: str,
 
 
 def running_max_before(df: DataFrame, key: str, order: str | Sequence[str], value: str, out: str,
-                       bucket: Column) -> DataFrame:
+                       bucket: Column | None = None, unit: str = "month",
+                       target_rows: int = 2_000_000) -> DataFrame:
     """Add ``out`` = max(``value``) over the earlier rows of the same key
     (``rows between unbounded preceding and 1 preceding``), NULL for the first row."""
     order = _order_list(order)
-    b = df.withColumn("_bkt", bucket)
+    b = _bucketed(df, key, order, bucket, unit, target_rows)
     inner = Window.partitionBy(key, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     within = b.withColumn("_in", F.max(value).over(inner))
     per_bucket = b.groupBy(key, "_bkt").agg(F.max(value).alias("_bmax"))

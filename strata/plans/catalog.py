@@ -79,7 +79,7 @@ def user_gaps(spark: SparkSession, d: str) -> DataFrame:
     """Each event with the same user's next event time (day buckets keep a busy user
     spread over many tasks)."""
     ev = table(spark, d, "events").select("event_id", "user_id", "ts")
-    return next_in_key(ev, "user_id", ["ts", "event_id"], "ts", "next_ts", F.to_date("ts"))
+    return next_in_key(ev, "user_id", ["ts", "event_id"], "ts", "next_ts", unit="day")
 
 
 def keyed_customers(spark: SparkSession, d: str) -> DataFrame:

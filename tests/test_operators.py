@@ -15,7 +15,7 @@ from strata.operators.merge import (UNGUARDED, ensure_placeholder, incremental_i
                                     upsert_scd1)
 from strata.operators.outliers import cap_outliers, iqr_bounds
 from strata.operators.quality import key_violations, longest, null_counts
-from strata.operators.sequence import next_in_key, running_max_before
+from strata.operators.sequence import adaptive_buckets, next_in_key, running_max_before
 
 
 def _key(t):
@@ -216,6 +216,30 @@ def test_running_max_before_matches_plain_window(spark):
     assert rows(got, "event_id", "prev") == rows(want, "event_id", "prev")
 
 
+def test_adaptive_buckets_slice_hot_pairs(spark):
+    ev = _events(spark)
+    b = adaptive_buckets(ev, "user_id", "ts", "day", target_rows=20)
+    per = b.groupBy("user_id", "_bkt").count().collect()
+    hot = [r["count"] for r in per if r.user_id == 0]
+    assert max(hot) <= 3 * 20          # the hot user's days are cut into slices
+    assert len({r._bkt.slice for r in per if r.user_id == 0}) > 1
+    # buckets never go back in time within a key
+    rows = sorted((r.user_id, r.ts, (r._bkt.start, r._bkt.slice)) for r in b.collect())
+    for (u1, _, b1), (u2, _, b2) in zip(rows, rows[1:]):
+        assert u1 != u2 or b1 <= b2
+
+
+def test_sequence_ops_with_sliced_buckets_match_plain_windows(spark):
+    ev = _events(spark).withColumn("stop", F.col("ts") + F.expr("INTERVAL 3 HOURS"))
+    got_next = next_in_key(ev, "user_id", ["ts", "event_id"], "ts", "nxt", unit="day", target_rows=15)
+    got_max = running_max_before(ev, "user_id", ["ts", "event_id"], "stop", "prev", unit="month", target_rows=40)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    want = (ev.withColumn("nxt", F.lead("ts").over(w))
+            .withColumn("prev", F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))))
+    assert rows(got_next, "event_id", "nxt") == rows(want, "event_id", "nxt")
+    assert rows(got_max, "event_id", "prev") == rows(want, "event_id", "prev")
+
+
 # ------------------------------------------------------------ quality / C1-C4
 def test_quality_and_constraints(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, None)], "k int, s string")
