@@ -26,8 +26,7 @@ def iqr_bounds(df: DataFrame, value: ColumnOrName, k: float = 1.5) -> DataFrame:
 def cap_outliers(df: DataFrame, value: str, out: str, limits: DataFrame,
                  limit_col: str = "upper_limit") -> DataFrame:
     """Add ``out`` = value capped at the limit, negatives raised to 1, zero kept.
-    ``limits`` is the one-row result of ``iqr_bounds``; broadcasting one row is bounded."""
-    lim = limits.select(F.col(limit_col).alias("_limit"))
-    return (df.crossJoin(F.broadcast(lim))
-            .withColumn(out, cap_duration(F.col(value), F.col("_limit")))
-            .drop("_limit"))
+    ``limits`` is the one-row result of ``iqr_bounds``; it enters as a scalar subquery
+    (computed once, its value used by every task), not as a join."""
+    limit = limits.select(limit_col).scalar()
+    return df.withColumn(out, cap_duration(F.col(value), limit))

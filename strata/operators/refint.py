@@ -32,7 +32,7 @@ def orphan_keys(df: DataFrame, fk: str, ref: DataFrame, ref_key: str, null_aware
     ``null_aware=False`` is ``NOT EXISTS`` (NULL fk values are never orphans).
     ``null_aware=True`` is ``NOT IN (subquery)``: one NULL on the right side empties
     the result, an empty right side keeps everything.  It is expressed as an anti join
-    plus a one-row count of the right side, so it never degrades to a nested-loop join.
+    plus a scalar count of the right side, so it never degrades to a nested-loop join.
     """
     keys = df.select(fk).distinct()
     if not null_aware:
@@ -42,13 +42,13 @@ def orphan_keys(df: DataFrame, fk: str, ref: DataFrame, ref_key: str, null_aware
 
 def not_in(df: DataFrame, value: Column, ref: DataFrame, ref_key: str) -> DataFrame:
     """Rows for which ``value NOT IN (SELECT ref_key FROM ref)`` is TRUE."""
-    stats = ref.agg(F.count(F.lit(1)).alias("_n_ref"),
-                    F.count_if(F.col(ref_key).isNull()).alias("_n_ref_null"))
+    # one global aggregate of the right side, used as a scalar subquery (computed once)
+    stats = ref.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                             F.count_if(F.col(ref_key).isNull()).alias("n_null")).alias("s")).scalar()
     r = ref.select(F.col(ref_key).alias("_ref_key"))
-    # ``stats`` is a global aggregate: exactly one row, so broadcasting it is bounded.
-    candidates = df.join(r, value == F.col("_ref_key"), "left_anti").crossJoin(F.broadcast(stats))
-    keep = (F.col("_n_ref") == 0) | ((F.col("_n_ref_null") == 0) & value.isNotNull())
-    return candidates.filter(keep).drop("_n_ref", "_n_ref_null")
+    candidates = df.join(r, value == F.col("_ref_key"), "left_anti")
+    keep = (stats["n"] == 0) | ((stats["n_null"] == 0) & value.isNotNull())
+    return candidates.filter(keep)
 
 
 def rows_with_orphans(df: DataFrame, fk: str, orphans: DataFrame, count_name: str = "n_rows") -> DataFrame:
