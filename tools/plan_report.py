@@ -57,8 +57,8 @@ def main() -> None:
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], 16 shuffle partitions) with "
           "`spark.sql.autoBroadcastJoinThreshold=-1`, i.e. as planned when no table is small enough to "
           "broadcast (the 100 TB case): every remaining `BroadcastExchange` is an explicit, size-bounded one "
-          "(a one-row aggregate, the top-k rows of a report, the fixed state lookup, a one-row existence "
-          "probe). Plans are taken before AQE re-planning. `SinglePartition` exchanges only carry one-row "
+          "(the top-k rows of a report, the fixed state lookup, a one-row existence probe); one-row "
+          "aggregates enter as scalar subqueries. Plans are taken before AQE re-planning. `SinglePartition` exchanges only carry one-row "
           "global aggregates or a few aggregated rows; `Scan ExistingRDD` is a reliable checkpoint (bronze "
           "layer or key-assignment slices). Queries that end in key assignment (the silver loads, `gold_fact`, the "
           "merge scenarios) do their joins and dedupes while the DataFrame is built, inside the eager "
