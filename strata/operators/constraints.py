@@ -50,10 +50,12 @@ def not_null_rule(df: DataFrame, column: str, table_name: str, rule: str) -> Dat
 
 
 def constraint_report(rules: Sequence[DataFrame]) -> DataFrame:
+    """Union of the rule rows, ordered by constraint kind descending, then table (one
+    row per rule, so the sort is over a handful of rows)."""
     out = rules[0]
     for r in rules[1:]:
         out = out.unionByName(r)
-    return out
+    return out.orderBy(F.col("kind").desc(), F.col("table_name"), F.col("rule"))
 
 
 class ConstraintViolation(RuntimeError):
