@@ -109,6 +109,15 @@ def test_assign_keys_contiguous_ordered(spark):
     assert sorted(r.k for r in keyed2.collect()) == list(range(42, 42 + len(ids)))
 
 
+def test_assign_keys_stable_across_actions(spark):
+    # every action reads the one checkpointed copy, so the numbering cannot drift
+    df = spark.createDataFrame([(i * 7 % 1000, f"n{i}") for i in range(1000)], "id int, name string")
+    keyed = assign_keys(df.repartition(6), ["id"], "k", num_partitions=5)
+    first = sorted((r.id, r.k) for r in keyed.collect())
+    again = sorted((r.id, r.k) for r in keyed.filter("k > 0").collect())
+    assert first == again
+
+
 def test_assign_keys_with_ties_unique(spark):
     df = spark.createDataFrame([(i % 4,) for i in range(40)], "g int")
     ks = sorted(r.k for r in assign_keys(df, ["g"], "k", num_partitions=3).collect())
