@@ -91,9 +91,11 @@ def avg_by_member(facts: DataFrame, fk: str, value: str, dim: DataFrame, dim_nat
                   avg_name: str = "avg_total_claim_cost") -> DataFrame:
     """Average of ``value`` per dimension member (inner join, so members without facts
     are absent).  Facts are aggregated by the natural key before the join."""
-    per_fk = facts.groupBy(fk).agg(F.count(F.lit(1)).alias(count_name), exact_avg(value).alias(avg_name))
-    d = dim.select(F.col(dim_natural_key).alias("_nk"), dim_key, dim_name)
-    return per_fk.join(d, F.col(fk) == F.col("_nk"), "inner").select(dim_key, dim_name, count_name, avg_name)
+    per_fk = (facts.groupBy(F.col(fk).alias("_fk"))
+              .agg(F.count(F.lit(1)).alias(count_name), exact_avg(value).alias(avg_name)))
+    d = dim.select(F.col(dim_natural_key).alias("_nk"), F.col(dim_key).alias("_dk"), F.col(dim_name).alias("_dn"))
+    return per_fk.join(d, F.col("_fk") == F.col("_nk"), "inner").select(
+        F.col("_dk").alias(dim_key), F.col("_dn").alias(dim_name), count_name, avg_name)
 
 
 def distinct_per_quarter(df: DataFrame, start: str, entity: str) -> DataFrame:
@@ -120,3 +122,28 @@ def readmission_summary(rows: DataFrame, patient: str) -> DataFrame:
 def most_readmissions(rows: DataFrame, patient: str, k: int = 10) -> DataFrame:
     per = rows.groupBy(patient).agg(F.count(F.lit(1)).alias("n_readmissions"))
     return per.orderBy(F.col("n_readmissions").desc(), F.col(patient).asc()).limit(k)
+
+
+def gold_questions(gold: dict[str, DataFrame], bronze_encounters: DataFrame | None = None,
+                   k: int = 10) -> dict[str, DataFrame]:
+    """Q1-Q10 over the published gold star schema (``gold_tables`` output).  Q4 needs the
+    bronze encounters, because silver raises a zero coverage to 1."""
+    enc, proc, payers = gold["fact_encounters"], gold["fact_procedures"], gold["dim_payers"]
+    stats = code_stats(proc, "procedure_code", "base_procedure_cost")
+    readmits = readmission_rows(enc, "patient_key", "encounter_start", "encounter_stop",
+                                ["encounter_start", "encounter_key"])
+    out = {
+        "q01_per_year": encounters_per_year(enc, "encounter_start"),
+        "q02_class_share": class_share(enc, "encounter_start", "encounterclass"),
+        "q03_over_24h": duration_share(enc, "encounter_start", "encounter_stop", 24.0),
+        "q05_top_frequent": top_codes(stats, "procedure_code", "n_procedures", k),
+        "q06_top_cost": top_codes(stats, "procedure_code", "avg_base_cost", k),
+        "q07_claim_by_payer": avg_by_member(enc, "payer_key", "total_claim_cost", payers, "payer_key",
+                                            "payer_key", "payer_name"),
+        "q08_patients_per_quarter": distinct_per_quarter(enc, "encounter_start", "patient_key"),
+        "q09_readmitted_30d": readmission_summary(readmits, "patient_key"),
+        "q10_most_readmissions": most_readmissions(readmits, "patient_key", k),
+    }
+    if bronze_encounters is not None:
+        out["q04_zero_coverage"] = zero_share(bronze_encounters, "PAYER_COVERAGE")
+    return dict(sorted(out.items()))

@@ -49,9 +49,19 @@ def publish(spark: SparkSession, root: str, layer: str, name: str, version: str)
         _pointer_path(root, layer, name))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (HDFS, object store or local)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def current_version(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
+    pointer = _pointer_path(root, layer, name)
+    if not _exists(spark, pointer):
+        return None
     try:
-        row = spark.read.text(_pointer_path(root, layer, name)).first()
+        row = spark.read.text(pointer).first()
     except AnalysisException:
         return None
     return row[0] if row else None

@@ -238,3 +238,17 @@ def test_second_batch(refreshed):
     y1, y2 = by(first["silver"]["payers"], "payer_id"), by(second["silver"]["payers"], "payer_id")
     assert y2["pay-4"].payer_key == y1["pay-4"].payer_key and y2["pay-4"].payer_name == "NO_INSURANCE"
     assert read_layer(spark, root, "silver", "patients").count() == 4       # published pointer moved
+
+
+def test_gold_questions(refreshed):
+    from strata.plans.questions import gold_questions
+
+    spark, root, first, _, _ = refreshed
+    answers = {k: df.collect() for k, df in gold_questions(first["gold"], first["bronze"]["encounters"]).items()}
+    assert len(answers) == 10
+    per_year = {r.calendar_year: r.n_encounters for r in answers["q01_per_year"]}
+    assert per_year == {2020: 3, 2021: 3}
+    assert answers["q04_zero_coverage"][0].n_zero == 1          # enc-2 in bronze, before the floor to 1
+    q7 = {r.payer_key: r.n_encounters for r in answers["q07_claim_by_payer"]}
+    assert q7[0] == 1                                           # the NULL-payer encounter, key 0
+    assert sum(r.n_encounters for r in answers["q02_class_share"]) == 6
