@@ -31,14 +31,14 @@ def write_csv(path, header, rows, raw_lines=()):
 
 def payers(batch):
     rows = [
-        ("pay-1", "Medicare", "7500 Security Blvd", "Baltimore", "MD", "21244", "1-800-633-4227"),
-        ("pay-2", "Humana", "500 West Main St", "Louisville", "KY", "40018", "1-844-330-7799"),
-        ("pay-2", "Humana Dup", "500 West Main St", "Louisville", "KY", "40018", "1-844-330-7799"),
-        (" pay-3 ", "Aetna", "151 Farmington Ave", "Hartford", "CT", "6156", "1-800-872-3862"),
+        ("pay-1", "Harbor Plan", "10 Harbor Rd", "Annapolis", "MD", "21401", "1-800-000-0001"),
+        ("pay-2", "River Health", "22 Elm Ave", "Lexington", "KY", "40507", "1-800-000-0002"),
+        ("pay-2", "River Health Dup", "22 Elm Ave", "Lexington", "KY", "40507", "1-800-000-0002"),
+        (" pay-3 ", "Oak Mutual", "5 Oak St", "New Haven", "CT", "6510", "1-800-000-0003"),
         (None, "Ghost", None, None, "MA", None, None),
-        ("pay-4", "NO_INSURANCE", None, None, None if batch == 1 else "NY", None, None),
+        ("pay-4", "UNINSURED", None, None, None if batch == 1 else "NY", None, None),
         ("pay-5", "Foreign", "1 Main", "Nowhere", "XX", "1", "2"),
-        ("pay-6", "Blue Cross, Blue Shield", "Michigan Plaza", "Chicago", "IL", "60007", "1-800-262-2583"),
+        ("pay-6", "Lake Health, Inc.", "1 Lake Plaza", "Springfield", "IL", "62701", "1-800-000-0006"),
     ]
     return rows
 
@@ -148,15 +148,15 @@ def test_bronze_rejects_and_quotes(refreshed):
     assert audit[("bronze", "encounters")].rows_rejected == 1
     assert audit[("bronze", "encounters")].rows_out == 10
     names = {r.NAME for r in first["bronze"]["payers"].collect()}
-    assert "Blue Cross, Blue Shield" in names
+    assert "Lake Health, Inc." in names
 
 
 def test_silver_payers(refreshed):
     _, _, first, _, _ = refreshed
     p = by(first["silver"]["payers"], "payer_id")
     assert p["0000"].payer_key == 0 and p["0000"].payer_name == "No Payer / Self-Pay"
-    assert p["pay-3"].payer_name == "Aetna"                  # trimmed id
-    assert p["pay-2"].payer_name == "Humana"                 # duplicate id removed
+    assert p["pay-3"].payer_name == "Oak Mutual"                  # trimmed id
+    assert p["pay-2"].payer_name == "River Health"                 # duplicate id removed
     assert p["pay-1"].payer_state == "Maryland"
     assert "pay-5" not in p                                  # state outside the 50, never used
     assert p["pay-4"].payer_name == "Unknown Payer / Auto-Generated"   # blank state, used by enc-5
@@ -236,7 +236,7 @@ def test_second_batch(refreshed):
     assert e2["enc-9"].encounter_key == max(r.encounter_key for r in e1.values()) + 1
     assert {k: v.encounter_key for k, v in e1.items()} == {k: e2[k].encounter_key for k in e1}
     y1, y2 = by(first["silver"]["payers"], "payer_id"), by(second["silver"]["payers"], "payer_id")
-    assert y2["pay-4"].payer_key == y1["pay-4"].payer_key and y2["pay-4"].payer_name == "NO_INSURANCE"
+    assert y2["pay-4"].payer_key == y1["pay-4"].payer_key and y2["pay-4"].payer_name == "UNINSURED"
     assert read_layer(spark, root, "silver", "patients").count() == 4       # published pointer moved
 
 
