@@ -166,10 +166,10 @@ def test_incremental_insert_never_updates(spark):
 
 
 def test_inferred_members_and_placeholder(spark):
-    dim = spark.createDataFrame([(1, "p1", "Aetna")], "k int, id string, name string")
+    dim = spark.createDataFrame([(1, "p1", "Oak Mutual")], "k int, id string, name string")
     facts = spark.createDataFrame([("p1",), ("p9",), ("p9",), (None,), ("p5",)], "payer string")
     out = infer_missing_members(dim, facts, "payer", "id", "k", {"name": "Unknown Payer / Auto-Generated"})
-    assert rows(out) == [(1, "p1", "Aetna"), (2, "p5", "Unknown Payer / Auto-Generated"),
+    assert rows(out) == [(1, "p1", "Oak Mutual"), (2, "p5", "Unknown Payer / Auto-Generated"),
                          (3, "p9", "Unknown Payer / Auto-Generated")]
     placeholder = {"k": 0, "id": "0000", "name": "No Payer / Self-Pay"}
     once = ensure_placeholder(out, placeholder, "k")
