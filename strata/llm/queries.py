@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_parts, license_scan, rank_queue_bpe, token_count
+from strata.llm import chat_parts, license_scan, merkle, packing, rank_queue_bpe, sanitise, token_count
 from strata.llm.common import read_table
 
 
@@ -13,10 +13,21 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op5_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find_spans(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2(sanitise.span_string(F.col("spans")), 256).alias("base_sha256"),
+                        sanitise.span_string(F.col("all_spans")).alias("spans"))
+
+
 def op6_rank_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_queue_bpe.roundtrip_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = r"\### Assistant: </turn> ok"
     turns = read_table(spark, sf_dir, "conversations").select(
@@ -30,7 +41,12 @@ def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op6_rank_queue_bpe, op8_chat_format, op9_token_count)}
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op5_sanitise, op6_rank_queue_bpe, op7_merkle, op8_chat_format, op9_token_count, op10_pack)}
 
 ORACLE_SQL = {
     "op8_chat_format": r"""
