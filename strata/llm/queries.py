@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_parts, license_scan, merkle, packing, rank_queue_bpe, sanitise, tensor_minhash, token_count
+from strata.llm import chat_parts, license_scan, merkle, packing, posting_lists, rank_queue_bpe, sanitise, tensor_minhash, token_count
 from strata.llm.common import read_table
 
 
@@ -13,6 +13,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(read_table(spark, sf_dir, "documents"))
 
 
+def op2_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensor_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op3_tensor_minhash, op5_sanitise, op6_rank_queue_bpe, op7_merkle, op8_chat_format, op9_token_count, op10_pack)}
+    op1_license_scan, op2_posting_lists, op3_tensor_minhash, op5_sanitise, op6_rank_queue_bpe, op7_merkle, op8_chat_format, op9_token_count, op10_pack)}
 
 ORACLE_SQL = {
     "op8_chat_format": r"""
