@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_parts, license_scan, merkle, packing, posting_lists, rank_queue_bpe, sanitise, tensor_minhash, token_count
+from strata.llm import chat_parts, license_scan, merkle, packing, posting_lists, rank_queue_bpe, sanitise, tensor_minhash, token_count, weak_quality
 from strata.llm.common import read_table
 
 
@@ -21,6 +21,11 @@ def op3_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tensor_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return weak_quality.classify(docs, weak_quality.fit(docs))
+
+
 def op5_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sanitise.find_spans(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
@@ -54,7 +59,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_posting_lists, op3_tensor_minhash, op5_sanitise, op6_rank_queue_bpe, op7_merkle, op8_chat_format, op9_token_count, op10_pack)}
+    op1_license_scan, op2_posting_lists, op3_tensor_minhash, op4_weak_quality, op5_sanitise, op6_rank_queue_bpe, op7_merkle, op8_chat_format, op9_token_count, op10_pack)}
 
 ORACLE_SQL = {
     "op8_chat_format": r"""
