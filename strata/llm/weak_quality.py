@@ -9,8 +9,9 @@ The posterior of a document's pattern is its weak label.
 A linear scorer then learns the weak labels of a bounded sample (``sample`` documents, those
 with the smallest hashes of id) from hashed features: runs of four character shapes (small,
 capital, digit, space, other marks as they are) and how repetitive the words are.  It scores
-every whole text, also where all labellers are silent or disagree.  A document is rejected when
-its score falls below ``threshold``.
+every whole text, also where all labellers are silent or disagree.  A document's score is the
+larger of the scorer's probability and its weak label, so that short clean texts, of which the
+scorer sees little, are kept; it is rejected when the score falls below ``threshold``.
 
 Null or empty text is rejected with score 0 (nothing to learn from) and takes no part in the
 statistics; a null id is kept as it is; repeated rows count as often as they occur; an empty
@@ -103,7 +104,7 @@ KINDS = {"garbled": ("marks", "capitals", "stopwords", "word_length", "ended"),
 
 class LabelModel(NamedTuple):
     share: np.ndarray  # of good documents and of each kind of bad ones
-    table: np.ndarray  # [labeller, vote, class]: how often the vote is given
+    table: np.ndarray  # [labeller, vote, class]: how often the labeller votes so if it votes
 
     def posterior(self, pattern: str) -> float:
         """How likely a document with these votes is good."""
@@ -111,7 +112,8 @@ class LabelModel(NamedTuple):
 
 
 def _classes(model: LabelModel, at: np.ndarray) -> np.ndarray:
-    logs = np.log(model.share) + np.log(model.table[np.arange(at.shape[1]), at]).sum(axis=1)
+    # silence is no vote: it says nothing about the class
+    logs = np.log(model.share) + (np.log(model.table[np.arange(at.shape[1]), at]) * (at != 1)[:, :, None]).sum(axis=1)
     p = np.exp(logs - logs.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
 
@@ -132,7 +134,8 @@ def fit_labels(counts: dict[str, int], steps: int = 100) -> LabelModel:
         table = np.empty((at.shape[1], 3, now.shape[1]))
         for v in range(3):
             table[:, v] = (at == v).T @ weight + 0.5
-        model = LabelModel((weight.sum(axis=0) + 1) / (n.sum() + now.shape[1]), table / table.sum(axis=1, keepdims=True))
+        table /= table[:, [0, 2]].sum(axis=1, keepdims=True)
+        model = LabelModel((weight.sum(axis=0) + 1) / (n.sum() + now.shape[1]), table)
         before, now = now, _classes(model, at)
         if np.abs(now - before).max() < 1e-6:
             break
@@ -216,7 +219,7 @@ def score_text(model: QualityModel, text: str | None) -> tuple[str, float, float
     if model.weights is None:
         return pattern, weak, weak
     margin = float(features(f, data, len(model.weights)) @ model.weights) + model.bias
-    return pattern, weak, 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
+    return pattern, weak, max(weak, float(1 / (1 + np.exp(-np.clip(margin, -500, 500)))))
 
 
 def classify(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", text_col: str = "text",
