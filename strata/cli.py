@@ -1,7 +1,8 @@
 """Command line for scheduled runs (``spark-submit strata/cli.py refresh ...``).
 
     refresh   --src <landing folder> --root <warehouse root> [--batch-ts ISO] [--version V]
-    questions --root <warehouse root>          (Q1-Q10 over the published gold layer)
+    questions --root <warehouse root>          (Q1-Q10 over the published gold layer; each answer is
+                                                written as a table under answers/ and printed in full)
 """
 
 from __future__ import annotations
@@ -11,13 +12,25 @@ import datetime as dt
 import os
 import sys
 
+from pyspark.sql import DataFrame
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from strata.plans.gold import gold_tables  # noqa: E402
 from strata.plans.questions import gold_questions  # noqa: E402
 from strata.plans.refresh import run_refresh  # noqa: E402
 from strata.session import build_session  # noqa: E402
-from strata.sources.tables import read_layer  # noqa: E402
+from strata import schemas  # noqa: E402
+from strata.sources.csv_bronze import good_rows  # noqa: E402
+from strata.sources.tables import current_tables, read_layer, read_parts, unique_version, write_part  # noqa: E402
+
+
+def print_rows(title: str, df: DataFrame) -> None:
+    """All rows, in order; the driver holds one partition at a time."""
+    print(title)
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -36,15 +49,18 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "refresh":
         ts = dt.datetime.fromisoformat(args.batch_ts) if args.batch_ts else dt.datetime.now().replace(microsecond=0)
         out = run_refresh(spark, args.src, args.root, ts, args.version)
-        out["audit"].show(truncate=False)
-        out["report"].show(truncate=False)
+        print_rows("load audit", out["audit"].orderBy("layer", "table_name"))  # one row per table
+        print_rows("constraints", out["report"])  # one row per rule
         return 0
     gold = {n: read_layer(spark, args.root, "gold", n)
             for n in ("dim_payers", "dim_patients", "fact_encounters", "fact_procedures")}
-    bronze = read_layer(spark, args.root, "bronze", "encounters")
+    parts = current_tables(spark, args.root)["bronze/encounters"]
+    bronze = good_rows(spark, f"{args.root}/{parts[0]}", schemas.BRONZE["encounters"])
+    version = unique_version("answers")
     for name, df in gold_questions(gold, bronze).items():
-        print(name)
-        df.show(20, truncate=False)
+        part = write_part(df, args.root, "answers", name, version)
+        # what was written, printed in full, row by row as it arrives
+        print_rows(f"{name} ({part})", read_parts(spark, args.root, [part]).orderBy(*df.columns))
     return 0
 
 

@@ -57,9 +57,9 @@ def null_to(c: ColumnOrName, default) -> Column:
 
 
 def person_name(*parts: ColumnOrName) -> Column:
-    """``TRIM(CONCAT(TRIM(a), ' ', TRIM(b), ' ', TRIM(c)))`` where CONCAT reads NULL as
-    ''.  A NULL prefix gives "First Last"; a NULL first name leaves a doubled blank
-    inside ("Mr.  Last"), exactly like the source rule."""
+    """The parts, each without blanks around it, side by side with one blank between, and no
+    blank around the whole.  A missing part counts as empty but keeps its blanks: without a
+    first name two of them stand inside ("Mr.  Last")."""
     pieces: list[Column] = []
     for i, p in enumerate(parts):
         if i:
@@ -69,8 +69,7 @@ def person_name(*parts: ColumnOrName) -> Column:
 
 
 def recode(c: ColumnOrName, mapping: Mapping[str, str], default: str = "Unknown") -> Column:
-    """Case- and blank-insensitive code -> label lookup with a default
-    (``CASE WHEN TRIM(UPPER(x)) = 'S' THEN 'Single' ... ELSE 'Unknown' END``)."""
+    """The label of a code, whatever its case and blanks; ``default`` for any other value."""
     key = F.trim(F.upper(col(c)))
     out = None
     for code, label in mapping.items():
@@ -80,7 +79,7 @@ def recode(c: ColumnOrName, mapping: Mapping[str, str], default: str = "Unknown"
 
 
 def presence_flag(c: ColumnOrName) -> Column:
-    """``CASE WHEN x IS NULL THEN 0 ELSE 1 END`` as a boolean."""
+    """Whether there is a value."""
     return col(c).isNotNull()
 
 

@@ -8,9 +8,9 @@ fails.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.refint import keep_new
@@ -23,12 +23,14 @@ def _rule_row(counted: DataFrame, table_name: str, rule: str, kind: str) -> Data
 
 
 def fk_violations(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
-    """Fact rows whose non-NULL ``fk`` has no ``dim[pk]``."""
-    return keep_new(fact.filter(F.col(fk).isNotNull()), dim, fk, pk)
+    """Non-NULL ``fk`` values without a ``dim[pk]`` and how many fact rows carry each.  Facts are
+    counted by key before the join, so a hot key crosses the shuffle as one row per task."""
+    counts = fact.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
+    return keep_new(counts, dim, fk, pk)
 
 
 def fk_rule(fact: DataFrame, fk: str, dim: DataFrame, pk: str, table_name: str, rule: str) -> DataFrame:
-    counted = fk_violations(fact, fk, dim, pk).agg(F.count(F.lit(1)).alias("violating_rows"))
+    counted = fk_violations(fact, fk, dim, pk).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violating_rows"))
     return _rule_row(counted, table_name, rule, "FOREIGN KEY")
 
 
@@ -44,9 +46,32 @@ def pk_rule(df: DataFrame, keys: Sequence[str], table_name: str, rule: str, kind
     return _rule_row(counted, table_name, rule, kind)
 
 
+def _column_rules(df: DataFrame, broken: dict[str, Column], table_name: str, kind: str) -> DataFrame:
+    """One row per rule, all counted in one pass over the table."""
+    counted = df.agg(*[F.count_if(c).alias(rule) for rule, c in broken.items()])
+    rows = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("violating_rows")) for rule in broken])
+    return counted.select(F.explode(rows).alias("r")).select(
+        F.lit(table_name).alias("table_name"), F.col("r.rule"), F.lit(kind).alias("kind"), F.col("r.violating_rows"),
+        (F.col("r.violating_rows") == 0).alias("ok"))
+
+
+def not_null_rules(df: DataFrame, columns: Sequence[str], table_name: str, prefix: str = "NN_") -> DataFrame:
+    return _column_rules(df, {f"{prefix}{c}": F.col(c).isNull() for c in columns}, table_name, "NOT NULL")
+
+
+def length_rules(df: DataFrame, limits: Mapping[str, int], table_name: str) -> DataFrame:
+    """Texts that don't fit their declared width."""
+    return _column_rules(df, {f"LEN_{c}": F.length(c) > n for c, n in limits.items()}, table_name, "LENGTH")
+
+
 def not_null_rule(df: DataFrame, column: str, table_name: str, rule: str) -> DataFrame:
-    counted = df.agg(F.count_if(F.col(column).isNull()).alias("violating_rows"))
-    return _rule_row(counted, table_name, rule, "NOT NULL")
+    return _column_rules(df, {rule: F.col(column).isNull()}, table_name, "NOT NULL")
+
+
+def unique_rule(df: DataFrame, keys: Sequence[str], table_name: str, rule: str) -> DataFrame:
+    """Rows that share their key with another; NULL keys count as one value."""
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    return _rule_row(groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violating_rows")), table_name, rule, "UNIQUE")
 
 
 def constraint_report(rules: Sequence[DataFrame]) -> DataFrame:

@@ -52,3 +52,13 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], count_name: str = "n_co
     """Keys that occur more than once, with their row count (a hash aggregate combined
     map-side, so a hot key is never gathered row by row)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1)
+
+
+def duplicate_members(df: DataFrame, keys: Sequence[str], order: Sequence[str], number: str = "row_in_key") -> DataFrame:
+    """All rows of the keys that occur more than once, numbered within their key.  The keys are
+    found by a count combined map-side; only rows of repeated keys are sorted."""
+    repeated = duplicate_groups(df, keys).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    rows = df.join(repeated, same, "left_semi")
+    w = Window.partitionBy(*keys).orderBy(*sort_columns(complete_order(df.columns, keys, [(o, "asc") for o in order])))
+    return rows.withColumn(number, F.row_number().over(w))

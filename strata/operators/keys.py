@@ -55,9 +55,9 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_name: str, start: int |
         running += per_slice.get(p, 0)
     first = _resolve_start(start)
     pid = F.spark_partition_id()
-    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), pid + 1) if offsets else F.lit(0)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1) if offsets else F.lit(0)
     in_slice = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    key = (F.lit(first) + offset + in_slice).cast(key_type)
+    key = (F.lit(first).cast("long") + offset + in_slice).cast(key_type)
     return ranged.select(*[F.col(c) for c in df.columns], key.alias(key_name))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from strata.functions.expr import ntz_lit
 from strata.operators.keys import assign_keys, next_key_start
 from strata.operators.refint import keep_new
+from strata.session import ensure_checkpoint_dir
 
 
 def _typed_lit(value: Any, data_type) -> Column:
@@ -63,34 +64,43 @@ def upsert_scd1(target: DataFrame, source: DataFrame, key: str, tracked: Mapping
     Running it a second time with the same source changes nothing.
     """
     data_cols = [c for c in target.columns if c not in (surrogate_key, stamp_col)]
-    t, s = target.alias("t"), source.select(*data_cols).alias("s")
-    # target rows, updated in place where the source changed them
-    joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "left")
-    is_change = F.col(f"s.{key}").isNotNull() & changed(tracked)
-    stamp = _typed_lit(batch_ts, target.schema[stamp_col].dataType)
-    existing = joined.select(
-        *[F.when(is_change, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in data_cols
-          else (F.when(is_change, stamp).otherwise(F.col(f"t.{c}")).alias(c) if c == stamp_col
-                else F.col(f"t.{c}").alias(c))
-          for c in target.columns])
-    # source rows not yet in the target
-    new_rows = keep_new(source.select(*data_cols), target, key).withColumn(stamp_col, stamp)
-    new_keyed = assign_keys(new_rows, [key], surrogate_key, start=next_key_start(target, surrogate_key),
-                            num_partitions=num_partitions,
-                            key_type=target.schema[surrogate_key].dataType.simpleString())
-    return existing.unionByName(new_keyed.select(*target.columns))
+    types = {f.name: f.dataType for f in target.schema.fields}
+    stamp = _typed_lit(batch_ts, types[stamp_col])
+    # one full outer join; a row without a surrogate key is one that the target doesn't have
+    t = target.withColumn("_old", F.lit(True)).alias("t")
+    s = source.select(*data_cols).alias("s")
+    is_new = F.col("t._old").isNull()
+    takes = is_new | (F.col(f"s.{key}").isNotNull() & changed(tracked))
+    merged = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(
+        *[F.when(takes, stamp).otherwise(F.col(f"t.{c}")).alias(c) if c == stamp_col
+          else F.when(takes, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in data_cols
+          else F.col(f"t.{c}").alias(c) for c in target.columns], is_new.alias("_new"))
+    ensure_checkpoint_dir(target.sparkSession)
+    merged = merged.checkpoint()  # read twice: the rows that stay, and the new ones to be numbered
+    start = merged.agg((F.coalesce(F.max(surrogate_key), F.lit(0)) + 1).alias("_start"))
+    keyed = assign_keys(merged.where("_new").drop("_new", surrogate_key), [key], surrogate_key, start=start,
+                        num_partitions=num_partitions, key_type=types[surrogate_key].simpleString())
+    return merged.where("not _new").select(*target.columns).unionByName(keyed.select(*target.columns))
+
+
+def new_rows(target: DataFrame, source: DataFrame, key: str, surrogate_key: str,
+             order: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+    """The source rows whose key is not in the target, with keys that continue after
+    ``max(key)``: what an append writes.  Its cost follows the batch and the target's key
+    column, not the target's rows."""
+    data_cols = [c for c in target.columns if c != surrogate_key]
+    fresh = keep_new(source.select(*data_cols), target, key)
+    keyed = assign_keys(fresh, list(order or [key]), surrogate_key,
+                        start=next_key_start(target, surrogate_key), num_partitions=num_partitions,
+                        key_type=target.schema[surrogate_key].dataType.simpleString())
+    return keyed.select(*target.columns)
 
 
 def incremental_insert(target: DataFrame, source: DataFrame, key: str, surrogate_key: str,
                        order: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
     """Append the source rows whose key is not in the target; existing rows never change
     (even if the source now says otherwise).  New keys continue after ``max(key)``."""
-    data_cols = [c for c in target.columns if c != surrogate_key]
-    new_rows = keep_new(source.select(*data_cols), target, key)
-    keyed = assign_keys(new_rows, list(order or [key]), surrogate_key,
-                        start=next_key_start(target, surrogate_key), num_partitions=num_partitions,
-                        key_type=target.schema[surrogate_key].dataType.simpleString())
-    return target.unionByName(keyed.select(*target.columns))
+    return target.unionByName(new_rows(target, source, key, surrogate_key, order, num_partitions))
 
 
 def infer_missing_members(dim: DataFrame, fact: DataFrame, fact_key: str, dim_key: str,

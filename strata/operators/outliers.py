@@ -2,9 +2,9 @@
 
 The limit is ``CEILING(Q3 + k * (Q3 - Q1))`` with exact, linearly interpolated
 percentiles (``PERCENTILE_CONT``), computed once over *all* input rows.  ``percentile``
-is an exact aggregate: its partial state is a value -> count map, so its size grows with
-the number of distinct values (bounded for integer minutes), not with the row count, and
-it combines map-side.  ``approx_percentile`` would not give the same limit.
+is an exact aggregate whose state is a value -> count map.  Rows are counted by value first,
+spread over all tasks, so the one final task merges each distinct value once, not once per
+scan task.  ``approx_percentile`` would not give the same limit.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from strata.functions.expr import ColumnOrName, cap_duration, col
 
 def iqr_bounds(df: DataFrame, value: ColumnOrName, k: float = 1.5) -> DataFrame:
     """One row: q1, q3, iqr (double) and upper_limit (int)."""
-    qs = df.agg(F.percentile(col(value), F.array(F.lit(0.25), F.lit(0.75))).alias("_q"))
+    counts = df.groupBy(col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_v").isNotNull())
+    qs = counts.agg(F.percentile(F.col("_v"), F.array(F.lit(0.25), F.lit(0.75)), F.col("_n")).alias("_q"))
     q1, q3 = F.col("_q")[0], F.col("_q")[1]
     return qs.select(q1.alias("q1"), q3.alias("q3"), (q3 - q1).alias("iqr"),
                      F.ceil(q3 + F.lit(k) * (q3 - q1)).cast("int").alias("upper_limit"))

@@ -42,20 +42,20 @@ def orphan_keys(df: DataFrame, fk: str, ref: DataFrame, ref_key: str, null_aware
 
 def not_in(df: DataFrame, value: Column, ref: DataFrame, ref_key: str) -> DataFrame:
     """Rows for which ``value NOT IN (SELECT ref_key FROM ref)`` is TRUE."""
-    # one global aggregate of the right side, used as a scalar subquery (computed once)
-    stats = ref.agg(F.struct(F.count(F.lit(1)).alias("n"),
-                             F.count_if(F.col(ref_key).isNull()).alias("n_null")).alias("s")).scalar()
+    # what the right side lets through: 0 (empty) every value, 1 (no NULL) every non-NULL one, 2 none;
+    # one aggregate of one number, referred to once
+    n, n_null = F.count(F.lit(1)), F.count_if(F.col(ref_key).isNull())
+    bars = ref.agg(F.when(n == 0, 0).when(n_null == 0, 1).otherwise(2).alias("bars")).scalar()
     r = ref.select(F.col(ref_key).alias("_ref_key"))
-    candidates = df.join(r, value == F.col("_ref_key"), "left_anti")
-    keep = (stats["n"] == 0) | ((stats["n_null"] == 0) & value.isNotNull())
-    return candidates.filter(keep)
+    passes = df.filter(bars <= F.when(value.isNull(), 0).otherwise(1))
+    return passes.join(r, value == F.col("_ref_key"), "left_anti")
 
 
 def rows_with_orphans(df: DataFrame, fk: str, orphans: DataFrame, count_name: str = "n_rows") -> DataFrame:
-    """Number of rows carrying each orphan key (semi join on the orphan set, then a
-    map-side-combined count)."""
-    return (df.join(orphans.select(F.col(fk).alias("_o")), F.col(fk) == F.col("_o"), "left_semi")
-            .groupBy(fk).agg(F.count(F.lit(1)).alias(count_name)))
+    """Number of rows carrying each orphan key: counted by key first, so the semi join sees
+    one row per key however hot it is."""
+    counts = df.groupBy(fk).agg(F.count(F.lit(1)).alias(count_name))
+    return counts.join(orphans.select(F.col(fk).alias("_o")), F.col(fk) == F.col("_o"), "left_semi")
 
 
 def lookup_key(df: DataFrame, fk: ColumnOrName, dim: DataFrame, natural_key: str, surrogate_key: str,

@@ -48,7 +48,7 @@ def adaptive_buckets(df: DataFrame, key: str, ts: str, unit: str = "day",
              .filter(F.col("_n") > target_rows)
              .select(F.col(key).alias("_hk"), F.col("_bstart").alias("_hs"),
                      F.ceil(F.col("_n") / target_rows).cast("long").alias("_slices")))
-    b = b.join(heavy, (F.col(key) == F.col("_hk")) & (F.col("_bstart") == F.col("_hs")), "left")
+    b = b.join(heavy, F.col(key).eqNullSafe(F.col("_hk")) & F.col("_bstart").eqNullSafe(F.col("_hs")), "left")
     into = epoch_micros(F.col(ts)) - epoch_micros(F.col("_bstart").cast("timestamp_ntz"))
     span = span_days.cast("long") * _DAY_MICROS
     slice_no = F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(
@@ -68,6 +68,11 @@ def _bucketed(df: DataFrame, key: str, order: list[str], bucket: Column | None,
     return df.withColumn("_bkt", bucket)
 
 
+def _same_bucket(key: str) -> Column:
+    """NULL is a key like any other, as it is for a window; so is a NULL time's bucket."""
+    return F.col(key).eqNullSafe(F.col("_k")) & F.col("_bkt").eqNullSafe(F.col("_b"))
+
+
 def next_in_key(df: DataFrame, key: str, order: str | Sequence[str], value: str, out: str,
                 bucket: Column | None = None, unit: str = "day", target_rows: int = 2_000_000) -> DataFrame:
     """Add ``out`` = ``value`` of the next row of the same key in ``order``
@@ -87,10 +92,11 @@ def next_in_key(df: DataFrame, key: str, order: str | Sequence[str], value: str,
                                      F.col(value).alias("v")))["v"]
     firsts = b.groupBy(key, "_bkt").agg(first_value.alias("_first"))
     across = Window.partitionBy(key).orderBy("_bkt")
-    boundary = firsts.select(key, "_bkt", F.lead("_first").over(across).alias("_nb"))
-    return (with_next.join(boundary, [key, "_bkt"], "left")
-            .withColumn(out, F.coalesce(F.col("_nxt"), F.col("_nb")))
-            .drop("_bkt", "_nxt", "_nb"))
+    boundary = firsts.select(F.col(key).alias("_k"), F.col("_bkt").alias("_b"), F.lead("_first").over(across).alias("_nb"))
+    last = F.lead(F.lit(1)).over(inner).isNull()  # of its bucket; a NULL value alone doesn't say so
+    return (with_next.withColumn("_last", last).join(boundary, _same_bucket(key), "left")
+            .withColumn(out, F.when(F.col("_last"), F.col("_nb")).otherwise(F.col("_nxt")))
+            .drop("_bkt", "_nxt", "_nb", "_last", "_k", "_b"))
 
 
 def running_max_before(df: DataFrame, key: str, order: str | Sequence[str], value: str, out: str,
@@ -104,7 +110,7 @@ def running_max_before(df: DataFrame, key: str, order: str | Sequence[str], valu
     within = b.withColumn("_in", F.max(value).over(inner))
     per_bucket = b.groupBy(key, "_bkt").agg(F.max(value).alias("_bmax"))
     across = Window.partitionBy(key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = per_bucket.select(key, "_bkt", F.max("_bmax").over(across).alias("_prev"))
-    return (within.join(earlier, [key, "_bkt"], "left")
+    earlier = per_bucket.select(F.col(key).alias("_k"), F.col("_bkt").alias("_b"), F.max("_bmax").over(across).alias("_prev"))
+    return (within.join(earlier, _same_bucket(key), "left")
             .withColumn(out, F.greatest(F.col("_in"), F.col("_prev")))
-            .drop("_bkt", "_in", "_prev"))
+            .drop("_bkt", "_in", "_prev", "_k", "_b"))

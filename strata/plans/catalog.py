@@ -11,7 +11,7 @@ Role mapping (the warehouse's entities played by the TPC-H-like tables):
   (CODE = p_type, DESCRIPTION = p_name);
 * money: claim = ``l_extendedprice``, coverage <- ``l_discount``;
 * the silver loads read files shaped like the raw CSVs, derived from the same tables:
-  payers <- suppliers in good standing, patients <- ``customer``, encounters <-
+  payers <- suppliers (without a state unless in good standing), patients <- ``customer``, encounters <-
   ``orders`` with STOP = the order's last ship date (see ``bronze_*`` below).
 
 Every query reads whole tables; nothing is sampled or capped except the top-k reports,
@@ -21,6 +21,7 @@ where the limit is the feature.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,14 +30,18 @@ from pyspark.sql import functions as F
 from strata.functions import expr as X
 from strata.operators import canonical, constraints, quality, refint
 from strata.operators.calendar import date_dimension
-from strata.operators.dedupe import duplicate_groups, first_per_key
+from strata.operators.dedupe import duplicate_groups, duplicate_members, first_per_key
 from strata.operators.keys import assign_keys
-from strata.operators.merge import ensure_placeholder, incremental_insert, infer_missing_members, upsert_scd1
+from strata.operators.merge import ensure_placeholder, incremental_insert, infer_missing_members, new_rows, upsert_scd1
 from strata.operators.outliers import cap_outliers, iqr_bounds
 from strata.operators.sequence import next_in_key
 from strata.plans import questions as Q
 from strata.plans.silver import silver_encounters, silver_patients, silver_payers, silver_procedures
+from strata import schemas
 from strata.session import ensure_checkpoint_dir
+from strata.sources.csv_bronze import REJECTED, good_rows, read_bronze, rejected_rows
+from strata.sources.tables import (current_tables, open_warehouse, preview, publish, read_layer, unique_version,
+                                   write_part)
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
@@ -158,6 +163,12 @@ def q_minute_boundaries(spark, d):
     return g.select("event_id", "user_id", "ts", "next_ts", X.minute_diff("ts", "next_ts").alias("minutes"))
 
 
+def q_sliced_gaps(spark, d):
+    """The gaps again with every busy day of a user cut into time slices of a few rows."""
+    return next_in_key(table(spark, d, "events").select("event_id", "user_id", "ts"), "user_id", ["ts", "event_id"],
+                       "ts", "next_ts", unit="month", target_rows=2)
+
+
 def q_age_by_year(spark, d):
     dur = line_durations(spark, d)
     return dur.select(*LINE_KEY, X.year_diff("o_orderdate", "l_shipdate").alias("years_between"))
@@ -286,16 +297,18 @@ def q_placeholder_member(spark, d):
 
 # ---------------------------------------------------------------------- T1
 def q_silver_payers(spark, d):
-    """Silver payers through the warehouse's own load: the payer file lists the
-    suppliers in good standing (ids as text, state = nation key), the state lookup is
-    ``nation``, and payer ids used by ``lineitem`` but absent from the file become
-    inferred members after the key-0 placeholder."""
-    none = F.lit(None).cast("string")
-    s = table(spark, d, "supplier").filter(F.col("s_acctbal") > 0)
-    bronze = s.select(F.col("s_suppkey").cast("string").alias("Id"), F.col("s_name").alias("NAME"),
-                      none.alias("ADDRESS"), none.alias("CITY"),
-                      F.col("s_nationkey").cast("string").alias("STATE_HEADQUARTERED"),
-                      none.alias("ZIP"), none.alias("PHONE"))
+    """Silver payers through the warehouse's own load: the payer file lists all suppliers
+    (ids as text, state = nation key, blank without a positive balance), the state lookup
+    is ``nation``, which drops payers without a state, and of these the ones that
+    ``lineitem`` uses come back as inferred members after the key-0 placeholder."""
+    s = table(spark, d, "supplier")
+    key = F.col("s_suppkey")
+    state = F.when(F.col("s_acctbal") > 0, F.col("s_nationkey").cast("string"))
+    bronze = s.select(key.cast("string").alias("Id"), F.col("s_name").alias("NAME"),
+                      F.concat(key, F.lit(" Main St")).alias("ADDRESS"),
+                      F.concat(F.lit("City "), key % 50).alias("CITY"), state.alias("STATE_HEADQUARTERED"),
+                      F.lpad(key.cast("string"), 5, "0").alias("ZIP"),
+                      F.concat(F.lit("1-800-"), key).alias("PHONE"))
     states = table(spark, d, "nation").select(F.col("n_nationkey").alias("StateID"),
                                               F.col("n_name").alias("StateName"),
                                               F.col("n_nationkey").cast("string").alias("Abbreviation"))
@@ -304,17 +317,25 @@ def q_silver_payers(spark, d):
 
 
 def bronze_patients(spark: SparkSession, d: str) -> DataFrame:
-    """Patients file from ``customer``: id as text, the name as FIRST, the market
-    segment as RACE and its first letter as MARITAL (only 'M' is a known code)."""
-    none_s, none_d, none_g = F.lit(None).cast("string"), F.lit(None).cast("date"), F.lit(None).cast("decimal(9,6)")
-    c = table(spark, d, "customer")
-    return c.select(
-        F.col("c_custkey").cast("string").alias("Id"), none_d.alias("BIRTHDATE"), none_d.alias("DEATHDATE"),
-        none_s.alias("PREFIX"), F.col("c_name").alias("FIRST"), none_s.alias("LAST"), none_s.alias("SUFFIX"),
-        none_s.alias("MAIDEN"), F.substring("c_mktsegment", 1, 1).alias("MARITAL"),
-        F.col("c_mktsegment").alias("RACE"), none_s.alias("ETHNICITY"), none_s.alias("GENDER"),
-        none_s.alias("BIRTHPLACE"), none_s.alias("ADDRESS"), none_s.alias("CITY"), none_s.alias("STATE"),
-        none_s.alias("COUNTY"), none_s.alias("ZIP"), none_g.alias("LAT"), none_g.alias("LON"))
+    """Patients file from ``customer``: id as text, the name as FIRST, the market segment as
+    RACE and its first letter as MARITAL (only 'M' is a known code); the other fields follow
+    from the customer's and nation's numbers, some of them missing."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    birth = F.when(key % 17 != 0, F.date_add(F.lit("1930-01-01").cast("date"), (key % 25000).cast("int")))
+    text = lambda prefix, n: F.concat(F.lit(prefix), n.cast("string"))
+    return table(spark, d, "customer").select(
+        key.cast("string").alias("Id"), birth.alias("BIRTHDATE"),
+        F.when(key % 13 == 0, F.date_add(birth, 20000)).alias("DEATHDATE"),
+        F.when(key % 3 == 0, "Mr.").when(key % 3 == 1, " Ms. ").alias("PREFIX"), F.col("c_name").alias("FIRST"),
+        F.when(key % 19 != 0, text("Family", key % 100)).alias("LAST"), F.when(key % 11 == 0, "Jr.").alias("SUFFIX"),
+        F.when(key % 4 == 0, text("Maiden", key % 90)).alias("MAIDEN"), F.substring("c_mktsegment", 1, 1).alias("MARITAL"),
+        F.col("c_mktsegment").alias("RACE"),
+        F.when(key % 5 == 0, "hispanic").when(key % 5 == 1, "").otherwise("nonhispanic").alias("ETHNICITY"),
+        F.when(key % 7 == 0, "x").when(key % 2 == 0, "f").otherwise("M").alias("GENDER"),
+        text("Place ", nation).alias("BIRTHPLACE"), text("Road ", key).alias("ADDRESS"), text("cITY ", nation).alias("CITY"),
+        text("state ", nation).alias("STATE"), F.when(key % 6 != 0, text("county ", key % 30)).alias("COUNTY"),
+        F.lpad(key.cast("string"), 5, "0").alias("ZIP"), (nation + 0.5).cast("decimal(9,6)").alias("LAT"),
+        (-nation - 0.25).cast("decimal(9,6)").alias("LON"))
 
 
 def bronze_encounters(spark: SparkSession, d: str) -> DataFrame:
@@ -335,7 +356,13 @@ def bronze_encounters(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_orderpriority").alias("ENCOUNTERCLASS"), F.col("o_orderstatus").alias("CODE"),
         F.col("o_orderpriority").alias("DESCRIPTION"), F.col("o_totalprice").cast(money).alias("BASE_ENCOUNTER_COST"),
         F.col("_claim").cast(money).alias("TOTAL_CLAIM_COST"), F.col("o_totalprice").cast(money).alias("PAYER_COVERAGE"),
-        F.lit(None).cast("string").alias("REASONCODE"), F.lit(None).cast("string").alias("REASONDESCRIPTION"))
+        *reasons(F.col("o_orderkey")))
+
+
+def reasons(key) -> list:
+    """Reason code and description of every third key."""
+    return [F.when(key % 3 == 0, F.concat(F.lit(p), (key % 7).cast("string"))).alias(c)
+            for c, p in (("REASONCODE", "R"), ("REASONDESCRIPTION", "Reason "))]
 
 
 def q_silver_patients(spark, d):
@@ -359,28 +386,67 @@ def bronze_procedures_text_ids(spark: SparkSession, d: str) -> DataFrame:
     """``bronze_procedures`` with the patient and encounter ids as text, matching the
     silver patient and encounter loads."""
     b = bronze_procedures(spark, d)
-    none = F.lit(None).cast("string")
-    return (b.withColumn("PATIENT", F.col("PATIENT").cast("string"))
-            .withColumn("ENCOUNTER", F.col("ENCOUNTER").cast("string"))
-            .withColumn("REASONCODE", none).withColumn("REASONDESCRIPTION", none))
+    code, description = reasons(F.col("ENCOUNTER"))
+    return (b.select("*", code, description).withColumn("PATIENT", F.col("PATIENT").cast("string"))
+            .withColumn("ENCOUNTER", F.col("ENCOUNTER").cast("string")))
 
 
-def q_gold_constraints(spark, d):
-    """The whole silver -> gold path on the driver tables (payers, patients, encounters,
-    procedures; two role-playing date dimensions; narrowed dims and facts), then the gold
-    constraint report: six foreign keys, six primary keys, four NOT NULL columns."""
-    from strata.plans.gold import gold_constraint_report, gold_tables
+def gold_layer(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The whole silver -> gold path on the driver tables.  Silver is a stored layer: each of
+    its tables is made once and read by everything that follows."""
+    from strata.plans.gold import gold_tables
 
     ensure_checkpoint_dir(spark)
-    payers = q_silver_payers(spark, d)
-    patients = silver_patients(bronze_patients(spark, d), None, BATCH1_TS)
-    encounters = silver_encounters(bronze_encounters(spark, d).checkpoint(eager=True), patients, payers, None,
-                                   BATCH1_TS)
-    procedures = silver_procedures(bronze_procedures_text_ids(spark, d).checkpoint(eager=True), patients,
-                                   "patient_id", encounters, "encounter_id")
-    gold = gold_tables({"payers": payers, "patients": patients, "encounters": encounters,
-                        "procedures": procedures})
-    return gold_constraint_report(gold)
+    payers = q_silver_payers(spark, d).checkpoint()
+    patients = silver_patients(bronze_patients(spark, d), None, BATCH1_TS).checkpoint()
+    encounters = silver_encounters(bronze_encounters(spark, d).checkpoint(), patients, payers, None, BATCH1_TS).checkpoint()
+    procedures = silver_procedures(bronze_procedures_text_ids(spark, d).checkpoint(), patients, "patient_id",
+                                   encounters, "encounter_id").checkpoint()
+    return gold_tables({"payers": payers, "patients": patients, "encounters": encounters, "procedures": procedures})
+
+
+def q_gold_constraints(spark, d):
+    """The gold constraint report: foreign and primary keys, NOT NULL columns, widths."""
+    from strata.plans.gold import gold_constraint_report
+
+    return gold_constraint_report(gold_layer(spark, d))
+
+
+def q_gold_dim_payers(spark, d):
+    from strata.plans.gold import gold_tables
+
+    return gold_tables({"payers": q_silver_payers(spark, d)}, ["dim_payers"])["dim_payers"]
+
+
+def q_gold_dim_patients(spark, d):
+    from strata.plans.gold import gold_tables
+
+    return gold_tables({"patients": q_silver_patients(spark, d)}, ["dim_patients"])["dim_patients"]
+
+
+def q_gold_fact_encounters(spark, d):
+    from strata.plans.gold import gold_tables
+
+    return gold_tables({"encounters": q_silver_encounters(spark, d)}, ["fact_encounters"])["fact_encounters"]
+
+
+def q_gold_fact_procedures(spark, d):
+    return gold_layer(spark, d)["fact_procedures"]
+
+
+def q_gold_encounter_date(spark, d):
+    return gold_layer(spark, d)["dim_encounter_date"].select("date_key")
+
+
+def q_gold_procedure_date(spark, d):
+    return gold_layer(spark, d)["dim_procedure_date"].select("date_key")
+
+
+def _gold_question(name: str):
+    def run(spark, d):
+        return Q.gold_questions(gold_layer(spark, d))[name]
+
+    return run
 
 
 # ------------------------------------------------------------------- D1, T4/T5
@@ -494,6 +560,63 @@ def q_duplicate_rows(spark, d):
     return duplicate_groups(table(spark, d, "lineitem"), LINE_KEY + ["l_shipdate"])
 
 
+def q_duplicate_members(spark, d):
+    """Every row of each composite key with its number within the key."""
+    return duplicate_members(table(spark, d, "lineitem"), ["l_orderkey", "l_partkey"], ["l_linenumber"]).select(
+        *LINE_KEY, "l_partkey", "row_in_key")
+
+
+def q_missing_or_present(spark, d):
+    """Patients without a birth date, or with a suffix."""
+    b = bronze_patients(spark, d)
+    return quality.rows_where(b, F.col("BIRTHDATE").isNull() | F.col("SUFFIX").isNotNull()).select(
+        "Id", "BIRTHDATE", "SUFFIX")
+
+
+def q_first_rows(spark, d):
+    return preview(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], 100)
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+
+
+def q_csv_round_trip(spark, d):
+    """Suppliers as a CSV file with a rejected row, read back as bronze through a published table."""
+    root = _scratch_root(spark)
+    s = table(spark, d, "supplier")
+    good = {"Id": F.col("s_suppkey"), "NAME": F.concat("s_name", F.lit(", Inc.")), "ADDRESS": F.lit(None).cast("string"),
+            "CITY": F.lit("Town"), "STATE_HEADQUARTERED": F.col("s_nationkey"), "ZIP": F.lit("00001"), "PHONE": F.lit("1-800")}
+    s.select(*[c.alias(n) for n, c in good.items()]).write.option("header", True).csv(f"{root}-csv/payers.csv")
+    broken = s.agg(F.concat_ws(",", F.min("s_suppkey"), F.lit("a,b,c,d,e,f,g,h")).alias("line"))  # too many fields
+    broken.select(F.explode(F.array(F.lit(",".join(good)), "line"))).write.mode("append").text(f"{root}-csv/payers.csv")
+    number = open_warehouse(spark, root)
+    rows = read_bronze(spark, f"{root}-csv/payers.csv", schemas.BRONZE["payers"])
+    part = write_part(rows, root, "bronze", "payers", unique_version("trip"), partition_by=[REJECTED])
+    publish(spark, root, number, {"bronze/payers": [part]})
+    path = f"{root}/{current_tables(spark, root)['bronze/payers'][0]}"
+    read = good_rows(spark, path, schemas.BRONZE["payers"]).select("Id", "NAME", "CITY", "STATE_HEADQUARTERED")
+    bad = rejected_rows(spark, path, schemas.BRONZE["payers"]).agg(F.count("*").cast("string").alias("Id"))
+    return read.unionByName(bad.select("Id", F.lit("rejected").alias("NAME"), F.lit(None).cast("string").alias("CITY"),
+                                       F.lit(None).cast("string").alias("STATE_HEADQUARTERED")))
+
+
+def q_two_batches(spark, d):
+    """Orders loaded in two batches, the second as an appended part: a published table of two
+    parts, with the keys of the first batch unchanged."""
+    root = _scratch_root(spark)
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    number = open_warehouse(spark, root)
+    early = orders.filter(F.col("o_orderdate") < X.ntz_lit(LOADED_BEFORE))
+    first = write_part(assign_keys(early, ["o_orderkey"], "order_key"), root, "silver", "orders", unique_version("b"))
+    number = publish(spark, root, number, {"silver/orders": [first]})
+    there = read_layer(spark, root, "silver", "orders")
+    later = new_rows(there, orders.withColumn("o_totalprice", F.col("o_totalprice") * 2), "o_orderkey", "order_key")
+    second = write_part(later, root, "silver", "orders", unique_version("b"))
+    publish(spark, root, number, {"silver/orders": [first, second]})
+    return read_layer(spark, root, "silver", "orders")
+
+
 # ------------------------------------------------------------------- Q1-Q10
 def q01_per_year(spark, d):
     return Q.encounters_per_year(table(spark, d, "orders"), "o_orderdate")
@@ -534,6 +657,11 @@ def q08_patients_per_quarter(spark, d):
     return Q.distinct_per_quarter(table(spark, d, "orders"), "o_orderdate", "o_custkey")
 
 
+def q08_urgent_per_quarter(spark, d):
+    return Q.distinct_per_quarter(table(spark, d, "orders"), "o_orderdate", "o_custkey", "o_orderpriority",
+                                  ["1-URGENT", "2-HIGH"])
+
+
 def _readmissions(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return Q.readmission_rows(o, "o_custkey", "o_orderdate", "o_orderdate", ["o_orderdate", "o_orderkey"])
@@ -557,6 +685,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "negative_durations": q_negative_durations,
     "longest_durations": q_longest_durations,
     "minute_boundaries": q_minute_boundaries,
+    "sliced_gaps": q_sliced_gaps,
     "age_by_year": q_age_by_year,
     "title_case": q_title_case,
     "recode_segment": q_recode_segment,
@@ -581,6 +710,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_dim": q_gold_dim,
     "gold_fact": q_gold_fact,
     "gold_constraints": q_gold_constraints,
+    "gold_dim_payers": q_gold_dim_payers,
+    "gold_dim_patients": q_gold_dim_patients,
+    "gold_encounter_date": q_gold_encounter_date,
+    "gold_procedure_date": q_gold_procedure_date,
+    "gold_fact_encounters": q_gold_fact_encounters,
+    "gold_fact_procedures": q_gold_fact_procedures,
+    "gold_q05_top_frequent": _gold_question("q05_top_frequent"),
+    "gold_q07_claim_by_payer": _gold_question("q07_claim_by_payer"),
+    "gold_q09_readmitted_30d": _gold_question("q09_readmitted_30d"),
     "fk_report": q_fk_report,
     "pk_report": q_pk_report,
     "constraint_report": q_constraint_report,
@@ -593,6 +731,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coverage_over_claim": q_coverage_over_claim,
     "key_check": q_key_check,
     "duplicate_rows": q_duplicate_rows,
+    "duplicate_members": q_duplicate_members,
+    "missing_or_present": q_missing_or_present,
+    "first_rows": q_first_rows,
+    "csv_round_trip": q_csv_round_trip,
+    "two_batches": q_two_batches,
     "q01_per_year": q01_per_year,
     "q02_class_share": q02_class_share,
     "q03_over_24h": q03_over_24h,
@@ -601,6 +744,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q06_top_cost": q06_top_cost,
     "q07_claim_by_payer": q07_claim_by_payer,
     "q08_patients_per_quarter": q08_patients_per_quarter,
+    "q08_urgent_per_quarter": q08_urgent_per_quarter,
     "q09_readmitted_30d": q09_readmitted_30d,
     "q10_most_readmissions": q10_most_readmissions,
 }

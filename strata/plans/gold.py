@@ -3,7 +3,7 @@ and the constraint report that must pass before the layer is published."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -11,22 +11,38 @@ from strata import schemas
 from strata.operators import constraints as C
 from strata.operators.calendar import date_dimension
 
+# The columns declared NOT NULL and the declared widths of texts.
+DATE_PARTS = ["full_date", "calendar_year", "calendar_quarter", "calendar_month", "calendar_day", "day_of_week",
+              "day_name", "is_weekend", "fiscal_year", "fiscal_quarter", "fiscal_month"]
+NOT_NULL = {
+    "dim_encounter_date": DATE_PARTS,
+    "fact_encounters": ["encounter_start", "encounter_stop", "patient_key", "payer_key"],
+    "dim_procedure_date": DATE_PARTS,
+}
+WIDTHS = {
+    "dim_encounter_date": {"day_name": 10},
+    "fact_encounters": {"encounterclass": 50, "encounter_code": 20, "encounter_description": 255, "reason_code": 20,
+                        "reason_description": 255},
+}
 
-def gold_tables(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+
+def gold_tables(silver: Mapping[str, DataFrame], names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The gold tables, or those of them that are asked for."""
     cols = schemas.GOLD_COLUMNS
-    return {
-        "dim_payers": silver["payers"].select(*cols["dim_payers"]),
-        "dim_patients": silver["patients"].select(*cols["dim_patients"]),
-        "dim_encounter_date": date_dimension(silver["encounters"], "encounter_start"),
-        "fact_encounters": silver["encounters"].select(*cols["fact_encounters"]),
-        "dim_procedure_date": date_dimension(silver["procedures"], "procedure_start"),
-        "fact_procedures": silver["procedures"].select(*cols["fact_procedures"]),
+    make = {
+        "dim_payers": lambda: silver["payers"].select(*cols["dim_payers"]),
+        "dim_patients": lambda: silver["patients"].select(*cols["dim_patients"]),
+        "dim_encounter_date": lambda: date_dimension(silver["encounters"], "encounter_start"),
+        "fact_encounters": lambda: silver["encounters"].select(*cols["fact_encounters"]),
+        "dim_procedure_date": lambda: date_dimension(silver["procedures"], "procedure_start"),
+        "fact_procedures": lambda: silver["procedures"].select(*cols["fact_procedures"]),
     }
+    return {name: make[name]() for name in names or make}
 
 
 def gold_constraint_report(gold: Mapping[str, DataFrame]) -> DataFrame:
     """Six foreign keys (the procedure date points at the procedure date dimension),
-    the primary keys, and the NOT NULL columns of the facts."""
+    the primary keys, the NOT NULL columns and the declared widths."""
     g = gold
     rules = [
         C.fk_rule(g["fact_encounters"], "date_key", g["dim_encounter_date"], "date_key", "fact_encounters",
@@ -46,6 +62,8 @@ def gold_constraint_report(gold: Mapping[str, DataFrame]) -> DataFrame:
                       ("dim_encounter_date", "date_key"), ("fact_encounters", "encounter_key"),
                       ("dim_procedure_date", "date_key"), ("fact_procedures", "procedure_key")]:
         rules.append(C.pk_rule(g[name], [key], name, f"PK_{name}"))
-    for col in ["encounter_start", "encounter_stop", "patient_key", "payer_key"]:
-        rules.append(C.not_null_rule(g["fact_encounters"], col, "fact_encounters", f"NN_{col}"))
+    for name, columns in NOT_NULL.items():
+        rules.append(C.not_null_rules(g[name], columns, name))
+    for name, limits in WIDTHS.items():
+        rules.append(C.length_rules(g[name], limits, name))
     return C.constraint_report(rules)

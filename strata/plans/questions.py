@@ -51,7 +51,7 @@ def class_share(df: DataFrame, start: str, cls: str, class_name: str = "encounte
     from pyspark.sql import Window
 
     year_total = F.sum("n_encounters").over(Window.partitionBy("calendar_year"))
-    return counts.withColumn("pct_of_year", percent(F.col("n_encounters"), year_total))
+    return counts.withColumn("pct_of_year", F.round(percent(F.col("n_encounters"), year_total), 2))
 
 
 def duration_share(df: DataFrame, start: str, stop: str, threshold_hours: float = 24.0) -> DataFrame:
@@ -70,8 +70,8 @@ def zero_share(df: DataFrame, value: str) -> DataFrame:
     return counted.select("n_zero", "n_total", percent(F.col("n_zero"), F.col("n_total")).alias("pct_zero"))
 
 
-def code_stats(df: DataFrame, code: str, cost: str) -> DataFrame:
-    return df.groupBy(code).agg(F.count(F.lit(1)).alias("n_procedures"),
+def code_stats(df: DataFrame, code: str, cost: str, *more: str) -> DataFrame:
+    return df.groupBy(code, *more).agg(F.count(F.lit(1)).alias("n_procedures"),
                                 exact_avg(cost).alias("avg_base_cost"))
 
 
@@ -81,9 +81,9 @@ def top_codes(stats: DataFrame, code: str, by: str, k: int) -> DataFrame:
 
 
 def name_codes(top: DataFrame, code: str, names: DataFrame, names_key: str, name_col: str) -> DataFrame:
-    """Attach a name to the k top codes.  The left side has at most k rows."""
+    """Attach a name to the top codes.  No broadcast is forced: the planner measures both sides."""
     n = names.select(F.col(names_key).alias("_nk"), F.col(name_col))
-    return F.broadcast(top).join(n, F.col(code) == F.col("_nk"), "inner").drop("_nk")
+    return top.join(n, F.col(code) == F.col("_nk"), "inner").drop("_nk")
 
 
 def avg_by_member(facts: DataFrame, fk: str, value: str, dim: DataFrame, dim_natural_key: str,
@@ -98,7 +98,11 @@ def avg_by_member(facts: DataFrame, fk: str, value: str, dim: DataFrame, dim_nat
         F.col("_dk").alias(dim_key), F.col("_dn").alias(dim_name), count_name, avg_name)
 
 
-def distinct_per_quarter(df: DataFrame, start: str, entity: str) -> DataFrame:
+def distinct_per_quarter(df: DataFrame, start: str, entity: str, cls: str | None = None,
+                         classes: Sequence[str] | None = None) -> DataFrame:
+    """Distinct entities per quarter; only rows whose ``cls`` is one of ``classes``, if given."""
+    if classes is not None:
+        df = df.filter(F.col(cls).isin(*classes))
     return (df.groupBy(F.year(start).alias("calendar_year"), F.quarter(start).alias("calendar_quarter"))
             .agg(F.countDistinct(entity).alias("n_patients")))
 
@@ -125,11 +129,12 @@ def most_readmissions(rows: DataFrame, patient: str, k: int = 10) -> DataFrame:
 
 
 def gold_questions(gold: dict[str, DataFrame], bronze_encounters: DataFrame | None = None,
-                   k: int = 10) -> dict[str, DataFrame]:
+                   k: int = 10, classes: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Q1-Q10 over the published gold star schema (``gold_tables`` output).  Q4 needs the
     bronze encounters, because silver raises a zero coverage to 1."""
     enc, proc, payers = gold["fact_encounters"], gold["fact_procedures"], gold["dim_payers"]
-    stats = code_stats(proc, "procedure_code", "base_procedure_cost")
+    # a code has one canonical description, so grouping by both is grouping by the code
+    stats = code_stats(proc, "procedure_code", "base_procedure_cost", "procedure_description")
     readmits = readmission_rows(enc, "patient_key", "encounter_start", "encounter_stop",
                                 ["encounter_start", "encounter_key"])
     out = {
@@ -140,7 +145,7 @@ def gold_questions(gold: dict[str, DataFrame], bronze_encounters: DataFrame | No
         "q06_top_cost": top_codes(stats, "procedure_code", "avg_base_cost", k),
         "q07_claim_by_payer": avg_by_member(enc, "payer_key", "total_claim_cost", payers, "payer_key",
                                             "payer_key", "payer_name"),
-        "q08_patients_per_quarter": distinct_per_quarter(enc, "encounter_start", "patient_key"),
+        "q08_patients_per_quarter": distinct_per_quarter(enc, "encounter_start", "patient_key", "encounterclass", classes),
         "q09_readmitted_30d": readmission_summary(readmits, "patient_key"),
         "q10_most_readmissions": most_readmissions(readmits, "patient_key", k),
     }

@@ -1,10 +1,12 @@
 """Whole refresh: CSV -> bronze -> silver -> gold -> constraint check -> publish -> views.
 
-Every layer is written as a new version and read back before the next layer uses it,
-so each layer's lineage is cut at a written table in the shared root (a lost executor
-recomputes from the last written layer, not from the CSVs), and a failed refresh
-leaves the previous published version untouched: pointers are only moved after the
-gold constraint report passes.
+Every table is written to a folder of its own attempt and read back before the next layer
+uses it, so each layer's lineage is cut at a written table in the shared root (a lost
+executor recomputes from the last written layer, not from the CSVs).  One manifest, put in
+place after the gold constraint report passes, publishes all of them.  A failed refresh, or
+one that is run again with the same stamp, touches nothing that is published.
+
+Encounters are appended: a refresh writes the new ones only, as one part more.
 """
 
 from __future__ import annotations
@@ -13,66 +15,82 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata import schemas
 from strata.operators.constraints import assert_constraints
-from strata.plans.gold import gold_tables, gold_constraint_report
-from strata.plans.silver import silver_encounters, silver_patients, silver_payers, silver_procedures
+from strata.plans.gold import gold_constraint_report, gold_tables
+from strata.plans.silver import new_silver_encounters, silver_patients, silver_payers, silver_procedures
 from strata.sources.audit import load_audit, observed
-from strata.sources.csv_bronze import read_bronze_table
-from strata.sources.tables import publish, publish_views, read_layer, version_path, write_version
+from strata.sources.csv_bronze import REJECTED, good_rows, read_bronze_table
+from strata.sources.tables import (Tables, current_tables, open_views, open_warehouse, publish, read_parts,
+                                   unique_version, write_part)
 
 BRONZE_TABLES = ("payers", "patients", "encounters", "procedures")
+# the silver table each gold table is made from
+GOLD_SOURCE = {"dim_payers": "payers", "dim_patients": "patients", "dim_encounter_date": "encounters",
+               "fact_encounters": "encounters", "dim_procedure_date": "procedures", "fact_procedures": "procedures"}
+
+
+class Attempt:
+    """The folders and row counts of one refresh."""
+
+    def __init__(self, spark: SparkSession, root: str, version: str):
+        self.spark, self.root, self.version = spark, root, version
+        self.tables: Tables = {}
+        self.counts: dict[str, tuple[int, int, int]] = {}  # in, out, rejected
+
+    def rows_out(self, table: str) -> int:
+        return self.counts[table][1]
 
+    def write(self, df: DataFrame, layer: str, name: str, rows_in: int, before: list[str] | None = None) -> DataFrame:
+        """Write a table, or one part more of it, and read the whole table."""
+        table = f"{layer}/{name}"
+        tracked, obs = observed(df, f"{table}/{self.version}")
+        part = write_part(tracked, self.root, layer, name, self.version)
+        self.counts[table] = (rows_in, obs.get["rows"], 0)
+        self.tables[table] = [*(before or []), part]
+        return read_parts(self.spark, self.root, self.tables[table])
 
-def _write_read(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str, version: str,
-                audit: list, rows_in: int | None = None) -> DataFrame:
-    tracked, obs = observed(df, f"{layer}_{name}_{version}")
-    path = write_version(tracked, root, layer, name, version)
-    audit.append((layer, name, rows_in, obs.get.get("rows", 0), None))
-    return spark.read.parquet(path)
+    def write_bronze(self, src_dir: str, name: str) -> DataFrame:
+        tracked, obs = observed(read_bronze_table(self.spark, src_dir, name), f"bronze/{name}/{self.version}", REJECTED)
+        part = write_part(tracked, self.root, "bronze", name, self.version, partition_by=[REJECTED])
+        rows, rejected = obs.get["rows"], obs.get["rejected"]
+        self.counts[f"bronze/{name}"] = (rows, rows - rejected, rejected)
+        self.tables[f"bronze/{name}"] = [part]
+        return good_rows(self.spark, f"{self.root}/{part}", schemas.BRONZE[name])
 
 
 def run_refresh(spark: SparkSession, src_dir: str, root: str, batch_ts: dt.datetime,
                 version: str | None = None) -> dict:
-    version = version or batch_ts.strftime("%Y%m%dT%H%M%S")
-    audit: list = []
-    written: list[tuple[str, str]] = []
-
-    bronze: dict[str, DataFrame] = {}
-    for name in BRONZE_TABLES:
-        good, rejected = read_bronze_table(spark, src_dir, name)
-        rej, rej_obs = observed(rejected, f"rejected_{name}_{version}")
-        rej.write.mode("overwrite").parquet(version_path(root, "bronze", f"{name}_rejected", version))
-        tracked, obs = observed(good, f"bronze_{name}_{version}")
-        path = write_version(tracked, root, "bronze", name, version)
-        n_rej = rej_obs.get.get("rows", 0)
-        n_good = obs.get.get("rows", 0)
-        audit.append(("bronze", name, n_good + n_rej, n_good, n_rej))
-        bronze[name] = spark.read.parquet(path)
-        written += [("bronze", name), ("bronze", f"{name}_rejected")]
-
-    prev = {n: read_layer(spark, root, "silver", n) for n in ("payers", "patients", "encounters")}
+    """``version`` labels the attempt; it is made unique."""
+    number = open_warehouse(spark, root)
+    attempt = Attempt(spark, root, unique_version(version or batch_ts.strftime("%Y%m%dT%H%M%S")))
+    published = current_tables(spark, root)
+    prev = {n: read_parts(spark, root, published[f"silver/{n}"]) if f"silver/{n}" in published else None
+            for n in ("payers", "patients", "encounters")}
+
+    bronze = {name: attempt.write_bronze(src_dir, name) for name in BRONZE_TABLES}
+    came = {name: attempt.rows_out(f"bronze/{name}") for name in BRONZE_TABLES}
+
     silver: dict[str, DataFrame] = {}
-    silver["payers"] = _write_read(spark, silver_payers(bronze["payers"], bronze["encounters"], prev["payers"],
-                                                        batch_ts), root, "silver", "payers", version, audit)
-    silver["patients"] = _write_read(spark, silver_patients(bronze["patients"], prev["patients"], batch_ts),
-                                     root, "silver", "patients", version, audit)
-    silver["encounters"] = _write_read(
-        spark, silver_encounters(bronze["encounters"], silver["patients"], silver["payers"], prev["encounters"],
-                                 batch_ts), root, "silver", "encounters", version, audit)
-    silver["procedures"] = _write_read(
-        spark, silver_procedures(bronze["procedures"], silver["patients"], "patient_id", silver["encounters"],
-                                 "encounter_id"), root, "silver", "procedures", version, audit)
-    written += [("silver", n) for n in silver]
-
-    gold = {name: _write_read(spark, df, root, "gold", name, version, audit)
-            for name, df in gold_tables(silver).items()}
-    written += [("gold", n) for n in gold]
+    silver["payers"] = attempt.write(
+        silver_payers(bronze["payers"], bronze["encounters"], prev["payers"], batch_ts), "silver", "payers", came["payers"])
+    silver["patients"] = attempt.write(
+        silver_patients(bronze["patients"], prev["patients"], batch_ts), "silver", "patients", came["patients"])
+    silver["encounters"] = attempt.write(
+        new_silver_encounters(bronze["encounters"], silver["patients"], silver["payers"], prev["encounters"], batch_ts),
+        "silver", "encounters", came["encounters"], before=published.get("silver/encounters"))
+    silver["procedures"] = attempt.write(
+        silver_procedures(bronze["procedures"], silver["patients"], "patient_id", silver["encounters"], "encounter_id"),
+        "silver", "procedures", came["procedures"])
 
+    gold = {name: attempt.write(df, "gold", name, attempt.rows_out(f"silver/{GOLD_SOURCE[name]}"))
+            for name, df in gold_tables(silver).items()}
     report = gold_constraint_report(gold)
     assert_constraints(report)  # raises before anything is published
 
-    for layer, name in written:
-        publish(spark, root, layer, name, version)
-    views = publish_views(gold)
-    return {"version": version, "bronze": bronze, "silver": silver, "gold": gold, "report": report,
-            "views": views, "audit": load_audit(spark, audit, batch_ts)}
+    audit = load_audit(spark, [(*table.split("/"), *counts) for table, counts in attempt.counts.items()], batch_ts)
+    audit_part = write_part(audit.coalesce(1), root, "audit", "loads", attempt.version)
+    attempt.tables["audit/loads"] = [*published.get("audit/loads", []), audit_part]
+    publish(spark, root, number, attempt.tables)
+    return {"version": attempt.version, "bronze": bronze, "silver": silver, "gold": gold, "report": report,
+            "views": open_views(spark, root), "audit": read_parts(spark, root, [audit_part])}

@@ -19,8 +19,7 @@ from strata.functions import expr as X
 from strata.operators.canonical import canonical_description
 from strata.operators.dedupe import drop_null_keys, first_per_key
 from strata.operators.keys import assign_keys
-from strata.operators.merge import (UNGUARDED, ensure_placeholder, incremental_insert, infer_missing_members,
-                                    upsert_scd1)
+from strata.operators.merge import (UNGUARDED, ensure_placeholder, infer_missing_members, new_rows, upsert_scd1)
 from strata.operators.outliers import cap_outliers, iqr_bounds
 from strata.sources.lookups import us_states
 from strata import schemas
@@ -119,11 +118,11 @@ def _durations(df: DataFrame) -> DataFrame:
     return df.withColumn("_dur", X.minute_diff("START", "STOP"))
 
 
-def silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, existing: DataFrame | None,
+def new_silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, existing: DataFrame | None,
                       batch_ts: dt.datetime) -> DataFrame:
     """IQR limit over all bronze rows; canonical descriptions; RI filters (patient, payer
-    with NULL -> placeholder) and id dedupe up front; derived columns; incremental
-    insert (rows already loaded never change)."""
+    with NULL -> placeholder) and id dedupe up front; derived columns; only the rows that
+    are not loaded yet, with keys after the last (rows already loaded never change)."""
     spark = bronze.sparkSession
     b = trim_ids(bronze, ["Id", "PATIENT", "PAYER", "CODE"])
     limits = iqr_bounds(_durations(bronze), "_dur")
@@ -154,7 +153,14 @@ def silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame,
     target = existing if existing is not None else _empty(spark, schemas.SILVER_ENCOUNTERS)
     src = src.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                        for f in schemas.SILVER_ENCOUNTERS.fields if f.name != "encounter_key"])
-    return incremental_insert(target, src, "encounter_id", "encounter_key")
+    return new_rows(target, src, "encounter_id", "encounter_key")
+
+
+def silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, existing: DataFrame | None,
+                      batch_ts: dt.datetime) -> DataFrame:
+    """The whole table after the load: what was there, and the new rows."""
+    fresh = new_silver_encounters(bronze, patients, payers, existing, batch_ts)
+    return fresh if existing is None else existing.unionByName(fresh)
 
 
 # -------------------------------------------------------------------- procedures

@@ -1,4 +1,7 @@
-"""Declared schemas of the bronze, silver and gold layers (never inferred)."""
+"""Declared schemas of the bronze, silver and gold layers (never inferred).
+
+Column names and types are the contract of the files and tables: fixed values.
+"""
 
 from __future__ import annotations
 
@@ -33,17 +36,17 @@ BRONZE = {"payers": BRONZE_PAYERS, "patients": BRONZE_PATIENTS, "encounters": BR
 US_STATES = _schema(("StateID", I), ("StateName", S), ("Abbreviation", S))
 
 # ----------------------------------------------------------------------- silver
-SILVER_PAYERS = _schema(("payer_key", I), ("payer_id", S), ("payer_name", S), ("payer_address", S),
+SILVER_PAYERS = _schema(("payer_key", L), ("payer_id", S), ("payer_name", S), ("payer_address", S),
                         ("payer_city", S), ("state_headquartered", S), ("payer_state", S), ("zip", S),
                         ("phone", S), ("updated_at", TS))
-SILVER_PATIENTS = _schema(("patient_key", I), ("patient_id", S), ("birth_date", D), ("death_date", D),
+SILVER_PATIENTS = _schema(("patient_key", L), ("patient_id", S), ("birth_date", D), ("death_date", D),
                           ("patient_name", S), ("suffix", S), ("maiden", B), ("marital_status", S), ("race", S),
                           ("ethnicity", S), ("gender", S), ("birth_place", S), ("patient_address", S),
                           ("patient_city", S), ("patient_state", S), ("patient_county", S), ("zip", S),
                           ("lat", GEO), ("lon", GEO), ("updated_at", TS))
-SILVER_ENCOUNTERS = _schema(("encounter_key", I), ("encounter_id", S), ("encounter_start", TS),
+SILVER_ENCOUNTERS = _schema(("encounter_key", L), ("encounter_id", S), ("encounter_start", TS),
                             ("encounter_stop", TS), ("date_key", I), ("encounter_duration_min", I),
-                            ("patient_key", I), ("patient_age_ed", I), ("organization", S), ("payer_key", I),
+                            ("patient_key", L), ("patient_age_ed", I), ("organization", S), ("payer_key", L),
                             ("encounterclass", S), ("encounter_code", S), ("encounter_description", S),
                             ("base_encounter_cost", MONEY), ("total_claim_cost", MONEY), ("payer_coverage", MONEY),
                             ("reason_code", S), ("reason_description", S), ("recorded_at", TS))

@@ -1,4 +1,4 @@
-"""Load audit: rows in / out / rejected per table and batch, as a DataFrame.
+"""Load audit: rows in / out / rejected per table and batch, as a stored table.
 
 Counts are taken with ``DataFrame.observe`` while the table is being written, so the
 audit costs no extra pass over the data.
@@ -15,14 +15,16 @@ AUDIT_SCHEMA = ("layer string, table_name string, rows_in long, rows_out long, r
                 "batch_ts timestamp_ntz")
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter; read ``obs.get['rows']`` after the write action."""
+def observed(df: DataFrame, name: str, rejected: str | None = None) -> tuple[DataFrame, Observation]:
+    """Attach a row counter; read ``obs.get['rows']`` (and ``['rejected']``) after the write."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if rejected:
+        counts.append(F.count_if(F.col(rejected)).alias("rejected"))
+    return df.observe(obs, *counts), obs
 
 
-def load_audit(spark: SparkSession, entries: list[tuple[str, str, int | None, int | None, int | None]],
-               batch_ts: dt.datetime) -> DataFrame:
+def load_audit(spark: SparkSession, entries: list[tuple[str, str, int, int, int]], batch_ts: dt.datetime) -> DataFrame:
     """One row per (layer, table): the counts gathered during a refresh."""
     rows = [(layer, name, rin, rout, rrej, batch_ts) for layer, name, rin, rout, rrej in entries]
     return spark.createDataFrame(rows, AUDIT_SCHEMA)

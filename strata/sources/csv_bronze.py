@@ -3,7 +3,8 @@
 The schema is declared, never inferred; columns are taken by position after the
 header row.  Quotes follow RFC 4180 (a quoted comma stays inside its field).  A row
 that does not fit the schema (a value that does not parse, too few or too many
-fields) is not lost: it goes to the rejected output with its raw text.
+fields) is not lost: it is kept as rejected, with its raw text.  Good and rejected
+rows leave the same scan, marked by ``REJECTED``, so each file is parsed once.
 """
 
 from __future__ import annotations
@@ -14,31 +15,40 @@ from pyspark.sql import types as T
 
 from strata import schemas
 
-BAD = "_rejected_record"
+RAW = "raw_record"
+REJECTED = "_rejected"
 
 
-def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(good rows with ``schema``, rejected rows with ``raw_record`` plus the parsed fields).  ``path`` may be a
+def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows with ``schema``, ``raw_record`` (of rejected rows) and ``_rejected``.  ``path`` may be a
     file, a directory or a glob; files are split across tasks like any scan."""
-    with_bad = T.StructType(schema.fields + [T.StructField(BAD, T.StringType(), True)])
-    raw = (spark.read.schema(with_bad)
-           .option("header", True)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", BAD)
-           .option("enforceSchema", True)
-           .option("quote", '"').option("escape", '"')
-           .option("multiLine", False)
-           .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS]['Z']")
-           .option("dateFormat", "yyyy-MM-dd")
-           .option("encoding", "UTF-8")
-           .csv(path))
-    good = raw.filter(F.col(BAD).isNull()).drop(BAD)
-    # Spark refuses a scan that reads only the corrupt-record column, so the rejected
-    # rows keep whatever did parse next to their raw text.
-    rejected = raw.filter(F.col(BAD).isNotNull()).select(F.col(BAD).alias("raw_record"),
-                                                         *[F.col(f.name) for f in schema.fields])
-    return good, rejected
-
-
-def read_bronze_table(spark: SparkSession, src_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    with_raw = T.StructType(schema.fields + [T.StructField(RAW, T.StringType(), True)])
+    rows = (spark.read.schema(with_raw)
+            .option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", RAW)
+            .option("enforceSchema", True)
+            .option("quote", '"').option("escape", '"')
+            .option("multiLine", False)
+            .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS]['Z']")
+            .option("dateFormat", "yyyy-MM-dd")
+            .option("encoding", "UTF-8")
+            .csv(path))
+    return rows.withColumn(REJECTED, F.col(RAW).isNotNull())
+
+
+def read_bronze_table(spark: SparkSession, src_dir: str, name: str) -> DataFrame:
     return read_bronze(spark, f"{src_dir}/{name}.csv", schemas.BRONZE[name])
+
+
+def good_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The good rows of a bronze folder written partitioned by ``_rejected``."""
+    written = T.StructType(schema.fields + [T.StructField(REJECTED, T.BooleanType())])
+    return spark.read.schema(written).parquet(path).where(~F.col(REJECTED)).drop(REJECTED)
+
+
+def rejected_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rejected rows: their raw text, and what did parse of them."""
+    written = T.StructType(schema.fields + [T.StructField(RAW, T.StringType()), T.StructField(REJECTED, T.BooleanType())])
+    rows = spark.read.schema(written).parquet(path).where(F.col(REJECTED))
+    return rows.select(RAW, *[F.col(f.name) for f in schema.fields])

@@ -1,83 +1,125 @@
-"""Layer storage: versioned parquet tables, current-version pointers, views.
-
-A load never overwrites the files it reads.  Each write goes to
-``<root>/<layer>/<table>/v=<version>``; once every table of a refresh is written and
-checked, ``publish`` writes the pointer ``<root>/<layer>/<table>/_current`` naming the
-version.  Readers follow the pointer, so they see either the old or the new version,
-never a half-written one.  ``root`` must be a shared file system (HDFS, object store)
-on a cluster.
+"""Layer storage: tables made of immutable parts, and numbered manifests that name them.
+
+A load writes its rows to a new folder ``<root>/<layer>/<table>/v=<version>`` and never to
+one that exists.  A manifest ``<root>/_manifests/<number>`` lists, for every table, the
+folders that make it up; it is written under another name and put in place by one rename,
+so all tables of a refresh change together, and a reader sees the old warehouse or the new
+one.  Appending a part means listing one folder more.
+
+The first manifest, which lists nothing, is written before any data.  So "nothing loaded
+yet" and "the manifests are lost" differ: the latter raises.  ``root`` must be a shared
+file system (HDFS, object store) on a cluster.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
-
 
-def version_path(root: str, layer: str, name: str, version: str) -> str:
-    return f"{root}/{layer}/{name}/v={version}"
+MANIFESTS = "_manifests"
+#: (layer, table) -> its folders, relative to the root
+Tables = dict[str, list[str]]
 
 
-def _pointer_path(root: str, layer: str, name: str) -> str:
-    return f"{root}/{layer}/{name}/_current"
+class LostManifest(RuntimeError):
+    """Data is there, but no manifest says what belongs to it."""
 
 
-def write_version(df: DataFrame, root: str, layer: str, name: str, version: str,
-                  partition_by: Sequence[str] | None = None) -> str:
-    """Full reload (TRUNCATE + INSERT) as a new version directory."""
-    path = version_path(root, layer, name, version)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return path
+class StaleManifest(RuntimeError):
+    """Another refresh was published since this one began."""
 
 
-def append_version(df: DataFrame, root: str, layer: str, name: str, version: str) -> str:
-    """Append (INSERT ... SELECT) into a version directory."""
-    path = version_path(root, layer, name, version)
-    df.write.mode("append").parquet(path)
-    return path
+def unique_version(label: str) -> str:
+    """A version no other attempt has, however often a stamp is run again."""
+    return f"{label}-{uuid.uuid4().hex[:12]}"
 
 
-def publish(spark: SparkSession, root: str, layer: str, name: str, version: str) -> None:
-    """Point readers at ``version`` (a one-row text file, written last)."""
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        _pointer_path(root, layer, name))
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its file system (HDFS, object store or local)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    fs, hpath = _fs(spark, path)
+    return fs.exists(hpath)
+
+
+def _manifest_numbers(spark: SparkSession, root: str) -> list[int]:
+    fs, hpath = _fs(spark, f"{root}/{MANIFESTS}")
+    if not fs.exists(hpath):
+        return []
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(hpath) if s.getPath().getName().isdigit())
+
+
+def _put_manifest(spark: SparkSession, root: str, number: int, tables: Tables) -> None:
+    final = f"{root}/{MANIFESTS}/{number:09d}"
+    if _exists(spark, final):
+        raise StaleManifest(final)
+    draft = f"{root}/{MANIFESTS}/draft-{uuid.uuid4().hex}"
+    fs, hpath = _fs(spark, draft)
+    out = fs.create(hpath, False)
+    out.write(bytearray(json.dumps(tables, sort_keys=True).encode()))
+    out.close()
+    if not fs.rename(hpath, _fs(spark, final)[1]):
+        raise StaleManifest(final)
+
+
+def open_warehouse(spark: SparkSession, root: str) -> int:
+    """Number of the current manifest; the empty first one is written for a new root."""
+    numbers = _manifest_numbers(spark, root)
+    if numbers:
+        return numbers[-1]
+    fs, hpath = _fs(spark, root)
+    if fs.exists(hpath) and any(s.isDirectory() for s in fs.listStatus(hpath)):
+        raise LostManifest(f"{root} holds data but no manifest")
+    _put_manifest(spark, root, 0, {})
+    return 0
+
+
+def current_tables(spark: SparkSession, root: str) -> Tables:
+    """What the current manifest lists."""
+    number = open_warehouse(spark, root)
+    return json.loads(spark.read.text(f"{root}/{MANIFESTS}/{number:09d}", wholetext=True).first()[0])
+
+
+def publish(spark: SparkSession, root: str, number: int, changes: Tables) -> int:
+    """Put the manifest after ``number`` in place: the current tables with ``changes``."""
+    tables = current_tables(spark, root) | changes
+    _put_manifest(spark, root, number + 1, tables)
+    return number + 1
+
+
+def write_part(df: DataFrame, root: str, layer: str, name: str, version: str,
+               partition_by: Sequence[str] | None = None) -> str:
+    """Write rows to a new folder (an existing one is an error); returns it relative to the root."""
+    part = f"{layer}/{name}/v={version}"
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{root}/{part}")
+    return part
 
 
-def current_version(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
-    pointer = _pointer_path(root, layer, name)
-    if not _exists(spark, pointer):
-        return None
-    try:
-        row = spark.read.text(pointer).first()
-    except AnalysisException:
-        return None
-    return row[0] if row else None
+def read_parts(spark: SparkSession, root: str, parts: Sequence[str]) -> DataFrame:
+    # the folders are parts of one table, not partitions of a column v
+    schema = spark.read.parquet(f"{root}/{parts[0]}").schema
+    return spark.read.schema(schema).parquet(*[f"{root}/{p}" for p in parts])
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame | None:
-    """The published version of a table, or None when nothing is published yet."""
-    version = current_version(spark, root, layer, name)
-    if version is None:
-        return None
-    return spark.read.parquet(version_path(root, layer, name, version))
+    """The published rows of a table, or None when nothing is published for it yet."""
+    parts = current_tables(spark, root).get(f"{layer}/{name}")
+    return read_parts(spark, root, parts) if parts else None
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """Unordered preview (``SELECT TOP n *``); the limit is the feature."""
-    return df.limit(n)
+def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows in the given order; the limit is the feature."""
+    return df.orderBy(*order).limit(n)
 
 
 # Published wrapper views: one plain column list over each gold table.
@@ -91,15 +133,13 @@ VIEW_NAMES = {
 }
 
 
-def publish_views(gold: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] | None = None) -> list[str]:
-    """``CREATE OR REPLACE VIEW vw_<table> AS SELECT <columns> FROM <table>`` as
-    temporary views of the session."""
+def open_views(spark: SparkSession, root: str) -> list[str]:
+    """Make the views over the published gold tables in this session.  The manifest says what
+    they show, so any later session gets the same views, not only the one that loaded them."""
     made = []
-    for table_name, view in VIEW_NAMES.items():
-        if table_name not in gold:
-            continue
-        df = gold[table_name]
-        cols = list(columns[table_name]) if columns and table_name in columns else df.columns
-        df.select(*[F.col(c) for c in cols]).createOrReplaceTempView(view)
-        made.append(view)
+    for name, view in VIEW_NAMES.items():
+        df = read_layer(spark, root, "gold", name)
+        if df is not None:
+            df.select(*[F.col(c) for c in df.columns]).createOrReplaceTempView(view)
+            made.append(view)
     return made
