@@ -129,11 +129,14 @@ def similar_sizes(a: Column, b: Column, percent: int) -> Column:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(a, b, node, n, second, size, low, low_n) of all buckets with two classes or more."""
+    """(a, b, c, node, n, size, low) of all buckets with two classes or more; ``c`` is the half key
+    after ``b``, by which a large bucket is split further."""
     rows = classes.select("node", "n", "second", F.explode("first").alias("a"))
     rows = rows.withColumn("_shared", F.count("*").over(Window.partitionBy("a"))).where("_shared > 1").drop("_shared")
     # keyed by ``a`` already: the second half keys meet without another shuffle
-    rows = rows.select("a", "node", "n", "second", F.explode("second").alias("b"))
+    rows = rows.select("a", "node", "n", F.explode(F.transform("second", lambda b, i: F.struct(
+        b.alias("b"), F.element_at("second", ((i + 1) % F.size("second") + 1).cast("int")).alias("c")))).alias("k"))
+    rows = rows.select("a", "k.b", "k.c", "node", "n")
     bucket = Window.partitionBy("a", "b")
     return rows.select("*", F.count("*").over(bucket).alias("size"),
                        F.min(F.struct("node", "n")).over(bucket).alias("low")).where("size > 1")
@@ -198,8 +201,8 @@ def next_pairs(large: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     components: each component's smallest member there with that of the smallest component."""
     rows = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("a", "b").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high")
-    rows = rows.join(mixed.select("a", "b"), ["a", "b"]).select("a", "b", "node", "n", "component", F.explode("second").alias("c"))
-    members = rows.where("b <> c").groupBy("a", "b", "c", "component").agg(F.min(F.struct("node", "n")).alias("y"))
+    rows = rows.join(mixed.select("a", "b"), ["a", "b"])
+    members = rows.groupBy("a", "b", "c", "component").agg(F.min(F.struct("node", "n")).alias("y"))
     low = members.groupBy("a", "b", "c").agg(F.min(F.struct("component", "y")).alias("low"), F.count("*").alias("_k")).where("_k > 1")
     pairs = members.join(low, ["a", "b", "c"]).where(F.col("component") > F.col("low.component")).select(
         F.col("low.y").alias("x"), "y").where(similar_sizes(F.col("x.n"), F.col("y.n"), percent))
@@ -219,7 +222,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = first_pairs(found, percent).checkpoint()
     links = confirmed(pairs, rows, percent)
     labels = components(links)
-    large = found.where(F.col("size") > SMALL_BUCKET).select("a", "b", "node", "n", "second")
+    large = found.where(F.col("size") > SMALL_BUCKET).select("a", "b", "c", "node", "n")
     while not large.isEmpty():
         more = next_pairs(large, labels, percent).join(pairs, ["x", "y"], "left_anti").checkpoint()
         new = confirmed(more, rows, percent) if not more.isEmpty() else more
