@@ -435,7 +435,10 @@ def q_gold_fact_procedures(spark, d):
 
 
 def q_gold_encounter_date(spark, d):
-    return gold_layer(spark, d)["dim_encounter_date"].select("date_key")
+    from strata.plans.gold import gold_tables
+
+    return gold_tables({"encounters": q_silver_encounters(spark, d)}, ["dim_encounter_date"])[
+        "dim_encounter_date"].select("date_key")
 
 
 def q_gold_procedure_date(spark, d):
