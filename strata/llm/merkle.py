@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import ensure_checkpoint_dir
+
 PARAGRAPH = r"[^\n.!?]{1,64}[\n.!?]*+|[\n.!?]++"
 SECTION = r"(?=[0-9a-f])(?:[0-9a-f]{15}[2-9a-f])*+(?:[0-9a-f]{15}[01])?"
 
@@ -79,24 +81,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def with_following(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_range: int = 1024) -> DataFrame:
     """(doc_id, text, next_text): each document with the text of the next by id, the last with
     that of the first.  Equal ids go by text; rows without an id come first; null text is empty."""
+    ensure_checkpoint_dir(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
     width = 1 if low is None else (high - low) // max(1, n // per_range) + 1
     number = F.when(F.col("doc_id").isNull(), -1).otherwise(F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width)))
+    rows = rows.withColumn("_range", number.cast("long"))
     order = Window.partitionBy("_range").orderBy("doc_id", "text")
-    ranged = rows.withColumn("_range", number.cast("long")).select(
-        "*", F.lead(F.struct("text")).over(order).alias("_next"), F.row_number().over(order).alias("_n"))
-    inner = ranged.where(F.col("_next").isNotNull()).select("doc_id", "text", F.col("_next.text").alias("next_text"))
-    # one row per range: its last document needs the first of the following range that has any
-    firsts = ranged.where("_n = 1").select("_range", F.col("text").alias("next_text"))
+    # one row per range, found before the shuffle: a range's last document needs the first of the
+    # following range that has any
+    firsts = rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("_range", "text").checkpoint()
     ranges = firsts.select("_range")
-    start = ranges.agg(F.min("_range").alias("_start"))
+    start = ranges.agg(F.min("_range").alias("_start")).scalar()
     following = ranges.select(
-        "_range", F.lead("_range").over(Window.orderBy("_range")).alias("_after"), F.lit(start.scalar()).alias("_start"))
-    following = following.select(F.col("_range"), F.coalesce("_after", "_start").alias("_after"))
-    last = ranged.where(F.col("_next").isNull()).select("doc_id", "text", "_range")
-    border = last.join(following, "_range").join(firsts.withColumnRenamed("_range", "_after"), "_after")
-    return inner.unionByName(border.select("doc_id", "text", "next_text"))
+        "_range", F.coalesce(F.lead("_range").over(Window.orderBy("_range")), start).alias("_after"))
+    border = following.join(firsts.select(F.col("_range").alias("_after"), F.col("text").alias("_border")), "_after")
+    # the rows lie by range already, so the small side alone moves for this join
+    led = rows.withColumn("_next", F.lead("text").over(order)).join(border.drop("_after"), "_range")
+    return led.select("doc_id", "text", F.coalesce("_next", "_border").alias("next_text"))  # a text is never null here
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
