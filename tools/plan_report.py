@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical-plan shape of every registered query.
+"""Write PLANS.md: the physical-plan shape of every query of the catalog.
 
 For each query: shuffles, join strategies, partial top-k limits, explicit broadcasts,
 and what reaches the parquet scans (pushed filters, read schema).  Plans are taken
@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from strata.session import build_session  # noqa: E402
 
-import __spark_entry__ as entry  # noqa: E402
+from strata.plans.catalog import QUERIES  # noqa: E402
 
 JOIN_RE = re.compile(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin)"
                      r"[^\n]*?(Inner|LeftOuter|RightOuter|FullOuter|LeftSemi|LeftAnti|Cross|ExistenceJoin)")
@@ -57,7 +57,7 @@ def main() -> None:
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], 16 shuffle partitions) with "
           "`spark.sql.autoBroadcastJoinThreshold=-1`, i.e. as planned when no table is small enough to "
           "broadcast (the 100 TB case): every remaining `BroadcastExchange` is an explicit, size-bounded one "
-          "(the top-k rows of a report, the fixed state lookup, a one-row existence probe); one-row "
+          "(the fixed state lookup, a one-row existence probe); one-row "
           "aggregates enter as scalar subqueries. Plans are taken before AQE re-planning. `SinglePartition` exchanges only carry one-row "
           "global aggregates or a few aggregated rows; `Scan ExistingRDD` is a reliable checkpoint (bronze "
           "layer or key-assignment slices). Queries that end in key assignment (the silver loads, `gold_fact`, the "
@@ -66,7 +66,7 @@ def main() -> None:
           "columns read.\n")
     print("| query | shuffles | single-partition | joins | partial top-1 | broadcasts | checkpoint scans | scans |")
     print("|---|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
         joins = ", ".join(f"{k}×{v}" for k, v in sorted(s["joins"].items())) or "—"
