@@ -196,17 +196,24 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def in_large_buckets(found: DataFrame) -> DataFrame:
+    """(node, n, keys): the large buckets a class is in, at most as many as there are tables."""
+    return (found.where(F.col("size") > SMALL_BUCKET).groupBy("node", "n")
+            .agg(F.collect_list(F.struct("a", "b", "c")).alias("keys")))
+
+
 def next_pairs(large: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of one large bucket that share a further half key, yet lie in different
-    components: each component's smallest member there with that of the smallest component."""
-    rows = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("a", "b").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high")
-    rows = rows.join(mixed.select("a", "b"), ["a", "b"])
-    members = rows.groupBy("a", "b", "c", "component").agg(F.min(F.struct("node", "n")).alias("y"))
-    low = members.groupBy("a", "b", "c").agg(F.min(F.struct("component", "y")).alias("low"), F.count("*").alias("_k")).where("_k > 1")
-    pairs = members.join(low, ["a", "b", "c"]).where(F.col("component") > F.col("low.component")).select(
-        F.col("low.y").alias("x"), "y").where(similar_sizes(F.col("x.n"), F.col("y.n"), percent))
-    return pairs.select(F.least("x.node", "y.node").alias("x"), F.greatest("x.node", "y.node").alias("y")).distinct()
+    components: each component's smallest member there with that of the smallest component.
+    Labels are joined to classes, not to their many places in buckets."""
+    rows = large.join(labels, "node", "left").select(
+        F.coalesce("component", "node").alias("component"), F.struct("node", "n").alias("y"), F.explode("keys").alias("k"))
+    members = rows.groupBy("k.a", "k.b", "k.c", "component").agg(F.min("y").alias("y"))
+    low = (members.groupBy("a", "b", "c").agg(F.min(F.struct("component", "y")).alias("low"), F.count("*").alias("_k"))
+           .where("_k > 1").select("a", "b", "c", "low"))
+    pairs = members.join(low, ["a", "b", "c"]).where(
+        (F.col("component") > F.col("low.component")) & similar_sizes(F.col("y.n"), F.col("low.y.n"), percent))
+    return pairs.select(F.least("y.node", "low.y.node").alias("x"), F.greatest("y.node", "low.y.node").alias("y")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
@@ -222,7 +229,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = first_pairs(found, percent).checkpoint()
     links = confirmed(pairs, rows, percent)
     labels = components(links)
-    large = found.where(F.col("size") > SMALL_BUCKET).select("a", "b", "c", "node", "n")
+    large = in_large_buckets(found).checkpoint()
     while not large.isEmpty():
         more = next_pairs(large, labels, percent).join(pairs, ["x", "y"], "left_anti").checkpoint()
         new = confirmed(more, rows, percent) if not more.isEmpty() else more
