@@ -13,9 +13,12 @@ Equal sets are one class from the start, represented by the smallest id.  A buck
 classes gives all its pairs.  A larger one gives each member's pair with the smallest member;
 then, round by round, what is still in different components within it is split by a further
 half key, and each component's smallest member there is paired with that of the smallest
-component, until a round finds no new link.  So no bucket, whatever its size, gives more than a
-few pairs per member.  Every link is confirmed on the full sets.  Components come from
-alternating star contraction on the links.
+component, until a round finds no new link.  What is in different components of a large bucket
+even then is compared in full, all members with those outside the commonest component, in cells
+of bounded size; of the links found, a cell gives only those that join components.  So no bucket,
+whatever its size, makes rows for all its pairs, and no pair that shares a bucket is left out.
+Every link is confirmed on the full sets.  Components come from alternating star contraction on
+the links.
 
 Null or empty text has an empty set and links with nothing.  A row without an id is kept and
 linked with nothing.  Repeated rows fall into one class; rows of one id are one node.
@@ -26,6 +29,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +39,7 @@ from strata.session import ensure_checkpoint_dir
 WORDS = 5
 SMALL_BUCKET = 16  # at most so many classes: all pairs; more: the rounds
 BROADCAST_IDS = 1_000_000  # 8 MB of candidate ids
+CELL_SHINGLES = 250_000  # about so many hashes on either side of a cell: 2 MB
 
 _U = np.uint64
 _BASE, _MIX1, _MIX2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -216,6 +221,88 @@ def next_pairs(large: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("y.node", "low.y.node").alias("x"), F.greatest("y.node", "low.y.node").alias("y")).distinct()
 
 
+def separate_members(found: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, node, component, active): the members of large buckets that hold several components, once
+    per first half key; active are those outside the commonest component there."""
+    large = found.where(F.col("size") > SMALL_BUCKET).select("a", "b", "node")
+    rows = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = (rows.groupBy("a", "b").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+             .where("_low < _high").select("a", "b"))
+    rows = rows.join(mixed, ["a", "b"]).groupBy("a", "node").agg(F.first("component").alias("component"))
+    main = (rows.groupBy("a", "component").agg(F.count("*").alias("_k"))
+            .groupBy("a").agg(F.max(F.struct("_k", "component"))["component"].alias("_main")))
+    return rows.join(main, "a").select("a", "node", "component", (F.col("component") != F.col("_main")).alias("active"))
+
+
+def spanning_links(asked, there, percent: int) -> list[tuple[int, int]]:
+    """Links between ``asked`` and ``there`` that join all components joined by any similar pair of
+    them.  A pair is tested under the first of its common half keys only."""
+    sets = [np.frombuffer(h, _U) for h in there["hashes"]]
+    sizes, nodes = np.array([len(h) for h in sets]), there["node"].to_numpy()
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    first, label = np.stack(there["first"].to_numpy()), there["component"].to_numpy().copy()
+    mine, links = asked["component"].to_numpy().copy(), []
+    for i, (a, node, hashes, keys) in enumerate(zip(asked["a"], asked["node"], asked["hashes"], asked["first"])):
+        own = np.frombuffer(hashes, _U)
+        equal = first == keys
+        may = ((label != mine[i]) & equal.any(axis=1) & (keys[equal.argmax(axis=1)] == a)
+               & (100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own))))
+        if not may.any():
+            continue
+        lo, hi = np.searchsorted(flat, own), np.searchsorted(flat, own, "right")
+        ends = np.cumsum(hi - lo)
+        at = np.arange(ends[-1]) + np.repeat(hi - ends, hi - lo)
+        common = np.bincount(owner[at], minlength=len(sets))
+        for j in np.flatnonzero(may & (100 * common >= percent * (len(own) + sizes - common))):
+            if label[j] != mine[i]:
+                links.append((min(node, nodes[j]), max(node, nodes[j])))
+                old, now = label[j], mine[i]
+                label[label == old] = now
+                mine[mine == old] = now
+    return links
+
+
+def remaining_links(members: DataFrame, docs: DataFrame, percent: int, m: int, half: int) -> DataFrame:
+    """(x, y): links that join every two components of which a similar pair shares a large bucket.
+
+    Each active member is compared with all members under its first half key, in cells of blocks
+    of bounded size; within a cell an inverted index counts the common shingles."""
+    ids = members.select(F.col("node").alias("doc_id")).distinct()
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+
+    def make():
+        keys = HalfKeys(m, half)
+
+        def row(doc_id, text):
+            hashes = shingle_set(text)
+            if len(hashes):
+                yield doc_id, len(hashes), hashes.tobytes(), keys(hashes)[0].tolist()
+
+        return row
+
+    sets = map_rows(docs.join(ids, "doc_id", "left_semi"), "node long, n long, hashes binary, first array<long>", make).checkpoint()
+    sized = members.join(sets.select("node", "n"), "node")
+    parts = lambda n: F.ceil(F.sum(n) / CELL_SHINGLES).cast("int")
+    blocks = sized.groupBy("a").agg(parts(F.when(F.col("active"), F.col("n"))).alias("_asked"), parts(F.col("n")).alias("_there"))
+    rows = members.join(blocks, "a").where("_asked > 0")
+    number = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = rows.where("active").select("a", "node", "component", number("_asked").alias("i"), every("_there").alias("j"))
+    there = rows.select("a", "node", "component", every("_asked").alias("i"), number("_there").alias("j"))
+
+    def search(asked, there):
+        links = spanning_links(asked, there, percent) if len(asked) and len(there) else []
+        return pd.DataFrame(links, columns=["x", "y"]).astype("int64")
+
+    # toDF: columns of their own, as both sides come from the same rows
+    asked, there = (d.join(sets, "node").select("a", "i", "j", "node", "component", "hashes", "first") for d in (asked, there))
+    asked, there = (d.toDF(*d.columns).groupBy("a", "i", "j") for d in (asked, there))
+    return asked.cogroup(there).applyInPandas(search, "x long, y long").distinct().checkpoint()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
                     m: int = 12, half: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
@@ -237,6 +324,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         pairs, links = pairs.unionByName(more), links.unionByName(new)
         labels = components(links)
+    members = separate_members(found, labels).checkpoint()
+    if not members.isEmpty():
+        more = remaining_links(members, rows, percent, m, half)
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
     named = classes.select("set_id", "node").join(labels, "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("_component"))
     out = signed.select("doc_id", "n_shingles", "set_id").join(named, "set_id", "left")

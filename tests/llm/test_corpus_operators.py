@@ -130,6 +130,25 @@ def test_components_on_the_table(docs):
     assert got == brute_components({r.doc_id: r.text for r in docs.collect()})[0]
 
 
+def spread_copies(n, seed, low, high):
+    """Copies of 80 words with so many words replaced: similarities of about 0.6 to 0.85."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(80)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randint(low, high)):
+            words[rng.randrange(80)] = f"x{rng.randrange(50_000)}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_large_buckets_lose_no_link(spark):
+    texts = dict(enumerate(spread_copies(300, 5, 2, 2) + spread_copies(300, 1, 1, 3)))
+    got = {r.doc_id: r.component_id for r in tensor_minhash.near_duplicates(spark.createDataFrame(list(texts.items()), DOCS)).collect()}
+    assert got == brute_components(texts)[0]
+
+
 def test_deduplicate_keeps_columns_and_one_of_each(spark):
     rows = [(5, "a b c d e f", 1), (2, "A b  c d e f", 2), (7, "other words stand here now", 3), (7, "other words stand here now", 3),
             (None, "a b c d e f", 4), (9, "", 5), (10, None, 6)]
