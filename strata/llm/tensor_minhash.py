@@ -10,12 +10,10 @@ The pairs are formed after the shuffle, which goes by the first half key alone:
 it with no other are dropped there, and only the rest meet their second half keys.
 
 Equal sets are one class from the start, represented by the smallest id.  A bucket of a few
-classes gives all its pairs.  A larger one gives each member's pair with the smallest member;
-then, round by round, what is still in different components within it is split by a further
-half key, and each component's smallest member there is paired with that of the smallest
-component, until a round finds no new link.  What is in different components of a large bucket
-even then is compared in full, all members with those outside the commonest component, in cells
-of bounded size; of the links found, a cell gives only those that join components.  So no bucket,
+classes gives all its pairs.  A larger one gives each member's pair with the smallest member.
+What is in different components of a large bucket then is compared in full, all members with
+those outside the commonest component, in cells of bounded size; of the links found, a cell gives
+only those that join components.  So no bucket,
 whatever its size, makes rows for all its pairs, and no pair that shares a bucket is left out.
 Every link is confirmed on the full sets.  Components come from alternating star contraction on
 the links.
@@ -37,7 +35,7 @@ from strata.llm.common import map_rows
 from strata.session import ensure_checkpoint_dir
 
 WORDS = 5
-SMALL_BUCKET = 16  # at most so many classes: all pairs; more: the rounds
+SMALL_BUCKET = 16  # at most so many classes: all pairs; more: the cells
 BROADCAST_IDS = 1_000_000  # 8 MB of candidate ids
 CELL_SHINGLES = 250_000  # about so many hashes on either side of a cell: 2 MB
 
@@ -134,14 +132,11 @@ def similar_sizes(a: Column, b: Column, percent: int) -> Column:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(a, b, c, node, n, size, low) of all buckets with two classes or more; ``c`` is the half key
-    after ``b``, by which a large bucket is split further."""
+    """(a, b, node, n, size, low) of all buckets with two classes or more."""
     rows = classes.select("node", "n", "second", F.explode("first").alias("a"))
     rows = rows.withColumn("_shared", F.count("*").over(Window.partitionBy("a"))).where("_shared > 1").drop("_shared")
     # keyed by ``a`` already: the second half keys meet without another shuffle
-    rows = rows.select("a", "node", "n", F.explode(F.transform("second", lambda b, i: F.struct(
-        b.alias("b"), F.element_at("second", ((i + 1) % F.size("second") + 1).cast("int")).alias("c")))).alias("k"))
-    rows = rows.select("a", "k.b", "k.c", "node", "n")
+    rows = rows.select("a", "node", "n", F.explode("second").alias("b"))
     bucket = Window.partitionBy("a", "b")
     return rows.select("*", F.count("*").over(bucket).alias("size"),
                        F.min(F.struct("node", "n")).over(bucket).alias("low")).where("size > 1")
@@ -201,26 +196,6 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def in_large_buckets(found: DataFrame) -> DataFrame:
-    """(node, n, keys): the large buckets a class is in, at most as many as there are tables."""
-    return (found.where(F.col("size") > SMALL_BUCKET).groupBy("node", "n")
-            .agg(F.collect_list(F.struct("a", "b", "c")).alias("keys")))
-
-
-def next_pairs(large: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one large bucket that share a further half key, yet lie in different
-    components: each component's smallest member there with that of the smallest component.
-    Labels are joined to classes, not to their many places in buckets."""
-    rows = large.join(labels, "node", "left").select(
-        F.coalesce("component", "node").alias("component"), F.struct("node", "n").alias("y"), F.explode("keys").alias("k"))
-    members = rows.groupBy("k.a", "k.b", "k.c", "component").agg(F.min("y").alias("y"))
-    low = (members.groupBy("a", "b", "c").agg(F.min(F.struct("component", "y")).alias("low"), F.count("*").alias("_k"))
-           .where("_k > 1").select("a", "b", "c", "low"))
-    pairs = members.join(low, ["a", "b", "c"]).where(
-        (F.col("component") > F.col("low.component")) & similar_sizes(F.col("y.n"), F.col("low.y.n"), percent))
-    return pairs.select(F.least("y.node", "low.y.node").alias("x"), F.greatest("y.node", "low.y.node").alias("y")).distinct()
-
-
 def separate_members(found: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, node, component, active): the members of large buckets that hold several components, once
     per first half key; active are those outside the commonest component there."""
@@ -316,14 +291,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = first_pairs(found, percent).checkpoint()
     links = confirmed(pairs, rows, percent)
     labels = components(links)
-    large = in_large_buckets(found).checkpoint()
-    while not large.isEmpty():
-        more = next_pairs(large, labels, percent).join(pairs, ["x", "y"], "left_anti").checkpoint()
-        new = confirmed(more, rows, percent) if not more.isEmpty() else more
-        if new.isEmpty():
-            break
-        pairs, links = pairs.unionByName(more), links.unionByName(new)
-        labels = components(links)
     members = separate_members(found, labels).checkpoint()
     if not members.isEmpty():
         more = remaining_links(members, rows, percent, m, half)

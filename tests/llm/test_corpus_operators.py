@@ -149,6 +149,25 @@ def test_large_buckets_lose_no_link(spark):
     assert got == brute_components(texts)[0]
 
 
+def test_pairs_that_share_other_half_keys_meet(spark):
+    """Similar pairs in a bucket (a, b) that don't agree on the half key after b, but on another one."""
+    texts = dict(enumerate(spread_copies(300, 2, 2, 3)))
+    keys = tensor_minhash.HalfKeys(12, 2)
+    sets = [tensor_minhash.shingle_set(t) for t in texts.values()]
+    first, second = (np.array(k) for k in zip(*map(keys, sets)))
+    got = {r.doc_id: r.component_id for r in tensor_minhash.near_duplicates(spark.createDataFrame(list(texts.items()), DOCS)).collect()}
+    seen = 0
+    for x in texts:
+        for y in range(x + 1, len(texts)):
+            same = second[x] == second[y]
+            if (first[x] == first[y]).any() and (same & ~np.roll(same, -1)).any() and same.sum() > 1:
+                both = len(np.intersect1d(sets[x], sets[y], True))
+                if 100 * both >= 75 * (len(sets[x]) + len(sets[y]) - both):
+                    seen += 1
+                    assert got[x] == got[y]
+    assert seen > 100
+
+
 def test_deduplicate_keeps_columns_and_one_of_each(spark):
     rows = [(5, "a b c d e f", 1), (2, "A b  c d e f", 2), (7, "other words stand here now", 3), (7, "other words stand here now", 3),
             (None, "a b c d e f", 4), (9, "", 5), (10, None, 6)]
