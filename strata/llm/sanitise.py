@@ -2,18 +2,19 @@
 
 Patterns find the protected entities: addresses of mail and hosts, card and phone numbers.
 Beside them, corpus co-occurrence tells which terms give an entity away: of the documents that
-hold a term, how many have it next to an entity, against the share of documents that hold any
-entity.  The logarithm of this ratio is the disclosure in bits (pointwise mutual information of
-term and entity).  A term beside an entity that exceeds the disclosure threshold, the least
-confidence and the least support is removed or generalised together with the entity.
+hold a term, how many hold an entity of a kind (and of any kind), against the share of all
+documents that do.  The logarithm of this ratio is the disclosure in bits (pointwise mutual
+information of term and entity).  Every occurrence of a term that exceeds the disclosure
+threshold, the least confidence and the least support is generalised, near an entity or far, also
+in documents without one.  Words within entities are no terms.
 
 All statistics cover the whole corpus.  DataFrame functions only: matches come from
 ``regexp_extract_all``, their places from the lengths of what ``split`` leaves between them.
 The patterns are possessive and start at the beginning of a run, so matching takes linear time
 and no deep recursion on long texts; they match what the plain ones do.
 
-Only documents with entities take part in joins, one row per entity; terms are counted with
-partial aggregates.  Null text counts as empty, a null id is kept, repeated rows are sanitised
+Terms are counted with partial aggregates; only documents that hold a disclosing term give rows
+to a join, one per document and term.  Null text counts as empty, a null id is kept, repeated rows are sanitised
 alike and stay repeated, other columns stay as they are.
 """
 
@@ -94,94 +95,99 @@ def row_key(id_col: Column, text: Column) -> Column:
     return F.xxhash64(id_col, text)
 
 
-def neighbours(text: Column, spans: Column, window: int) -> Column:
-    """The term on either side of each span, as {term, start, end}."""
-    def beside(s):
-        begin = F.greatest(s["start"] - window, F.lit(0))
-        left = F.substring(text, begin + 1, s["start"] - begin)
-        right = F.substring(text, s["end"] + 1, F.lit(window))
-        gap_left = F.length(F.regexp_extract(left, rf"[^{TERM}]*+$", 0))
-        gap_right = F.length(F.regexp_extract(right, rf"^[^{TERM}]*+", 0))
-        term_left = F.regexp_extract(left, rf"([{TERM}]++)[^{TERM}]*+$", 1)
-        term_right = F.regexp_extract(right, rf"^[^{TERM}]*+([{TERM}]++)", 1)
-        whole_left = (F.length(term_left) + gap_left < F.length(left)) | (begin == 0)
-        whole_right = F.length(term_right) + gap_right < window
-        term = lambda t, ok, start: F.struct(
-            F.when(ok & (t != ""), F.lower(t)).alias("term"), start.alias("start"), (start + F.length(t)).alias("end"))
-        return F.array(term(term_left, whole_left, s["start"] - gap_left - F.length(term_left)),
-                       term(term_right, whole_right, s["end"] + gap_right))
-
-    return F.filter(F.flatten(F.transform(spans, beside)), lambda t: t["term"].isNotNull())
-
-
-def find_entities(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """One row per document: key, counts by kind, spans, neighbouring terms."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    rows = rows.select("doc_id", "text", *[spans_of(F.col("text"), kind).alias(f"_{kind}") for kind in KINDS])
-    rows = rows.select(
-        row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "text",
-        *[F.size(f"_{kind}").cast("long").alias(f"n_{kind}") for kind in KINDS],
-        F.array_sort(F.concat(*[f"_{kind}" for kind in KINDS])).alias("spans"))
-    return rows.select("key", "doc_id", *[f"n_{kind}" for kind in KINDS], "spans",
-                       neighbours(F.col("text"), F.col("spans"), window).alias("beside"))
-
-
-def disclosing_terms(docs: DataFrame, entities: DataFrame, text_col: str, min_bits: float, min_share: float,
-                     min_docs: int, broadcast_terms: int = 100_000) -> DataFrame:
-    """(term, bits): the terms beside entities that reveal them, from counts over all documents.
-
-    Terms with too little support are dropped first.  The others are broadcast to the count over
-    the corpus if there are no more than ``broadcast_terms`` of them, and joined to it otherwise."""
-    joint = (entities.select("key", F.explode(F.array_distinct(F.transform("beside", lambda t: t["term"]))).alias("term"))
-             .groupBy("term").agg(F.count("*").alias("joint")).where(F.col("joint") >= min_docs))
-    n_terms = joint.limit(broadcast_terms + 1).count()
-    totals = entities.agg(F.count("*").alias("n"), F.count(F.when(F.size("spans") > 0, 1)).alias("n_held")).first()
-    words = docs.select(F.explode(F.array_distinct(F.split(
-        F.lower(F.coalesce(F.col(text_col), F.lit(""))), rf"[^{TERM}]+"))).alias("term"))
-    if n_terms <= broadcast_terms:
-        words = words.join(F.broadcast(joint.select("term")), "term", "left_semi")
-    held = words.groupBy("term").agg(F.count("*").alias("n_docs")).join(joint, "term")
-    base = (totals["n_held"] / totals["n"]) if totals["n"] else 1.0
-    share = F.col("joint") / F.col("n_docs")
-    return (held.select("term", F.log2(share / F.lit(base or 1.0)).alias("bits"), share.alias("share"))
-            .where((F.col("bits") >= min_bits) & (F.col("share") >= min_share)).select("term", "bits"))
-
-
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 64,
-               min_bits: float = 1.0, min_share: float = 0.5, min_docs: int = 5) -> DataFrame:
-    """(key, doc_id, counts, spans, all_spans): entities, and entities with disclosing terms."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    # small beside the texts; written once, as it is read for the statistics and for the result
-    entities = find_entities(docs, id_col, text_col, window).checkpoint()
-    terms = disclosing_terms(docs, entities, text_col, min_bits, min_share, min_docs)
-    near = entities.select("key", F.explode("beside").alias("t")).select(
-        "key", F.col("t.term").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
-    added = near.join(terms, "term").groupBy("key").agg(F.collect_set(F.struct(
-        "start", F.lit(len(KINDS)).alias("kind_no"), F.lit("term").alias("kind"), "end")).alias("_added"))
-    both = entities.join(added, "key", "left")
-    return both.select("key", "doc_id", *[f"n_{kind}" for kind in KINDS], "spans", F.array_sort(
-        F.concat("spans", F.coalesce("_added", F.array().cast(SPAN)))).alias("all_spans"))
-
-
-def generalised(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in angle brackets, overlapping ones by the first."""
+def replaced(text: Column, spans: Column, by) -> Column:
+    """The text with ``by(span)`` in place of each span, overlapping ones by the first."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     return F.aggregate(
         spans, start,
         lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
         .otherwise(F.struct(s["end"].alias("at"), F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("<"), F.upper(s["kind"]),
-            F.lit(">")).alias("out"))),
+            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), by(s)).alias("out"))),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
+def generalised(text: Column, spans: Column) -> Column:
+    """The text with each span replaced by its kind in angle brackets."""
+    return replaced(text, spans, lambda s: F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+
+
+def terms_of(text: Column, spans: Column) -> Column:
+    """The distinct terms outside the spans, lower-cased; the empty one is in every text."""
+    outside = F.when(F.size(spans) > 0, replaced(text, spans, lambda s: F.lit(" "))).otherwise(text)
+    return F.array_distinct(F.concat(F.array(F.lit("")), F.split(F.lower(outside), rf"[^{TERM}]+")))
+
+
+def places_of(text: Column, terms: Column, spans: Column) -> Column:
+    """Spans of all occurrences of the terms that lie outside the spans."""
+    found, gaps = F.regexp_extract_all(text, F.lit(f"[{TERM}]++"), F.lit(0)), F.split(text, f"[{TERM}]++", -1)
+    steps = F.filter(F.arrays_zip(found.alias("found"), F.transform(gaps, F.length).alias("gap")), lambda s: s["found"].isNotNull())
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+
+    def step(acc, s):
+        begin, end = acc["at"] + s["gap"], acc["at"] + s["gap"] + F.length(s["found"])
+        span = F.struct(begin.alias("start"), F.lit(len(KINDS)).alias("kind_no"), F.lit("term").alias("kind"), end.alias("end"))
+        return F.struct(end.alias("at"), F.when(F.array_contains(terms, F.lower(s["found"])), F.concat(acc["out"], F.array(span)))
+                        .otherwise(acc["out"]).alias("out"))
+
+    return F.filter(F.aggregate(steps, empty, step, lambda acc: acc["out"]),
+                    lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+
+
+def with_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows with ``_key``, ``_text``, counts by kind and ``_spans``, the entities in order."""
+    rows = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
+    rows = rows.select("*", row_key(F.col(id_col).cast("long"), F.col("_text")).alias("_key"),
+                       *[spans_of(F.col("_text"), kind).alias(f"_{kind}") for kind in KINDS])
+    return rows.select(*docs.columns, "_key", "_text", *[F.size(f"_{kind}").cast("long").alias(f"_n_{kind}") for kind in KINDS],
+                       F.array_sort(F.concat(*[f"_{kind}" for kind in KINDS])).alias("_spans"))
+
+
+def disclosing_terms(terms: DataFrame, min_bits: float, min_share: float, min_docs: int) -> DataFrame:
+    """(term, bits): the terms that reveal entities of some kind, or of any, from counts over all
+    documents.  ``terms`` has one row per document and term, with a flag for each event."""
+    events = [*KINDS, "any"]
+    counts = (terms.groupBy("term").agg(F.count("*").alias("n"), *[F.count(F.when(F.col(e), 1)).alias(e) for e in events])
+              .where((F.col("any") >= min_docs) | (F.col("term") == "")).checkpoint())
+    totals = counts.where("term = ''").first()  # the empty term is in every document
+    bits = [F.when((F.col(e) >= min_docs) & (F.col(e) / F.col("n") >= min_share),
+                   F.log2(F.col(e) / F.col("n") / F.lit(totals[e] / totals["n"]))) for e in events if totals and totals[e]]
+    if not bits:
+        return counts.select("term", F.lit(0.0).alias("bits")).limit(0)
+    return (counts.where("term <> ''").select("term", F.greatest(*bits, F.lit(None).cast("double")).alias("bits"))
+            .where(F.col("bits") >= min_bits))
+
+
+def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bits: float = 1.0,
+               min_share: float = 0.5, min_docs: int = 5, broadcast_terms: int = 100_000) -> DataFrame:
+    """The rows with ``_key``, counts by kind, ``_spans`` of entities and ``_all_spans`` of entities and
+    of every occurrence of a disclosing term.  The terms are broadcast if there are no more than
+    ``broadcast_terms`` of them; only documents that hold one give rows to the join with the texts."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    rows = with_entities(docs, id_col, text_col)
+    words = rows.select("_key", F.explode(terms_of(F.col("_text"), F.col("_spans"))).alias("term"),
+                        *[(F.col(f"_n_{kind}") > 0).alias(kind) for kind in KINDS], (F.size("_spans") > 0).alias("any"))
+    terms = disclosing_terms(words, min_bits, min_share, min_docs).select("term").checkpoint()
+    if terms.limit(broadcast_terms + 1).count() <= broadcast_terms:
+        terms = F.broadcast(terms)
+    held = words.select("_key", "term").join(terms, "term").groupBy("_key").agg(F.collect_set("term").alias("_terms")).checkpoint()
+    held = held.toDF("_held", "_terms")
+    out = rows.join(held, F.col("_key") == F.col("_held"), "left")
+    added = F.when(F.col("_terms").isNotNull(), places_of(F.col("_text"), F.col("_terms"), F.col("_spans"))).otherwise(
+        F.array().cast(SPAN))
+    return out.withColumn("_all_spans", F.array_sort(F.concat("_spans", added))).drop("_held", "_terms")
+
+
+def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
+    """(key, doc_id, counts, spans, all_spans): entities, and entities with disclosing terms."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return with_spans(rows, **thresholds).select(
+        F.col("_key").alias("key"), "doc_id", *[F.col(f"_n_{kind}").alias(f"n_{kind}") for kind in KINDS],
+        F.col("_spans").alias("spans"), F.col("_all_spans").alias("all_spans"))
+
+
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """The documents, all columns as they are but the text, in which entities and the terms that
     disclose them are generalised.  Texts that hold none are unchanged, null text stays null."""
-    found = find_spans(docs, id_col, text_col, **thresholds).where(F.size("all_spans") > 0)
-    found = found.groupBy("key").agg(F.first("all_spans").alias("_spans")).withColumnRenamed("key", "_key")
-    key = row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
-    joined = docs.withColumn("_key", key).join(found, "_key", "left")
-    clean = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(generalised(F.col(text_col), F.col("_spans")))
-    return joined.withColumn(text_col, clean).select(*docs.columns)
+    found = with_spans(docs, id_col, text_col, **thresholds)
+    clean = F.when(F.size("_all_spans") > 0, generalised(F.col("_text"), F.col("_all_spans"))).otherwise(F.col(text_col))
+    return found.withColumn(text_col, clean).select(*docs.columns)

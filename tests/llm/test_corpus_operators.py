@@ -266,6 +266,20 @@ def test_terms_that_give_entities_away(spark):
     assert sanitise.sanitise(df.limit(0)).count() == 0
 
 
+def test_distant_terms_go_everywhere(spark):
+    rows = [(i, f"Zebrano said the note of the north office: {i}@mail.example.org, today. ZEBRANO") for i in range(6)]
+    rows += [(i, "the note said of the north office today") for i in range(6, 40)] + [(40, "the note Zebrano said, 😀 zebrano")]
+    out = {r.doc_id: r.text for r in sanitise.sanitise(spark.createDataFrame(rows, DOCS)).collect()}
+    assert out[3] == "<TERM> said the note of the north office: <EMAIL>, today. <TERM>"
+    assert out[7] == rows[7][1] and out[40] == "the note <TERM> said, 😀 <TERM>"
+
+
+def test_terms_are_scored_by_kind_of_entity(spark):
+    rows = [(i, f"write to {i}@mail.example.org today" + (" or call Quorl +1 (234) 555-1234" if i < 6 else " or call later")) for i in range(40)]
+    out = {r.doc_id: r.text for r in sanitise.sanitise(spark.createDataFrame(rows, DOCS)).collect()}
+    assert out[0] == "write to <EMAIL> today or call <TERM> <PHONE>" and out[9] == "write to <EMAIL> today or call later"
+
+
 def test_overlapping_spans_leave_nothing(spark):
     df = spark.createDataFrame([(1, "call +1 (234) 555-1234, 4111 1111 1111 1111@x.org now")], DOCS)
     text = sanitise.sanitise(df).first().text
