@@ -4,7 +4,8 @@ A text becomes its words (ASCII letters lower-cased) with one space around each.
 that may hold up to ``k`` character edits is cut into ``k + 1`` pieces: by the pigeonhole
 principle one piece survives unedited, so one Aho-Corasick pass over the pieces finds every
 place where the notice can be.  Only these windows go to the ``regex`` library, whose
-bounded-error matching (``{e<=k}``, best match) confirms the notice and reports its span.
+bounded-error matching (``{e<=k}``, best match) confirms the notice and reports its span; what
+is left on either side of a match is searched again, until a window holds no further match.
 A base phrase is a notice with no edits: its one piece is the phrase itself.
 
 One map over the rows, no shuffle.  Null text counts as empty, a null id is kept, repeated
@@ -99,26 +100,39 @@ class NoticeScanner:
         self.automaton.make_automaton()
 
     def windows(self, words: str) -> Iterator[tuple[int, int, int]]:
-        """(notice, from, to) of the merged places where a seed of the notice stands."""
-        open_: dict[int, list[int]] = {}
-        for end, (length, places) in self.automaton.iter(words):
-            for i, offset in places:
+        """(notice, from, to) of the places where a seed of the notice stands, merged where they overlap."""
+        places: dict[int, list[tuple[int, int]]] = {}
+        for end, (length, seeds) in self.automaton.iter(words):
+            for i, offset in seeds:
                 k, begin = self.notices[i].edits, end + 1 - length - offset
-                lo, hi = max(0, begin - k), begin + len(self.notices[i].words) + 2 + k
-                if i in open_ and lo <= open_[i][1] and not self.notices[i].base:
-                    open_[i][0], open_[i][1] = min(lo, open_[i][0]), max(hi, open_[i][1])
+                places.setdefault(i, []).append((max(0, begin - k), begin + len(self.notices[i].words) + 2 + k))
+        for i, of in places.items():
+            of.sort()
+            lo, hi = of[0]
+            for begin, end in of[1:]:
+                if begin <= hi and not self.notices[i].base:
+                    hi = max(hi, end)
                 else:
-                    if i in open_:
-                        yield (i, *open_[i])
-                    open_[i] = [lo, hi]
-        for i, (lo, hi) in open_.items():
+                    yield i, lo, hi
+                    lo, hi = begin, end
             yield i, lo, hi
 
+    def matches(self, i: int, words: str, lo: int, hi: int) -> Iterator[regex.Match]:
+        """The best match of a notice, then those in what lies to its left and to its right; the
+        space between two notices is part of both."""
+        open_ = [(lo, hi)]
+        while open_:
+            lo, hi = open_.pop()
+            m = self.patterns[i].search(words, lo, hi)
+            if m:
+                yield m
+                open_ += [(lo, m.start() + (words[m.start()] == " ")), (m.end() - (words[m.end() - 1] == " "), hi)]
+
     def scan(self, words: str) -> list[Hit]:
         hits = set()
         for i, lo, hi in self.windows(words):
             notice = self.notices[i]
-            for m in self.patterns[i].finditer(words, lo, hi):
+            for m in self.matches(i, words, lo, hi):
                 start, end, edits = m.start(), m.end(), sum(m.fuzzy_counts)
                 first = words.count(" ", 0, start + 1) - 1
                 last = max(first, words.count(" ", 0, max(end - 1, start + 1)) - 1)

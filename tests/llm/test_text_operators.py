@@ -161,6 +161,39 @@ def test_seeds_lose_no_match(words):
     assert found == {n.label for n, p in zip(scanner.notices, scanner.patterns) if p.search(text)}
 
 
+def all_spans(scanner, text):
+    """(label, start, end) of every notice in the whole string, best first, then left and right of it."""
+    def search(p, lo, hi):
+        m = p.search(text, lo, hi)
+        if not m:
+            return []
+        left, right = m.start() + (text[m.start()] == " "), m.end() - (text[m.end() - 1] == " ")
+        return [(m.start(), m.end()), *search(p, lo, left), *search(p, right, hi)]
+    return {(i, *s) for i, p in enumerate(scanner.patterns) for s in search(p, 0, len(text))}
+
+
+@given(st.lists(st.sampled_from(["released under the mit license", "released under the mit licence", "licensd undr the mit license",
+                                 "mit license", "gnu general public license version 3", "gnu genral public licence version 2",
+                                 "all rights reserved", "al rights reserved", "x", "of the foo"]), max_size=12))
+@settings(max_examples=100, deadline=None)
+def test_seeds_lose_no_span(parts):
+    scanner = license_scan.NoticeScanner()
+    text, _ = license_scan.word_string(" ".join(parts))
+    found = {(i, m.start(), m.end()) for i, lo, hi in scanner.windows(text) for m in scanner.matches(i, text, lo, hi)}
+    assert found == all_spans(scanner, text)
+
+
+@pytest.mark.parametrize("words", ["foo released under the mit licence x released under the mit license bar",
+                                   "foo released under the mit license x released under the mit licence bar",
+                                   "released undr the mit licence released under the mit license released undr the mit licence"])
+def test_worse_notices_beside_better_ones(words):
+    scanner = license_scan.NoticeScanner([license_scan.Notice("mit", "released under the mit license", 3)])
+    hits = scanner.scan(license_scan.word_string(words)[0])
+    assert [h.first for h in hits] == [i for i, w in enumerate(words.split()) if w == "released"]
+    assert [h.edits for h in hits] == [{"under license": 0, "under licence": 1, "undr licence": 2}[f"{u} {n}"]
+                                       for u, n in re.findall(r"released (\w+) the mit (\w+)", words)]
+
+
 # ---- chat formatting
 
 
