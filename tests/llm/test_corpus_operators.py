@@ -213,6 +213,21 @@ def test_label_model_finds_accuracies():
     assert abs(model.table[:, 2, 0].mean() - 0.98) < 0.02
 
 
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_label_model_on_ordinary_labellers(seed):
+    """At 0.9 the accuracies and the kind with five labellers are found; the README has the bias of the rest."""
+    rng = np.random.default_rng(seed)
+    counts = Counter()
+    for _ in range(6000):
+        kind = rng.choice(["good", *weak_quality.KINDS], p=[0.8, 0.12, 0.08])
+        bad = weak_quality.KINDS.get(kind, ())
+        counts["".join("0" if rng.random() < 0.1 else "-" if (rng.random() < 0.9) == (name in bad) else "+"
+                       for name in weak_quality.LABELLERS)] += 1
+    model = weak_quality.fit_labels(counts)
+    assert abs(model.table[:, 2, 0].mean() - 0.9) < 0.04
+    assert abs(model.share[1] - 0.12) < 0.02
+
+
 def test_classifier_edges(spark):
     df = spark.createDataFrame([(1, None), (None, "A quiet sentence about the garden and the river."), (2, ""), (3, "!!! $$$ %%% ###")], DOCS)
     model = weak_quality.fit(df)
