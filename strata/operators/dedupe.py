@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.slices import running_in_key
+
 Order = Sequence[tuple[str, str]]  # (column, "asc" | "desc"); asc = NULLS FIRST, desc = NULLS LAST
 
 
@@ -54,11 +56,17 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], count_name: str = "n_co
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1)
 
 
-def duplicate_members(df: DataFrame, keys: Sequence[str], order: Sequence[str], number: str = "row_in_key") -> DataFrame:
-    """All rows of the keys that occur more than once, numbered within their key.  The keys are
-    found by a count combined map-side; only rows of repeated keys are sorted."""
-    repeated = duplicate_groups(df, keys).select(*[F.col(k).alias(f"_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    rows = df.join(repeated, same, "left_semi")
-    w = Window.partitionBy(*keys).orderBy(*sort_columns(complete_order(df.columns, keys, [(o, "asc") for o in order])))
-    return rows.withColumn(number, F.row_number().over(w))
+def duplicate_members(df: DataFrame, keys: Sequence[str], order: Sequence[str], number: str = "row_in_key",
+                      num_partitions: int | None = None) -> DataFrame:
+    """All rows of the keys that occur more than once, numbered within their key from 1 in
+    ``order`` completed by the other columns.
+
+    Rows that are equal in every column are first counted, combined map-side; a key's numbers
+    are then the running sums of these counts (``slices.running_in_key``), so a key with a
+    third of all rows is numbered by as many tasks as its distinct rows need."""
+    sort = [n for n, _ in complete_order(df.columns, keys, [(o, "asc") for o in order])]
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = running_in_key(distinct, keys, sort, {"_upto": "_n"}, {"_rows": "_n"}, num_partitions).where("_rows > 1")
+    first = F.col("_upto") - F.col("_n") + 1
+    return rows.select(*[F.col(c) for c in df.columns],
+                       F.explode(F.sequence(first.cast("int"), F.col("_upto").cast("int"))).alias(number))

@@ -2,18 +2,19 @@
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task; if one
 patient or user holds a third of all rows, that task holds a third of the data.  These
-operators split each key's rows into buckets of the order column (for example the day
-of the timestamp), run the window per (key, bucket) and stitch bucket boundaries with a
-second, much smaller window over one row per (key, bucket):
+operators split each key's rows into buckets, run the window per (key, bucket) and stitch
+bucket boundaries with a second, much smaller window over one row per (key, bucket):
 
     rows --window per (key, bucket)----------------------------+
       \\--aggregate to one row per (key, bucket) --window per key--join on (key, bucket)
 
 The second window sees at most one row per bucket of a key, however many rows that key
-has.  By default buckets are adaptive (``adaptive_buckets``): calendar periods, with a
-hot key's busy periods cut into equal time slices so that no (key, bucket) holds much
-more than ``target_rows`` rows.  A bucket must be a non-decreasing function of the
-order column, so ties of the order column never straddle two buckets.
+has.  The buckets are the range slices of (key, order) (``slices.order_slices``): their
+borders follow the rank of a row, not its time, so rows piled on one instant are spread
+by the columns that break the tie.  Calendar buckets (``adaptive_buckets``: periods, with a
+hot key's busy periods cut into equal time slices) can be asked for by ``unit`` or
+``target_rows``; they write nothing, but a pile of rows at one instant shares a slice.
+A bucket given by the caller must not fall along the order.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expr import epoch_micros
+from strata.operators.slices import order_slices
 
 _DAY_MICROS = 86_400_000_000
 
@@ -61,11 +63,13 @@ def _order_list(order: str | Sequence[str]) -> list[str]:
     return [order] if isinstance(order, str) else list(order)
 
 
-def _bucketed(df: DataFrame, key: str, order: list[str], bucket: Column | None, unit: str,
-              target_rows: int) -> DataFrame:
-    if bucket is None:
-        return adaptive_buckets(df, key, order[0], unit, target_rows)
-    return df.withColumn("_bkt", bucket)
+def _bucketed(df: DataFrame, key: str, order: list[str], bucket: Column | None, unit: str | None,
+              target_rows: int | None) -> DataFrame:
+    if bucket is not None:
+        return df.withColumn("_bkt", bucket)
+    if unit or target_rows:
+        return adaptive_buckets(df, key, order[0], unit or "day", target_rows or 2_000_000)
+    return order_slices(df, [key, *order], name="_bkt")
 
 
 def _same_bucket(key: str) -> Column:
@@ -74,11 +78,10 @@ def _same_bucket(key: str) -> Column:
 
 
 def next_in_key(df: DataFrame, key: str, order: str | Sequence[str], value: str, out: str,
-                bucket: Column | None = None, unit: str = "day", target_rows: int = 2_000_000) -> DataFrame:
+                bucket: Column | None = None, unit: str | None = None, target_rows: int | None = None) -> DataFrame:
     """Add ``out`` = ``value`` of the next row of the same key in ``order``
     (``lead(value) over (partition by key order by order)``), NULL for the last row.
-    The first order column drives the bucket (``adaptive_buckets`` unless a ``bucket``
-    column is given); later order columns break ties."""
+    ``order`` should tell the rows of a key apart."""
     order = _order_list(order)
     b = _bucketed(df, key, order, bucket, unit, target_rows)
     inner = Window.partitionBy(key, "_bkt").orderBy(*order)
@@ -100,8 +103,8 @@ def next_in_key(df: DataFrame, key: str, order: str | Sequence[str], value: str,
 
 
 def running_max_before(df: DataFrame, key: str, order: str | Sequence[str], value: str, out: str,
-                       bucket: Column | None = None, unit: str = "month",
-                       target_rows: int = 2_000_000) -> DataFrame:
+                       bucket: Column | None = None, unit: str | None = None,
+                       target_rows: int | None = None) -> DataFrame:
     """Add ``out`` = max(``value``) over the earlier rows of the same key
     (``rows between unbounded preceding and 1 preceding``), NULL for the first row."""
     order = _order_list(order)

@@ -33,7 +33,7 @@ from strata.operators.calendar import date_dimension
 from strata.operators.dedupe import duplicate_groups, duplicate_members, first_per_key
 from strata.operators.keys import assign_keys
 from strata.operators.merge import ensure_placeholder, incremental_insert, infer_missing_members, new_rows, upsert_scd1
-from strata.operators.outliers import cap_outliers, iqr_bounds
+from strata.operators.outliers import cap_outliers, iqr_bounds, order_statistics
 from strata.operators.sequence import next_in_key
 from strata.plans import questions as Q
 from strata.plans.silver import silver_encounters, silver_patients, silver_payers, silver_procedures
@@ -81,10 +81,9 @@ def bronze_procedures(spark: SparkSession, d: str) -> DataFrame:
 
 
 def user_gaps(spark: SparkSession, d: str) -> DataFrame:
-    """Each event with the same user's next event time (day buckets keep a busy user
-    spread over many tasks)."""
+    """Each event with the same user's next event time."""
     ev = table(spark, d, "events").select("event_id", "user_id", "ts")
-    return next_in_key(ev, "user_id", ["ts", "event_id"], "ts", "next_ts", unit="day")
+    return next_in_key(ev, "user_id", ["ts", "event_id"], "ts", "next_ts")
 
 
 def keyed_customers(spark: SparkSession, d: str) -> DataFrame:
@@ -169,6 +168,21 @@ def q_sliced_gaps(spark, d):
                        "ts", "next_ts", unit="month", target_rows=2)
 
 
+def q_burst_gaps(spark, d):
+    """The gaps again with a third of each user's events at one instant: the event's number
+    alone orders them."""
+    burst = F.when(F.col("event_id") % 3 == 0, X.ntz_lit(BATCH1_TS)).otherwise(F.col("ts"))
+    return next_in_key(table(spark, d, "events").select("event_id", "user_id", burst.alias("ts")), "user_id",
+                       ["ts", "event_id"], "event_id", "next_event")
+
+
+def q_percentiles_distinct(spark, d):
+    """Percentiles of values that are all different: the orders' numbers, spread by a product."""
+    spread = (F.col("o_orderkey") * 7919) % 1_000_003
+    return order_statistics(table(spark, d, "orders").select((spread * 1_000_000 + F.col("o_orderkey")).alias("v")),
+                            "v", [0.0, 0.1, 0.5, 0.99, 1.0])
+
+
 def q_age_by_year(spark, d):
     dur = line_durations(spark, d)
     return dur.select(*LINE_KEY, X.year_diff("o_orderdate", "l_shipdate").alias("years_between"))
@@ -565,8 +579,16 @@ def q_duplicate_rows(spark, d):
 
 def q_duplicate_members(spark, d):
     """Every row of each composite key with its number within the key."""
-    return duplicate_members(table(spark, d, "lineitem"), ["l_orderkey", "l_partkey"], ["l_linenumber"]).select(
-        *LINE_KEY, "l_partkey", "row_in_key")
+    lines = table(spark, d, "lineitem").select(*LINE_KEY, "l_partkey")
+    return duplicate_members(lines, ["l_orderkey", "l_partkey"], ["l_linenumber"])
+
+
+def q_duplicate_members_hot(spark, d):
+    """The same with a third of all lines under one key."""
+    hot = F.col("l_orderkey") % 3 == 0
+    lines = table(spark, d, "lineitem").select(
+        F.when(hot, F.lit(0)).otherwise(F.col("l_suppkey")).alias("member"), *LINE_KEY, "l_partkey")
+    return duplicate_members(lines, ["member"], [*LINE_KEY, "l_partkey"])
 
 
 def q_missing_or_present(spark, d):
@@ -735,6 +757,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_check": q_key_check,
     "duplicate_rows": q_duplicate_rows,
     "duplicate_members": q_duplicate_members,
+    "duplicate_members_hot": q_duplicate_members_hot,
+    "burst_gaps": q_burst_gaps,
+    "percentiles_distinct": q_percentiles_distinct,
     "missing_or_present": q_missing_or_present,
     "first_rows": q_first_rows,
     "csv_round_trip": q_csv_round_trip,

@@ -108,12 +108,12 @@ def distinct_per_quarter(df: DataFrame, start: str, entity: str, cls: str | None
 
 
 def readmission_rows(df: DataFrame, patient: str, start: str, stop: str, order: Sequence[str],
-                     days: int = 30, bucket: Column | None = None, target_rows: int = 2_000_000) -> DataFrame:
+                     days: int = 30, bucket: Column | None = None) -> DataFrame:
     """Encounters that start 0..``days`` days after the latest stop of the same patient's
-    earlier encounters (earlier in ``order``).  The running max is computed per adaptive
-    month bucket (busy months of a hot patient are sliced) plus a small per-patient
-    stitch, so a patient with a huge history is spread over many tasks."""
-    with_prev = running_max_before(df, patient, list(order), stop, "_prev_stop", bucket, "month", target_rows)
+    earlier encounters (earlier in ``order``).  The running max is computed per range slice
+    of (patient, order) plus a small per-patient stitch, so a patient with a huge history,
+    or with many encounters at one instant, is spread over many tasks."""
+    with_prev = running_max_before(df, patient, list(order), stop, "_prev_stop", bucket)
     gap = elapsed_micros(F.col("_prev_stop"), F.col(start))
     return with_prev.filter(F.col("_prev_stop").isNotNull() & (gap >= 0) & (gap <= days * _DAY_MICROS))
 

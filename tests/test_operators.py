@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from strata.operators import canonical, constraints, refint
 from strata.operators.calendar import date_dimension
-from strata.operators.dedupe import duplicate_groups, first_per_key
+from strata.operators.dedupe import duplicate_groups, duplicate_members, first_per_key
 from strata.operators.keys import assign_keys, next_key_start
 from strata.operators.merge import (UNGUARDED, ensure_placeholder, incremental_insert, infer_missing_members,
                                     upsert_scd1)
-from strata.operators.outliers import cap_outliers, iqr_bounds
+from strata.operators.outliers import cap_outliers, iqr_bounds, order_statistics
 from strata.operators.quality import key_violations, longest, null_counts
 from strata.operators.sequence import adaptive_buckets, next_in_key, running_max_before
+from strata.operators.slices import order_slices, running_in_key
 
 
 def _key(t):
@@ -186,6 +187,64 @@ def test_iqr_limit_exact_percentiles(spark):
     assert rows(capped) == [(-3, 1), (0, 0), (7, 7), (8, 7)]
 
 
+def test_order_statistics_of_distinct_values(spark):
+    """Every value different, more of them than a task holds; and no task merges them all."""
+    n = 20_011
+    df = spark.range(n).select((F.col("id") * 7919 % n - 500).alias("v")).unionByName(
+        spark.createDataFrame([(None,)], "v long"))
+    got = order_statistics(df, "v", [0.0, 0.25, 0.5, 0.9, 1.0], num_partitions=8)
+    want = df.agg(F.percentile("v", F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.9, 1.0)])).alias("p")).first().p
+    assert list(got.first()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("values", [[], [None], [3], [3, None, 3], [1, 2], [5, 5, 5, 9], [-2, 7, 7, 7, 100, 3]])
+def test_order_statistics_of_few_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    quantiles = (0.25, 0.75, 0.4)
+    got = order_statistics(df, "v", quantiles, num_partitions=3).first()
+    want = df.agg(F.percentile("v", F.array(*[F.lit(q) for q in quantiles])).alias("p")).first().p
+    assert list(got) == (want or [None] * 3)
+
+
+# ----------------------------------------------------------------- ordered slices
+def test_running_in_key_matches_plain_windows(spark):
+    """A third of the rows under one key, some under no key, keys across slice borders."""
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(i, 0 if rnd.random() < 0.33 else rnd.choice([None, *range(1, 40)]),
+                                 rnd.randint(0, 5), rnd.choice([None, 1, 2, 3])) for i in range(4000)],
+                               "id long, k int, t int, v int")
+    got = running_in_key(df, ["k"], ["t", "id"], {"upto": "v"}, {"all": "v"}, num_partitions=16)
+    w = Window.partitionBy("k")
+    upto = w.orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    v = F.coalesce("v", F.lit(0))
+    want = df.select("*", F.sum(v).over(upto).alias("upto"), F.sum(v).over(w).alias("all"))
+    assert rows(got) == rows(want)
+
+
+def test_hot_key_is_spread_over_slices(spark):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                  F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("ts"), "id")
+    sliced = order_slices(df, ["k", "ts", "id"], 12)
+    per = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert sum(per) == 6000 and max(per) < 6000 / 4  # the key with 2000 rows, all at one instant, lies in several
+    assert len({r[0] for r in sliced.where("k = 0").select("_slice").distinct().collect()}) >= 3
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_duplicate_members_with_copies_and_null_keys(spark, parts):
+    data = [(1, "a", 1.0)] * 5 + [(1, "b", 2.0)] + [(2, "c", 3.0)] + [(None, "x", None)] * 2 + [(None, "w", 1.0)]
+    data += [(7, f"s{i:03d}", 0.5) for i in range(300)]  # one key with most of the rows
+    df = spark.createDataFrame(data, "k int, s string, x double")
+    got = duplicate_members(df, ["k"], ["s"], num_partitions=parts)
+    w = Window.partitionBy("k")
+    want = (df.withColumn("row_in_key", F.row_number().over(w.orderBy("s", "x"))).withColumn("n", F.count("*").over(w))
+            .where("n > 1").drop("n"))
+    assert rows(got) == rows(want)
+    assert duplicate_members(df.limit(0), ["k"], ["s"]).count() == 0
+
+
 # ----------------------------------------------------------------- calendar
 def test_date_dimension(spark):
     df = spark.createDataFrame([(dt.datetime(2023, 9, 30, 8),), (dt.datetime(2024, 10, 1, 9),)], "ts timestamp_ntz")
@@ -249,6 +308,18 @@ def test_sequence_ops_with_sliced_buckets_match_plain_windows(spark):
     assert rows(got_max, "event_id", "prev") == rows(want, "event_id", "prev")
 
 
+def test_sequence_ops_with_rows_piled_on_one_instant(spark):
+    burst = F.when(F.col("event_id") % 3 == 0, F.lit(dt.datetime(2024, 1, 5))).otherwise(F.col("ts"))
+    ev = _events(spark).withColumn("ts", burst.cast("timestamp_ntz")).withColumn("stop", F.col("event_id") % 97)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    want = (ev.withColumn("nxt", F.lead("event_id").over(w))
+            .withColumn("prev", F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))))
+    assert rows(next_in_key(ev, "user_id", ["ts", "event_id"], "event_id", "nxt"), "event_id", "nxt") == rows(
+        want, "event_id", "nxt")
+    assert rows(running_max_before(ev, "user_id", ["ts", "event_id"], "stop", "prev"), "event_id", "prev") == rows(
+        want, "event_id", "prev")
+
+
 # ------------------------------------------------------------ quality / C1-C4
 def test_quality_and_constraints(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, None)], "k int, s string")
