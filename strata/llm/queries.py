@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_parts, license_scan, merkle, packing, posting_lists, rank_queue_bpe, sanitise, tensor_minhash, token_count, weak_quality
+from strata.llm import chat_parts, hard_negatives, license_scan, merkle, packing, posting_lists, rank_queue_bpe, sanitise, tensor_minhash, token_count, weak_quality
 from strata.llm.common import read_table
 
 
@@ -58,8 +58,14 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_posting_lists, op3_tensor_minhash, op4_weak_quality, op5_sanitise, op6_rank_queue_bpe, op7_merkle, op8_chat_format, op9_token_count, op10_pack)}
+    op1_license_scan, op2_posting_lists, op3_tensor_minhash, op4_weak_quality, op5_sanitise, op6_rank_queue_bpe,
+    op7_merkle, op8_chat_format, op9_token_count, op10_pack, op12_threshold_negatives)}
 
 ORACLE_SQL = {
     "op8_chat_format": r"""
@@ -80,5 +86,26 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op12_threshold_negatives": """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(x::DOUBLE * 256) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, list_inner_product(a.q, r.q)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, s.id AS negative_id, positive_score,
+       s.score AS negative_score
+FROM positive p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+  AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 3
 """,
 }

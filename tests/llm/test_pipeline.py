@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
