@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_parts, hard_negatives, license_scan, merkle, packing, posting_lists, rank_queue_bpe, sanitise, tensor_minhash, token_count, weak_quality
+from strata.llm import chat_parts, hard_negatives, license_scan, merkle, packing, posting_lists, prefix_trie, rank_queue_bpe, sanitise, tensor_minhash, token_count, toxicity, weak_quality
 from strata.llm.common import read_table
 
 
@@ -58,14 +58,22 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_conv_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_posting_lists, op3_tensor_minhash, op4_weak_quality, op5_sanitise, op6_rank_queue_bpe,
-    op7_merkle, op8_chat_format, op9_token_count, op10_pack, op12_threshold_negatives)}
+    op7_merkle, op8_chat_format, op9_token_count, op10_pack, op11_conv_toxicity, op12_threshold_negatives, op13_prefix_trie)}
 
 ORACLE_SQL = {
     "op8_chat_format": r"""
@@ -107,5 +115,48 @@ FROM positive p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
   AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)
 QUALIFY row_number() OVER w <= 3
+""",
+    "op13_prefix_trie": r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id::BIGINT AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), crc AS (  -- bit by bit over the decimal digits; a new one comes in with every eighth step
+  SELECT DISTINCT c, c::VARCHAR AS digits, 0 AS step, 4294967295::BIGINT AS v FROM turns
+  UNION ALL
+  SELECT c, digits, step + 1,
+    CASE WHEN step % 8 = 0 THEN
+      CASE WHEN xor(v, ord(digits[step // 8 + 1])) & 1 = 1 THEN xor(xor(v, ord(digits[step // 8 + 1])) >> 1, 3988292384)
+           ELSE xor(v, ord(digits[step // 8 + 1])) >> 1 END
+    ELSE CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END END
+  FROM crc WHERE step < 8 * length(digits)
+), heads AS (
+  SELECT c, xor(v, 4294967295) % 4 AS h FROM crc WHERE step = 8 * length(digits)
+), rebuilt AS (
+  SELECT x.c, 1 AS part, t.pos, t.role, t.text FROM heads x JOIN turns t ON t.c = x.c - x.c % 20 AND t.pos <= x.h
+  UNION ALL
+  SELECT t.c, 2, t.pos, t.role, t.text FROM turns t JOIN heads x ON t.c = x.c AND t.pos > x.h
+), deep AS (
+  SELECT c, row_number() OVER w AS depth, text, count(*) OVER (PARTITION BY c) AS n,
+    string_agg(md5(length(role) || ':' || role || text), '') OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY part, pos)
+), placed AS (
+  SELECT c, depth, path, lag(path, 1, '') OVER (PARTITION BY c ORDER BY depth) AS up, n = depth AS last,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM deep
+  UNION ALL
+  SELECT c, 0, '', NULL, c NOT IN (SELECT c FROM rebuilt), 0 FROM heads
+), nodes AS (
+  SELECT path, depth, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+  FROM placed GROUP BY path, depth
+), fanned AS (
+  SELECT v.*, (SELECT count(*) FROM nodes k WHERE k.up = v.path) AS n_children FROM nodes v
+)
+SELECT v.conv_id, v.depth::BIGINT AS depth, any_value(p.conv_id) AS parent_conv_id, any_value(v.n_convs) AS n_convs,
+  any_value(v.n_children) AS n_children, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves,
+  sum((u.n_convs - 1) * u.words)::BIGINT AS saved_tokens, any_value(v.ends_sha256) AS ends_sha256
+FROM fanned v JOIN fanned u ON starts_with(u.path, v.path) LEFT JOIN nodes p ON p.path = v.up
+GROUP BY v.path, v.conv_id, v.depth
 """,
 }

@@ -1,11 +1,14 @@
 """Toxicity by a convolutional text classifier.
 
-Words are hashed to buckets, each with an embedding; filters of several widths slide over the
-whole text, the largest answer of each filter anywhere in it is kept (max pooling), and a
-logistic layer weighs these.  The network is trained here, in numpy, on a bounded sample of
-labelled documents with as many toxic as clean ones, by Adam; only the window that answered most
-passes a gradient back.  A filter's answer is a sum of one table entry per word and place in the
-window, so that on the executors scoring a text is looking up and adding.
+A word's embedding is the sum of those of its hashed parts (the word and its first 3 to 6
+letters, so that inflected words share theirs); filters of several widths slide over the whole
+text, the largest answer of each filter anywhere in it is kept (max pooling), and a logistic
+layer weighs these.  The network is trained here, in numpy, on a bounded sample of labelled
+documents with as many toxic as clean ones, by Adam; only the window that answered most passes
+a gradient back.  One embedding dimension starts at the part's z-score between toxic and clean
+documents, so that pooling looks at telling words from the first step; parts that few sample
+documents have stay at zero.  A filter's answer is a sum of one table entry per word and place
+in the window, so that on the executors scoring a text is looking up and adding.
 
 Labelled rows are split by crc32(doc_id as text) % 5: 0 is held out and never read, 1 calibrates,
 2 to 4 train.  All documents are scored first; the scores of all calibration rows, counted in
@@ -32,60 +35,76 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import Memo, map_rows
+from strata.llm.common import map_rows
 from strata.session import ensure_checkpoint_dir
 
 #: Bound of the sample: so many toxic and so many clean documents, of at most so many words.
-SAMPLE_EACH = 2_000
+SAMPLE_EACH = 1_500
 SAMPLE_WORDS = 4_096
-BUCKETS = 1 << 14
-DIM = 16
+BUCKETS = 1 << 20
+PREFIXES = (3, 4, 5, 6)
+PARTS = 1 + len(PREFIXES)
+MIN_DOCS = 3  # parts in fewer sample documents are not learned
+DIM = 8
 WIDTHS = (1, 2, 3)
+REACH = max(WIDTHS) - 1
 FILTERS = 8
-EPOCHS = 12
+EPOCHS = 8
 BATCH = 32
 RATE = 0.01
-DECAY = 1e-4
 BLOCK = 8_192  # words looked up at a time; windows go over the border
+WORDS_HELD = 1 << 16  # distinct words a worker remembers
 BINS_PER_UNIT, FARTHEST = 20, 20  # histogram of the network's answers
 MIN_TOXIC = 20
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-def _bucket(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+def words_of(text: str | None) -> list[str]:
+    return _WORD.findall((text or "").lower())
 
 
-def word_ids(text: str | None, memo) -> np.ndarray:
-    return np.fromiter((memo[w] for w in _WORD.findall((text or "").lower())), dtype=np.int32)
+def parts(word: str) -> list[int]:
+    """Buckets of the word and of its beginnings; -1 where it is shorter."""
+    def bucket(part: str) -> int:
+        return zlib.crc32(part.encode("utf-8", "surrogatepass")) % BUCKETS
+
+    return [bucket(word), *(bucket("^" + word[:n]) if len(word) >= n else -1 for n in PREFIXES)]
 
 
 @dataclass
 class Network:
-    """``embed`` has a last row of zeros for the places behind a text's end."""
+    """``rows`` gives the embedding of a bucket; the last embedding is zero, for all that isn't known."""
 
-    embed: np.ndarray  # (BUCKETS + 1, DIM)
+    rows: np.ndarray  # (BUCKETS + 1,) the last for "no part"
+    embed: np.ndarray  # (known + 1, DIM)
     filters: list[np.ndarray]  # for each width: (width, DIM, FILTERS)
     shifts: list[np.ndarray]
     weights: np.ndarray
     bias: float
 
-    @staticmethod
-    def fresh(seed: int = 0) -> "Network":
-        rng = np.random.default_rng(seed)
-        embed = rng.normal(0, 0.3, (BUCKETS + 1, DIM))
-        embed[-1] = 0
-        return Network(embed, [rng.normal(0, 1 / math.sqrt(w * DIM), (w, DIM, FILTERS)) for w in WIDTHS],
-                       [np.zeros(FILTERS) for _ in WIDTHS], rng.normal(0, 0.3, FILTERS * len(WIDTHS)), 0.0)
+    def tables(self) -> np.ndarray:
+        """(known + 1, places of all widths, FILTERS): what a part adds at each place of a window."""
+        places = np.concatenate(self.filters)
+        return (self.embed @ places.transpose(1, 0, 2).reshape(DIM, -1)).reshape(len(self.embed), len(places), FILTERS)
 
-    def params(self) -> list[np.ndarray]:
-        return [self.embed, *self.filters, *self.shifts, self.weights]
 
-    def tables(self, rows: np.ndarray | None = None) -> np.ndarray:
-        """(words, places of all widths, FILTERS): what each word adds at each place of a window."""
-        embed = self.embed if rows is None else self.embed[rows]
-        places = np.concatenate(self.filters)
-        return (embed @ places.transpose(1, 0, 2).reshape(DIM, -1)).reshape(len(embed), len(places), FILTERS)
+class Words(dict):
+    """Rows of a matrix with what each word adds, made as words turn up; word "" adds nothing."""
+
+    def __init__(self, rows: np.ndarray, tables: np.ndarray):
+        super().__init__()
+        self.rows, self.tables = rows, tables
+        self.added = np.zeros((WORDS_HELD + BLOCK + REACH + 1, *tables.shape[1:]), dtype=tables.dtype)
+
+    def __missing__(self, word: str) -> int:
+        at = self[word] = len(self)
+        self.added[at] = self.tables[self.rows[parts(word)]].sum(axis=0) if word else 0
+        return at
+
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self) > WORDS_HELD:
+            self.clear()
+        return self.added[[self[w] for w in words]]
 
 
 def _answers(added: np.ndarray, width: int, at: int) -> np.ndarray:
@@ -94,15 +113,13 @@ def _answers(added: np.ndarray, width: int, at: int) -> np.ndarray:
     return sum(added[j:j + n, at + j] for j in range(width))
 
 
-def pooled(ids: np.ndarray, tables: np.ndarray, shifts: list[np.ndarray]) -> np.ndarray:
-    """Largest answer of each filter, at least 0, over the whole text."""
-    best = np.zeros(FILTERS * len(WIDTHS), dtype=tables.dtype)
-    behind = np.full(max(WIDTHS) - 1, BUCKETS, dtype=np.int32)
-    for begin in range(0, len(ids), BLOCK):
-        block = ids[begin:begin + BLOCK + max(WIDTHS) - 1]
-        missing = min(len(ids) - begin, BLOCK) + max(WIDTHS) - 1 - len(block)
-        added = tables[np.concatenate([block, behind[:missing]]) if missing else block]
-        n, at = len(added) - max(WIDTHS) + 1, 0
+def pooled(words: list[str], known: Words, shifts: list[np.ndarray]) -> np.ndarray:
+    """Largest answer of each filter, at least 0, over the whole text, block by block."""
+    best = np.zeros(FILTERS * len(WIDTHS), dtype=known.added.dtype)
+    for begin in range(0, len(words), BLOCK):
+        block = words[begin:begin + BLOCK + REACH]
+        n, at = min(len(words) - begin, BLOCK), 0
+        added = known.of(block + [""] * (n + REACH - len(block)))
         for k, width in enumerate(WIDTHS):
             top = _answers(added[:n + width - 1], width, at).max(axis=0) + shifts[k]
             here = slice(k * FILTERS, (k + 1) * FILTERS)
@@ -111,74 +128,91 @@ def pooled(ids: np.ndarray, tables: np.ndarray, shifts: list[np.ndarray]) -> np.
     return best
 
 
+def _start(texts: list[np.ndarray], labels: np.ndarray, seed: int) -> Network:
+    """Embeddings of the parts in ``MIN_DOCS`` documents or more, the first dimension by their z-score."""
+    seen = [np.unique(t[t >= 0]) for t in texts]
+    buckets, counts = np.unique(np.concatenate(seen), return_counts=True)
+    buckets, counts = buckets[counts >= MIN_DOCS], counts[counts >= MIN_DOCS]
+    toxic = np.concatenate([s for s, label in zip(seen, labels) if label == 1])
+    hits = np.bincount(np.searchsorted(buckets, toxic[np.isin(toxic, buckets)]), minlength=len(buckets))
+    n1, n0 = labels.sum(), (1 - labels).sum()
+    p = counts / (n1 + n0)
+    z = (hits / n1 - (counts - hits) / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
+    rng = np.random.default_rng(seed)
+    embed = rng.normal(0, 0.02, (len(buckets) + 1, DIM))
+    embed[:-1, 0] += np.clip(z, -4, 12) / 10
+    embed[-1] = 0
+    rows = np.full(BUCKETS + 1, len(buckets), dtype=np.int32)
+    rows[buckets] = np.arange(len(buckets))
+    filters = [rng.normal(0, 0.1, (w, DIM, FILTERS)) for w in WIDTHS]
+    for f in filters:
+        f[:, 0] += 1 / len(f)
+    return Network(rows, embed, filters, [np.full(FILTERS, -0.2) for _ in WIDTHS], np.full(FILTERS * len(WIDTHS), 0.1), 0.0)
+
+
 def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 0) -> Network:
-    """Adam on the logistic loss, the two kinds weighing the same."""
-    net = Network.fresh(seed)
+    """Texts as (words, PARTS) buckets.  Adam on the logistic loss, the two kinds weighing the same."""
+    net = _start(texts, labels, seed)
     share = labels.mean()
     cost = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-    known = np.unique(np.concatenate([*texts, [BUCKETS]]))  # buckets that occur; the others keep their start and decay
-    texts = [np.searchsorted(known, t) for t in texts]
-    blank = len(known) - 1
-    embed = net.embed[known]
-    small = Network(embed, net.filters, net.shifts, net.weights, net.bias)
-    params = [*small.params(), np.zeros(1)]
+    texts = [net.rows[t] for t in texts]
+    blank = len(net.embed) - 1
+    params = [net.embed, *net.filters, *net.shifts, net.weights, np.zeros(1)]
+    rates = [RATE / 4, *[RATE] * (len(params) - 1)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     rng, step = np.random.default_rng(seed + 1), 0
-    reach = max(WIDTHS) - 1
+    columns = np.arange(FILTERS)
+    padding = np.full((REACH, PARTS), blank)
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for batch in np.array_split(order, max(1, len(order) // BATCH)):
             grads = [np.zeros_like(p) for p in params]
-            tables = small.tables()
-            g_tables = {}
+            tables = net.tables()
+            hit_rows, hit_places, hit_filters, hit_values = [], [], [], []
             for i in batch:
-                ids = np.concatenate([texts[i], np.full(reach, blank)])
-                added, at, best, where = tables[ids], 0, [], []
-                n = len(texts[i])
+                n, at, best, where = len(texts[i]), 0, [], []
+                ids = np.concatenate([texts[i], padding])
+                added = sum(tables[ids[:, p]] for p in range(PARTS))
                 for k, width in enumerate(WIDTHS):
                     if n:
                         answers = _answers(added[:n + width - 1], width, at)
                         where.append(answers.argmax(axis=0))
-                        best.append(answers[where[-1], np.arange(FILTERS)] + small.shifts[k])
+                        best.append(answers[where[-1], columns] + net.shifts[k])
                     else:
                         best.append(np.zeros(FILTERS))
                     at += width
                 features = np.maximum(np.concatenate(best), 0)
-                answer = features @ params[-2] + params[-1][0]
+                answer = features @ net.weights + params[-1][0]
                 error = (1 / (1 + math.exp(-max(-30, min(30, answer)))) - labels[i]) * cost[i] / len(batch)
                 grads[-2] += error * features
                 grads[-1] += error
-                if not n:
-                    continue
-                back = error * params[-2] * (features > 0)
-                at = 0
-                for k, width in enumerate(WIDTHS):
+                back, at = error * net.weights * (features > 0), 0
+                for k, width in enumerate(WIDTHS if n else ()):
                     mine = back[k * FILTERS:(k + 1) * FILTERS]
                     grads[1 + len(WIDTHS) + k] += mine
                     for j in range(width):
-                        words = ids[where[k] + j]
-                        for f in np.flatnonzero(mine):
-                            spot = g_tables.setdefault(int(words[f]), np.zeros(tables.shape[1:]))
-                            spot[at + j, f] += mine[f]
+                        hit_rows.append(ids[where[k] + j])  # (FILTERS, PARTS)
+                        hit_places.append(np.full(FILTERS, at + j))
+                        hit_filters.append(columns)
+                        hit_values.append(mine)
                     at += width
-            if g_tables:
-                rows = np.fromiter(g_tables, dtype=np.int64)
-                g = np.stack([g_tables[r] for r in rows])
-                places = np.concatenate(small.filters)
-                grads[0][rows] += np.einsum("npf,pdf->nd", g, places)
-                g_places, at = np.einsum("npf,nd->pdf", g, embed[rows]), 0
+            if hit_rows:
+                rows, spot = np.unique(np.concatenate(hit_rows), return_inverse=True)
+                g = np.zeros((len(rows), *tables.shape[1:]))
+                np.add.at(g, (spot.reshape(-1, PARTS), np.concatenate(hit_places)[:, None], np.concatenate(hit_filters)[:, None]),
+                          np.concatenate(hit_values)[:, None])
+                places = np.concatenate(net.filters)
+                grads[0][rows] = np.einsum("npf,pdf->nd", g, places)
+                g_places, at = np.einsum("npf,nd->pdf", g, net.embed[rows]), 0
                 for k, width in enumerate(WIDTHS):
                     grads[1 + k] += g_places[at:at + width]
                     at += width
             grads[0][blank] = 0
             step += 1
-            for p, g, m, v in zip(params, grads, first, second):
+            for param, g, m, v, rate in zip(params, grads, first, second, rates):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
-                p -= RATE * (m / (1 - 0.9 ** step) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8) + DECAY * p)
-    net.embed[:] = 0  # a word never seen says nothing
-    net.embed[known] = embed
-    net.embed[-1] = 0
+                param -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     net.bias = float(params[-1][0])
     return net
 
@@ -203,12 +237,10 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH, most_words:
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(sample, "_id")
 
     def hashed():
-        memo = Memo(_bucket)
-
         def of(doc_id, text, toxic):
-            ids = word_ids(text, memo)
-            if len(ids) <= most_words:
-                yield doc_id, toxic, ids
+            words = words_of(text)
+            if len(words) <= most_words:
+                yield doc_id, toxic, [b for w in words for b in parts(w)]
 
         return of
 
@@ -217,20 +249,20 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH, most_words:
     kinds = np.array([r.toxic for r in found])
     if not len(kinds) or kinds.min() == kinds.max():
         return float(kinds.mean()) if len(kinds) else 0.0
-    return train([np.array(r.ids, dtype=np.int64) for r in found], kinds, epochs)
+    return train([np.array(r.ids, dtype=np.int64).reshape(-1, PARTS) for r in found], kinds, epochs)
 
 
 def answers(docs: DataFrame, net: Network) -> DataFrame:
     """doc_id, lang, answer: the network's answer for every whole text."""
-    held = docs.sparkSession.sparkContext.broadcast((net.tables().astype(np.float32), [s.astype(np.float32) for s in net.shifts],
-                                                     net.weights, net.bias))
+    held = docs.sparkSession.sparkContext.broadcast((net.rows, net.tables().astype(np.float32),
+                                                     [s.astype(np.float32) for s in net.shifts], net.weights, net.bias))
 
     def scorer():
-        tables, shifts, weights, bias = held.value
-        memo = Memo(_bucket)
+        rows, tables, shifts, weights, bias = held.value
+        known = Words(rows, tables)
 
         def of(doc_id, lang, text):
-            yield doc_id, lang, float(pooled(word_ids(text, memo), tables, shifts) @ weights + bias)
+            yield doc_id, lang, float(pooled(words_of(text), known, shifts) @ weights + bias)
 
         return of
 
@@ -260,16 +292,18 @@ def curve(bins: np.ndarray, toxic: np.ndarray, counts: np.ndarray) -> tuple[floa
 
 
 def _thresholds(bins: DataFrame, total_toxic: int, score_of) -> DataFrame:
-    """lang and the score from which on F1 is best, for languages with enough toxic rows: each has at least a
-    thousandth of them, so they are at most a thousand."""
-    upward = Window.partitionBy("lang").orderBy(F.col("bin").desc())
+    """lang and the score from which on F1 is best, midway to the next lower bin in use, for languages with
+    enough toxic rows: each has at least a thousandth of them, so they are at most a thousand."""
+    downward = Window.partitionBy("lang").orderBy(F.col("bin").desc())
     per = bins.groupBy("lang", "bin").agg(F.sum(F.col("n") * F.col("toxic")).alias("hit"), F.sum("n").alias("n"))
-    per = per.withColumns({"hit": F.sum("hit").over(upward), "n": F.sum("n").over(upward),
-                           "all_hit": F.sum("hit").over(Window.partitionBy("lang"))})
+    per = per.withColumns({"hit": F.sum("hit").over(downward), "n": F.sum("n").over(downward),
+                           "all_hit": F.sum("hit").over(Window.partitionBy("lang")),
+                           "lower": F.coalesce(F.lead("bin").over(downward), F.col("bin") - 1)})
     per = per.where(F.col("all_hit") >= max(MIN_TOXIC, total_toxic / 1000))
     f1 = 2.0 * F.col("hit") / (F.col("n") + F.col("all_hit"))
-    best = per.groupBy("lang").agg(F.max(F.struct(f1.alias("f1"), F.col("bin"))).alias("best"))
-    return best.select(F.col("lang").alias("_lang"), score_of((F.col("best.bin") - 0.5) / BINS_PER_UNIT).alias("_threshold"))
+    best = per.groupBy("lang").agg(F.max(F.struct(f1.alias("f1"), F.col("bin"), F.col("lower"))).alias("best"))
+    return best.select(F.col("lang").alias("_lang"),
+                       score_of((F.col("best.bin") + F.col("best.lower")) / (2 * BINS_PER_UNIT)).alias("_threshold"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH, most_words: int = SAMPLE_WORDS,
