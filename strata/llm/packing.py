@@ -5,9 +5,14 @@ Documents are tokenized where they are; only the number of pieces of each length
 one sequence.  The covering program (as few configurations as possible, each length covered as
 often as it occurs) is solved by multiplicative weights: lengths carry prices, one knapsack
 dynamic program over the capacity gives the most valuable completion of every length at once,
-and lengths that these configurations cover too rarely become dearer, the others cheaper.  The
-fractional solution is rounded down to whole sequences, the fullest configurations first; what
-is left over is placed by best fit, also on the histogram.
+lengths that are still short of their cover get one of these configurations each, and those
+covered too rarely so far become dearer, the others cheaper.  The average over the rounds, after
+the first ones with their poor prices, covers every length.  It is rounded down to whole
+sequences, the configurations of the longest pieces first, as far as a third of the pieces, and
+the program is solved again for those left over, until it fills hardly any sequence.  First only
+configurations without waste are taken; if the plan isn't the least possible, also the others,
+and the better plan counts.  What no configuration took is placed by best fit, also on the
+histogram; a plan is never worse than best fit alone.
 
 The plan is a table of segments: the pieces of one length, numbered through the corpus, fall
 into ranges, each of which says which sequences and offsets its numbers get.  Its size depends
@@ -90,17 +95,18 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 Config = tuple[int, ...]  # lengths, longest first
 
 
-def price(values: np.ndarray, capacity: int) -> np.ndarray:
+def price(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
     """Unbounded knapsack over all capacities: the length to take first at each (0: leave one
-    token empty).  ``values[l]`` is a piece's worth, -inf where there is none."""
+    token empty).  ``lengths`` ascend; ``worth`` has a piece's value for each."""
     best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    fitting = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for c in range(1, capacity + 1):
-        worth = values[c:0:-1] + best[:c]  # longest first, so equal worth takes long pieces
-        i = int(worth.argmax())
-        if worth[i] > best[c - 1]:
-            best[c], take[c] = worth[i], c - i
-        else:
-            best[c] = best[c - 1]
+        best[c], k = best[c - 1], fitting[c]
+        if k:
+            value = (worth[:k] + best[c - lengths[:k]])[::-1]  # longest first, so equal worth takes long pieces
+            i = int(value.argmax())
+            if value[i] > best[c]:
+                best[c], take[c] = value[i], lengths[k - 1 - i]
     return take
 
 
@@ -108,35 +114,65 @@ def complete(length: int, take: np.ndarray, capacity: int) -> Config:
     """The most valuable configuration that holds a piece of this length."""
     lengths, left = [length], capacity - length
     while left > 0:
-        lengths.append(int(take[left])) if take[left] else None
+        if take[left]:
+            lengths.append(int(take[left]))
         left -= max(1, int(take[left]))
     return tuple(sorted(lengths, reverse=True))
 
 
-def fractional(counts: dict[int, int], capacity: int, rounds: int = 24, rate: float = 0.5) -> dict[Config, float]:
-    """Multiplicative weights: how often to use each configuration, averaged over the rounds."""
+def fractional(counts: dict[int, int], capacity: int, rounds: int = 48, rate: float = 1.0,
+               forget: tuple[int, ...] = (8, 32)) -> dict[Config, float]:
+    """Multiplicative weights: how often to use each configuration, averaged over the rounds since the last
+    of ``forget`` (whose prices live on).  Every length is covered at least as often as it occurs."""
     lengths = np.array(sorted(counts))
     need = np.array([counts[n] for n in lengths], float)
-    weight = np.ones(len(lengths))
     place = {int(n): i for i, n in enumerate(lengths)}
     used: dict[Config, float] = defaultdict(float)
-    for _ in range(rounds):
-        values = np.full(capacity + 1, -np.inf)
-        values[lengths] = lengths / capacity * weight
-        take = price(values, capacity)
-        covered = np.zeros(len(lengths))
-        configs = []
-        for i, n in enumerate(lengths):
-            config = complete(int(n), take, capacity)
-            times = need[i] / config.count(int(n))
-            configs.append((config, times))
-            for m in config:
-                covered[place[m]] += times
-        for config, times in configs:  # a configuration made of over-covered lengths counts for less
-            scale = min(need[place[m]] / covered[place[m]] for m in set(config))
-            used[config] += times * scale / rounds
-        weight *= np.exp(rate * (1 - covered / need).clip(-4, 1))
-    return used
+    held, since, start, price_log = np.zeros(len(lengths)), 0, np.zeros(len(lengths)), np.zeros(len(lengths))
+    for done in range(rounds):
+        if done in forget:
+            held[:], since, start = 0, 0, 0.7 * price_log
+            used.clear()
+        since += 1
+        take = price(lengths, lengths / capacity * np.exp(price_log - price_log.max()), capacity)
+        for i in range(len(lengths) - 1, -1, -1):  # longest first
+            short = need[i] * since - held[i]
+            if short > 1e-9 * need[i]:
+                config = complete(int(lengths[i]), take, capacity)
+                times = short / config.count(int(lengths[i]))
+                used[config] += times
+                for n in config:
+                    held[place[n]] += times
+        price_log = start + rate * np.sqrt(since) * (1 - held / (need * since)).clip(-6, 1)
+    return {config: times / since for config, times in used.items()}
+
+
+def rounded(counts: Counter, capacity: int, waste: bool, rounds: int = 48, later: int = 24, passes: int = 16,
+            share: float = 0.34) -> tuple[list[tuple[Config, int]], Counter]:
+    """Whole sequences from the fractional solution, and from that for what it leaves, and so on; and the pieces
+    left in the end.  A configuration is used as often as the solution says, at least once, while its pieces
+    last; each solution places up to ``share`` of the pieces.  Without ``waste`` only full sequences are made."""
+    left, out = Counter(counts), []
+    for done in range(passes):
+        left = +left
+        if not left:
+            break
+        solution = fractional(left, capacity, later if done else rounds)
+        usable = [(config, times) for config, times in solution.items() if waste or sum(config) == capacity]
+        made, room = 0, share * left.total()
+        for config, times in sorted(usable, key=lambda x: (-x[0][0], len(x[0]), -x[1], x[0])):
+            parts = Counter(config)
+            whole = min([max(1, int(times + 1e-9)), *(left[n] // each for n, each in parts.items())])
+            if whole:
+                out.append((config, whole))
+                made += whole
+                room -= whole * len(config)
+                left.subtract({n: each * whole for n, each in parts.items()})
+                if room < 0:
+                    break
+        if made * 500 <= (+left).total():
+            break
+    return out, +left
 
 
 def best_fit(counts: Counter, capacity: int) -> list[tuple[Config, int]]:
@@ -173,22 +209,26 @@ def best_fit(counts: Counter, capacity: int) -> list[tuple[Config, int]]:
     return [g for room in groups.values() for g in room]
 
 
+def least(counts: dict[int, int], capacity: int) -> int:
+    """No plan has fewer sequences."""
+    return -(-sum(n * c for n, c in counts.items()) // capacity)
+
+
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[Config, int]]:
     """(configuration, number of sequences) pairs that hold every piece exactly once."""
     left = Counter({n: c for n, c in counts.items() if c})
-    out: list[tuple[Config, int]] = []
-    if left[capacity]:
-        out.append(((capacity,), left.pop(capacity)))
-    if left:
-        solution = fractional(left, capacity)
-        for config, times in sorted(solution.items(), key=lambda x: (-sum(x[0]), -x[1], x[0])):
-            parts = Counter(config)
-            whole = min([int(times + 1e-9), *(left[n] // a for n, a in parts.items())])
-            if whole:
-                out.append((config, whole))
-                left.subtract({n: a * whole for n, a in parts.items()})
-        out += best_fit(+left, capacity)
-    return out
+    full = [((capacity,), left.pop(capacity))] if left[capacity] else []
+    left = +left
+    best: list[tuple[Config, int]] = []
+    for waste in (False, True) if left else ():
+        whole, rest = rounded(left, capacity, waste)
+        found = whole + best_fit(rest, capacity)
+        if not best or sum(m for _, m in found) < sum(m for _, m in best):
+            best = found
+        if sum(m for _, m in best) == least(left, capacity):
+            break
+    alone = best_fit(left, capacity)  # on lengths that no configurations fill evenly it can be better by some 0.3 %
+    return full + (alone if sum(m for _, m in alone) < sum(m for _, m in best) else best)
 
 
 class Segment(NamedTuple):
