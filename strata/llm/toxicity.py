@@ -53,7 +53,7 @@ EPOCHS = 8
 BATCH = 32
 RATE = 0.01
 BLOCK = 8_192  # words looked up at a time; windows go over the border
-WORDS_HELD = 1 << 16  # distinct words a worker remembers
+WORDS_HELD = 1 << 17  # distinct words a worker remembers
 BINS_PER_UNIT, FARTHEST = 20, 20  # histogram of the network's answers
 MIN_TOXIC = 20
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -89,21 +89,23 @@ class Network:
 
 
 class Words(dict):
-    """Rows of a matrix with what each word adds, made as words turn up; word "" adds nothing."""
+    """Rows of a matrix with what each word adds, made as words turn up; word "" adds nothing (row 0)."""
 
     def __init__(self, rows: np.ndarray, tables: np.ndarray):
         super().__init__()
         self.rows, self.tables = rows, tables
         self.added = np.zeros((WORDS_HELD + BLOCK + REACH + 1, *tables.shape[1:]), dtype=tables.dtype)
-
-    def __missing__(self, word: str) -> int:
-        at = self[word] = len(self)
-        self.added[at] = self.tables[self.rows[parts(word)]].sum(axis=0) if word else 0
-        return at
+        self[""] = 0
 
     def of(self, words: list[str]) -> np.ndarray:
         if len(self) > WORDS_HELD:
             self.clear()
+            self[""] = 0
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        if new:
+            at = len(self)
+            self.added[at:at + len(new)] = self.tables[self.rows[np.array([parts(w) for w in new])]].sum(axis=1)
+            self.update(zip(new, range(at, at + len(new))))
         return self.added[[self[w] for w in words]]
 
 
@@ -240,16 +242,16 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH, most_words:
         def of(doc_id, text, toxic):
             words = words_of(text)
             if len(words) <= most_words:
-                yield doc_id, toxic, [b for w in words for b in parts(w)]
+                yield doc_id, toxic, np.array([parts(w) for w in words], dtype="<i4").tobytes()
 
         return of
 
-    found = map_rows(texts.select("_id", "text", "toxic"), "_id long, toxic int, ids array<int>", hashed)
+    found = map_rows(texts.select("_id", "text", "toxic"), "_id long, toxic int, ids binary", hashed)
     found = found.groupBy("_id", "toxic").agg(F.min("ids").alias("ids")).orderBy("_id").collect()
     kinds = np.array([r.toxic for r in found])
     if not len(kinds) or kinds.min() == kinds.max():
         return float(kinds.mean()) if len(kinds) else 0.0
-    return train([np.array(r.ids, dtype=np.int64).reshape(-1, PARTS) for r in found], kinds, epochs)
+    return train([np.frombuffer(r.ids, dtype="<i4").reshape(-1, PARTS) for r in found], kinds, epochs)
 
 
 def answers(docs: DataFrame, net: Network) -> DataFrame:
