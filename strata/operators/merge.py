@@ -49,6 +49,25 @@ def changed(tracked: Mapping[str, Any], left: str = "t", right: str = "s") -> Co
     return cond if cond is not None else F.lit(False)
 
 
+def scd1_merge(target: DataFrame, source: DataFrame, key: str, tracked: Mapping[str, Any], stamp_col: str,
+               batch_ts: Any) -> DataFrame:
+    """``target`` and ``source`` in one full outer join, checkpointed: the target's columns with their values after
+    the upsert, ``_new`` (only in the source; its surrogate key is still NULL) and ``_takes`` (new or changed)."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    from_source = [c for c in target.columns if c in source.columns and c != stamp_col]
+    stamp = _typed_lit(batch_ts, types[stamp_col])
+    t = target.withColumn("_old", F.lit(True)).alias("t")
+    s = source.select(*from_source).alias("s")
+    is_new = F.col("t._old").isNull()
+    takes = is_new | (F.col(f"s.{key}").isNotNull() & changed(tracked))
+    merged = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(
+        *[F.when(takes, stamp).otherwise(F.col(f"t.{c}")).alias(c) if c == stamp_col
+          else F.when(takes, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in from_source
+          else F.col(f"t.{c}").alias(c) for c in target.columns], is_new.alias("_new"), takes.alias("_takes"))
+    ensure_checkpoint_dir(target.sparkSession)
+    return merged.checkpoint()  # read several times: the rows that stay, and the new ones to be numbered
+
+
 def upsert_scd1(target: DataFrame, source: DataFrame, key: str, tracked: Mapping[str, Any],
                 surrogate_key: str, stamp_col: str, batch_ts: Any,
                 num_partitions: int | None = None) -> DataFrame:
@@ -61,38 +80,29 @@ def upsert_scd1(target: DataFrame, source: DataFrame, key: str, tracked: Mapping
       order.
 
     ``source`` must already be one row per key and carry the target's data columns.
-    Running it a second time with the same source changes nothing.
+    Running it a second time with the same source changes nothing.  This returns the whole
+    next version; ``sources.parts.upsert_buckets`` rewrites only the buckets that change.
     """
     data_cols = [c for c in target.columns if c not in (surrogate_key, stamp_col)]
-    types = {f.name: f.dataType for f in target.schema.fields}
-    stamp = _typed_lit(batch_ts, types[stamp_col])
-    # one full outer join; a row without a surrogate key is one that the target doesn't have
-    t = target.withColumn("_old", F.lit(True)).alias("t")
-    s = source.select(*data_cols).alias("s")
-    is_new = F.col("t._old").isNull()
-    takes = is_new | (F.col(f"s.{key}").isNotNull() & changed(tracked))
-    merged = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer").select(
-        *[F.when(takes, stamp).otherwise(F.col(f"t.{c}")).alias(c) if c == stamp_col
-          else F.when(takes, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in data_cols
-          else F.col(f"t.{c}").alias(c) for c in target.columns], is_new.alias("_new"))
-    ensure_checkpoint_dir(target.sparkSession)
-    merged = merged.checkpoint()  # read twice: the rows that stay, and the new ones to be numbered
+    key_type = target.schema[surrogate_key].dataType.simpleString()
+    merged = scd1_merge(target, source.select(*data_cols), key, tracked, stamp_col, batch_ts).drop("_takes")
     start = merged.agg((F.coalesce(F.max(surrogate_key), F.lit(0)) + 1).alias("_start"))
     keyed = assign_keys(merged.where("_new").drop("_new", surrogate_key), [key], surrogate_key, start=start,
-                        num_partitions=num_partitions, key_type=types[surrogate_key].simpleString())
+                        num_partitions=num_partitions, key_type=key_type)
     return merged.where("not _new").select(*target.columns).unionByName(keyed.select(*target.columns))
 
 
 def new_rows(target: DataFrame, source: DataFrame, key: str, surrogate_key: str,
-             order: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+             order: Sequence[str] | None = None, num_partitions: int | None = None,
+             start: int | None = None) -> DataFrame:
     """The source rows whose key is not in the target, with keys that continue after
-    ``max(key)``: what an append writes.  Its cost follows the batch and the target's key
-    column, not the target's rows."""
+    ``max(key)`` (or begin with ``start``): what an append writes.  Its cost follows the batch
+    and the target's key column, not the target's rows."""
     data_cols = [c for c in target.columns if c != surrogate_key]
     fresh = keep_new(source.select(*data_cols), target, key)
     keyed = assign_keys(fresh, list(order or [key]), surrogate_key,
-                        start=next_key_start(target, surrogate_key), num_partitions=num_partitions,
-                        key_type=target.schema[surrogate_key].dataType.simpleString())
+                        start=next_key_start(target, surrogate_key) if start is None else start,
+                        num_partitions=num_partitions, key_type=target.schema[surrogate_key].dataType.simpleString())
     return keyed.select(*target.columns)
 
 

@@ -39,9 +39,10 @@ from strata.plans import questions as Q
 from strata.plans.silver import silver_encounters, silver_patients, silver_payers, silver_procedures
 from strata import schemas
 from strata.session import ensure_checkpoint_dir
-from strata.sources.csv_bronze import REJECTED, good_rows, read_bronze, rejected_rows
-from strata.sources.tables import (current_tables, open_warehouse, preview, publish, read_layer, unique_version,
-                                   write_part)
+from strata.sources.csv_bronze import REJECTED, file_verdicts, good_rows, read_bronze, rejected_rows
+from strata.sources.parts import append_new, compact, upsert_buckets
+from strata.sources.tables import (create_views, current_tables, open_warehouse, preview, publish, read_layer, read_manifest,
+                                   unique_version, write_part)
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
@@ -285,6 +286,61 @@ def q_scd1_upsert(spark, d):
     return upsert_scd1(target, source, "c_custkey", tracked, "customer_key", "updated_at", BATCH2_TS)
 
 
+def q_scd1_two_batches(spark, d):
+    """The same upsert as two published loads of a dimension in buckets: the second rewrites
+    the buckets in which it changes or adds a customer."""
+    root, table_name = _scratch_root(spark), "silver/customers"
+    c = table(spark, d, "customer").select(*CUSTOMER_COLS)
+    seg = F.when(F.col("c_nationkey") == 1, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
+    batches = [(c.where(F.col("c_acctbal") > 0), BATCH1_TS),
+               (c.where(F.col("c_nationkey") != 0).withColumn("c_mktsegment", seg), BATCH2_TS)]
+    tracked = {"c_name": "", "c_nationkey": 0, "c_acctbal": 0.0, "c_mktsegment": ""}
+    for rows, stamp in batches:
+        manifest = read_manifest(spark, root)
+        change = upsert_buckets(spark, root, table_name, rows, "c_custkey", tracked, "customer_key", "updated_at", stamp,
+                                unique_version("b"), buckets=16, manifest=manifest)
+        publish(spark, root, manifest.number, change.tables(), change.facts)
+    return read_layer(spark, root, "silver", "customers")
+
+
+def _append(spark: SparkSession, root: str, rows: DataFrame, stamp: str) -> None:
+    manifest = read_manifest(spark, root)
+    change, _ = append_new(spark, root, "silver/orders", rows, "o_orderkey", "order_key", unique_version(stamp),
+                           ["o_orderdate"], manifest)
+    publish(spark, root, manifest.number, change.tables(), change.facts)
+
+
+def q_pruned_batches(spark, d):
+    """Three published appends by ranges of the order's number; the second and third send some of
+    the orders before them again, with another price, and look for them only in the parts whose
+    numbers meet theirs."""
+    root = _scratch_root(spark)
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    top = F.lit(o.agg(F.max("o_orderkey")).first()[0] or 0)
+    third, again = F.floor(top / 3), F.floor(top / 30)
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    for number, (low, high) in enumerate([(None, third), (third - again, 2 * third), (2 * third - again, None)]):
+        inside = (F.lit(True) if low is None else key > low) & (F.lit(True) if high is None else key <= high)
+        new = F.lit(True) if low is None else key > low + again
+        rows = o.where(inside).withColumn("o_totalprice", F.when(new, price).otherwise(price * 2))
+        _append(spark, root, rows.withColumn("batch", F.lit(number)), f"b{number}")
+    return read_layer(spark, root, "silver", "orders")
+
+
+def q_compacted(spark, d):
+    """Orders appended in eight small parts, then compacted: the rows by the manifest before
+    and by the one after."""
+    root = _scratch_root(spark)
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    for number in range(8):
+        _append(spark, root, o.where(F.col("o_orderkey") % 8 == number), f"b{number}")
+    before = read_manifest(spark, root)
+    change = compact(spark, root, "silver/orders", unique_version("c"), fan=4, least=1_000, manifest=before)
+    after = publish(spark, root, before.number, change.tables(), change.facts)
+    return (read_layer(spark, root, "silver", "orders", before.number).withColumn("manifest", F.lit("before"))
+            .unionByName(read_layer(spark, root, "silver", "orders", after).withColumn("manifest", F.lit("after"))))
+
+
 def q_incremental_insert(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     loaded = o.filter(F.col("o_orderdate") < X.ntz_lit(LOADED_BEFORE))
@@ -405,18 +461,21 @@ def bronze_procedures_text_ids(spark: SparkSession, d: str) -> DataFrame:
             .withColumn("ENCOUNTER", F.col("ENCOUNTER").cast("string")))
 
 
-def gold_layer(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The whole silver -> gold path on the driver tables.  Silver is a stored layer: each of
-    its tables is made once and read by everything that follows."""
+def gold_layer(spark: SparkSession, d: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """The silver -> gold path on the driver tables, as far as the gold tables ``names`` (all by
+    default) need it.  Silver is a stored layer: each of its tables is made once and read by
+    everything that follows."""
     from strata.plans.gold import gold_tables
 
     ensure_checkpoint_dir(spark)
-    payers = q_silver_payers(spark, d).checkpoint()
-    patients = silver_patients(bronze_patients(spark, d), None, BATCH1_TS).checkpoint()
-    encounters = silver_encounters(bronze_encounters(spark, d).checkpoint(), patients, payers, None, BATCH1_TS).checkpoint()
-    procedures = silver_procedures(bronze_procedures_text_ids(spark, d).checkpoint(), patients, "patient_id",
-                                   encounters, "encounter_id").checkpoint()
-    return gold_tables({"payers": payers, "patients": patients, "encounters": encounters, "procedures": procedures})
+    silver = {"payers": q_silver_payers(spark, d).checkpoint(),
+              "patients": silver_patients(bronze_patients(spark, d), None, BATCH1_TS).checkpoint()}
+    silver["encounters"] = silver_encounters(bronze_encounters(spark, d).checkpoint(), silver["patients"], silver["payers"],
+                                             None, BATCH1_TS).checkpoint()
+    if names is None or any("procedure" in n for n in names):
+        silver["procedures"] = silver_procedures(bronze_procedures_text_ids(spark, d).checkpoint(), silver["patients"],
+                                                 "patient_id", silver["encounters"], "encounter_id").checkpoint()
+    return gold_tables(silver, names) if names else gold_tables(silver)
 
 
 def q_gold_constraints(spark, d):
@@ -626,6 +685,38 @@ def q_csv_round_trip(spark, d):
                                        F.lit(None).cast("string").alias("STATE_HEADQUARTERED")))
 
 
+def q_load_verdict(spark, d):
+    """Suppliers as two CSV files, one of them with a row too wide for every nation: which file
+    a load accepts."""
+    root, schema = _scratch_root(spark), schemas.BRONZE["payers"]
+    s = table(spark, d, "supplier")
+    names = schema.fieldNames()
+    line = F.concat_ws(",", F.col("s_suppkey"), *[F.lit("x") for _ in names[1:]])
+    wide = table(spark, d, "nation").select(F.concat_ws(",", F.col("n_nationkey"), *[F.lit("y")] * (len(names) + 2)).alias("line"))
+    header = spark.createDataFrame([(",".join(names),)], "line string")
+    for name, rows in (("good", s.select(line.alias("line"))), ("broken", s.select(line.alias("line")).unionByName(wide))):
+        # one file each: its header stands in front
+        ordered = header.withColumn("n", F.lit(0)).unionByName(rows.withColumn("n", F.lit(1))).coalesce(1).sortWithinPartitions("n")
+        ordered.select("line").write.text(f"{root}-csv/file={name}")
+    found = None
+    for name in ("good", "broken"):
+        part = write_part(read_bronze(spark, f"{root}-csv/file={name}", schema), root, "bronze", "payers", name, partition_by=[REJECTED])
+        verdict = file_verdicts(spark, f"{root}/{part}").withColumn("source_file", F.lit(name))
+        found = verdict if found is None else found.unionByName(verdict)
+    return found
+
+
+def q_published_view(spark, d):
+    """The payers' dimension, published and read by another session through a view of the catalog."""
+    root = _scratch_root(spark)
+    number = open_warehouse(spark, root)
+    part = write_part(q_gold_dim_payers(spark, d), root, "gold", "dim_payers", unique_version("v"))
+    publish(spark, root, number, {"gold/dim_payers": [part]})
+    database = f"strata_{uuid.uuid4().hex[:12]}"
+    create_views(spark, root, database)
+    return spark.newSession().table(f"{database}.vw_dim_payers")
+
+
 def q_two_batches(spark, d):
     """Orders loaded in two batches, the second as an appended part: a published table of two
     parts, with the keys of the first batch unchanged."""
@@ -682,6 +773,21 @@ def q08_patients_per_quarter(spark, d):
     return Q.distinct_per_quarter(table(spark, d, "orders"), "o_orderdate", "o_custkey")
 
 
+def q08_bitmap_batches(spark, d):
+    """Patients per quarter over the gold facts, loaded in two batches: the first batch's bitmaps
+    are stored, and the second's merged into them."""
+    root = _scratch_root(spark)
+    facts = gold_layer(spark, d, ["fact_encounters"])["fact_encounters"].checkpoint()
+    early = F.col("encounter_start") < X.ntz_lit(LOADED_BEFORE)
+    number = open_warehouse(spark, root)
+    parts = []
+    for rows in (facts.where(early), facts.where(~early | F.col("encounter_start").isNull())):
+        state = Q.distinct_bitmaps(rows, Q.quarter_of("encounter_start"), "patient_key")
+        parts.append(write_part(state, root, "state", "patients_per_quarter", unique_version("b")))
+        number = publish(spark, root, number, {"state/patients_per_quarter": list(parts)})
+    return Q.distinct_of_bitmaps(Q.merged_bitmaps([read_layer(spark, root, "state", "patients_per_quarter")]))
+
+
 def q08_urgent_per_quarter(spark, d):
     return Q.distinct_per_quarter(table(spark, d, "orders"), "o_orderdate", "o_custkey", "o_orderpriority",
                                   ["1-URGENT", "2-HIGH"])
@@ -725,6 +831,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_state": q_enrich_state,
     "surrogate_keys": q_surrogate_keys,
     "scd1_upsert": q_scd1_upsert,
+    "scd1_two_batches": q_scd1_two_batches,
+    "pruned_batches": q_pruned_batches,
+    "compacted": q_compacted,
     "incremental_insert": q_incremental_insert,
     "inferred_members": q_inferred_members,
     "placeholder_member": q_placeholder_member,
@@ -762,6 +871,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "percentiles_distinct": q_percentiles_distinct,
     "missing_or_present": q_missing_or_present,
     "first_rows": q_first_rows,
+    "load_verdict": q_load_verdict,
+    "published_view": q_published_view,
+    "q08_bitmap_batches": q08_bitmap_batches,
     "csv_round_trip": q_csv_round_trip,
     "two_batches": q_two_batches,
     "q01_per_year": q01_per_year,

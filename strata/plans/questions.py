@@ -107,6 +107,33 @@ def distinct_per_quarter(df: DataFrame, start: str, entity: str, cls: str | None
             .agg(F.countDistinct(entity).alias("n_patients")))
 
 
+def quarter_of(start: str) -> list[Column]:
+    return [F.year(start).alias("calendar_year"), F.quarter(start).alias("calendar_quarter")]
+
+
+def distinct_bitmaps(df: DataFrame, groups: Sequence[Column], key: str) -> DataFrame:
+    """Which surrogate keys occur in each group, as bitmaps: ``groups``, ``bucket``, ``bits``.  Keys are dense
+    numbers from 1, so a bitmap of 4 KB stands for 32,768 of them.  The rows are a state that can be stored with
+    a part and merged with that of others (``merged_bitmaps``) without reading the part again."""
+    known = df.where(F.col(key).isNotNull())
+    return known.groupBy(*groups, F.bitmap_bucket_number(F.col(key)).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col(key))).alias("bits"))
+
+
+def merged_bitmaps(states: Sequence[DataFrame]) -> DataFrame:
+    """One state of several of the same groups."""
+    out = states[0]
+    for state in states[1:]:
+        out = out.unionByName(state)
+    return out.groupBy(*[c for c in out.columns if c != "bits"]).agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def distinct_of_bitmaps(state: DataFrame, count_name: str = "n_patients") -> DataFrame:
+    """The exact number of distinct keys per group."""
+    groups = [c for c in state.columns if c not in ("bucket", "bits")]
+    return state.groupBy(*groups).agg(F.sum(F.bitmap_count("bits")).alias(count_name))
+
+
 def readmission_rows(df: DataFrame, patient: str, start: str, stop: str, order: Sequence[str],
                      days: int = 30, bucket: Column | None = None) -> DataFrame:
     """Encounters that start 0..``days`` days after the latest stop of the same patient's

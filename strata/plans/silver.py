@@ -118,12 +118,10 @@ def _durations(df: DataFrame) -> DataFrame:
     return df.withColumn("_dur", X.minute_diff("START", "STOP"))
 
 
-def new_silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, existing: DataFrame | None,
-                      batch_ts: dt.datetime) -> DataFrame:
+def clean_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, batch_ts: dt.datetime) -> DataFrame:
     """IQR limit over all bronze rows; canonical descriptions; RI filters (patient, payer
-    with NULL -> placeholder) and id dedupe up front; derived columns; only the rows that
-    are not loaded yet, with keys after the last (rows already loaded never change)."""
-    spark = bronze.sparkSession
+    with NULL -> placeholder) and id dedupe up front; derived columns.  One row per encounter,
+    without its surrogate key."""
     b = trim_ids(bronze, ["Id", "PATIENT", "PAYER", "CODE"])
     limits = iqr_bounds(_durations(bronze), "_dur")
     canon = canonical_description(b, "CODE", "DESCRIPTION").withColumnRenamed("DESCRIPTION", "_canon")
@@ -150,10 +148,16 @@ def new_silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFr
         X.null_to("REASONCODE", "Unknown").alias("reason_code"),
         X.null_to("REASONDESCRIPTION", "Unknown").alias("reason_description"),
         X.ntz_lit(batch_ts).alias("recorded_at"))
-    target = existing if existing is not None else _empty(spark, schemas.SILVER_ENCOUNTERS)
-    src = src.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                       for f in schemas.SILVER_ENCOUNTERS.fields if f.name != "encounter_key"])
-    return new_rows(target, src, "encounter_id", "encounter_key")
+    return src.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                        for f in schemas.SILVER_ENCOUNTERS.fields if f.name != "encounter_key"])
+
+
+def new_silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, existing: DataFrame | None,
+                          batch_ts: dt.datetime) -> DataFrame:
+    """Only the encounters that are not loaded yet, with keys after the last (rows already
+    loaded never change)."""
+    target = existing if existing is not None else _empty(bronze.sparkSession, schemas.SILVER_ENCOUNTERS)
+    return new_rows(target, clean_encounters(bronze, patients, payers, batch_ts), "encounter_id", "encounter_key")
 
 
 def silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, existing: DataFrame | None,

@@ -1,4 +1,4 @@
-"""Load audit: rows in / out / rejected per table and batch, as a stored table.
+"""Load audit: rows in / out / rejected and seconds taken per table and batch, as a stored table.
 
 Counts are taken with ``DataFrame.observe`` while the table is being written, so the
 audit costs no extra pass over the data.
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 AUDIT_SCHEMA = ("layer string, table_name string, rows_in long, rows_out long, rows_rejected long, "
-                "batch_ts timestamp_ntz")
+                "seconds double, batch_ts timestamp_ntz")
 
 
 def observed(df: DataFrame, name: str, rejected: str | None = None) -> tuple[DataFrame, Observation]:
@@ -24,7 +24,10 @@ def observed(df: DataFrame, name: str, rejected: str | None = None) -> tuple[Dat
     return df.observe(obs, *counts), obs
 
 
-def load_audit(spark: SparkSession, entries: list[tuple[str, str, int, int, int]], batch_ts: dt.datetime) -> DataFrame:
-    """One row per (layer, table): the counts gathered during a refresh."""
-    rows = [(layer, name, rin, rout, rrej, batch_ts) for layer, name, rin, rout, rrej in entries]
+def load_audit(spark: SparkSession, entries: list[tuple[str, str, int, int, int, float]], batch_ts: dt.datetime) -> DataFrame:
+    """One row per (layer, table), with what was gathered during a refresh, and one per layer (``table_name``
+    NULL) with its sums."""
+    layers = dict.fromkeys(e[0] for e in entries)
+    sums = [(layer, None, *(sum(e[i] for e in entries if e[0] == layer) for i in range(2, 6))) for layer in layers]
+    rows = [(*entry, batch_ts) for entry in [*entries, *sums]]
     return spark.createDataFrame(rows, AUDIT_SCHEMA)

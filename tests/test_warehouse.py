@@ -12,6 +12,7 @@ from strata.operators.sequence import next_in_key, running_max_before
 from strata.plans import refresh
 from strata.plans.refresh import run_refresh
 from strata.sources import tables
+from strata.sources.csv_bronze import LoadRejected
 from strata.sources.tables import LostManifest, StaleManifest
 from test_refresh import TS1, TS2, write_batch
 
@@ -127,6 +128,64 @@ def test_null_keys_and_equal_instants(spark, target_rows):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_too_many_rejected_rows_end_the_load(spark, loaded):
+    root, src = copy(loaded, "broken"), loaded / "src-broken"
+    shutil.copytree(loaded / "src2", src)
+    with open(src / "procedures.csv", "ab") as out:
+        out.write(b"not,a,row,of,this,file,at,all,x,y,z\r\n" * 12)
+    listed = tables.current_tables(spark, root)
+    with pytest.raises(LoadRejected, match=r"procedures.csv: 1\d of \d+ rows rejected, 10 allowed"):
+        run_refresh(spark, str(src), root, TS2)
+    assert tables.current_tables(spark, root) == listed
+    run_refresh(spark, str(src), root, TS2, max_errors=20)
+    assert tables.current_tables(spark, root) != listed
+
+
+def test_only_changed_buckets_of_patients_are_written(spark, loaded):
+    root = copy(loaded, "buckets")
+    first = tables.current_tables(spark, root)["silver/patients"]
+    run_refresh(spark, str(loaded / "src2"), root, TS2)
+    then = tables.current_tables(spark, root)["silver/patients"]
+    assert set(first) & set(then) and set(first) - set(then) and all("/bucket=" in f for f in then)
+    assert {r[1]: r[0] for r in silver(spark, root)} == {"pat-1": 1, "pat-2": 2, "pat-3": 3, "pat-4": 4}
+
+
+def test_maintenance_between_refreshes(spark, loaded):
+    """Compaction changes no row; views of an older manifest's reader last as long as it is kept; answers stay."""
+    root = copy(loaded, "maintained")
+    for batch in (2, 2, 2):
+        run_refresh(spark, str(loaded / f"src{batch}"), root, TS2)
+    os.makedirs(os.path.join(root, "answers", "q01", "v=1"))
+    want = {n: silver(spark, root, n) for n in ("payers", "patients", "encounters", "procedures")}
+    number = tables.open_warehouse(spark, root)
+    done = refresh.maintain(spark, root, keep=2, min_age_seconds=0)
+    assert len([f for f in done["written"] if f.startswith("silver/encounters")]) == 1 and done["removed"]
+    assert {n: silver(spark, root, n) for n in want} == want and os.path.isdir(os.path.join(root, "answers", "q01", "v=1"))
+    assert {tuple(r) for r in tables.read_layer(spark, root, "silver", "encounters", number).collect()} == want["encounters"]
+    assert len(tables.current_tables(spark, root)["silver/encounters"]) == 1
+    run_refresh(spark, str(loaded / "src2"), root, TS2)
+    assert silver(spark, root, "encounters") == want["encounters"]
+
+
+def test_views_of_the_catalog_outlive_the_session(spark, loaded):
+    root = copy(loaded, "catalog")
+    run_refresh(spark, str(loaded / "src2"), root, TS2, database="strata_lasting")
+    later = spark.newSession()  # knows nothing of the warehouse's folders
+    assert later.table("strata_lasting.vw_fact_encounters").count() == 7
+    assert later.sql("SELECT count(*) FROM strata_lasting.vw_dim_patients").first()[0] == len(silver(spark, root))
+    later.sql("DROP DATABASE strata_lasting CASCADE")
+
+
+def test_load_times_are_in_the_audit(spark, loaded):
+    loads = tables.read_layer(spark, str(loaded / "wh"), "audit", "loads").collect()
+    assert all(r.seconds >= 0 for r in loads)
+    for layer in ("bronze", "silver", "gold"):
+        of = [r for r in loads if r.layer == layer]
+        whole, = [r for r in of if r.table_name is None]
+        assert whole.seconds == pytest.approx(sum(r.seconds for r in of if r.table_name))
+        assert whole.rows_out == sum(r.rows_out for r in of if r.table_name)
+
+
 def test_column_rules(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "long")], "k int, t string")
     counts = {r.rule: r.violating_rows for rule in (not_null_rules(df, ["k", "t"], "x"), length_rules(df, {"t": 3}, "x"),
