@@ -35,6 +35,7 @@ KINDS = {
 # What a text must hold to be searched for the kind at all.
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 TERM = r"\p{L}\p{N}"
+UNSEEN = "\ua66e"  # a letter in hardly any text; words that hold it are no terms
 SPAN = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
 
 
@@ -60,20 +61,45 @@ def is_valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, combine) -> Column:
+    """Running totals of an array of ints: ``combine`` of each value with all before it.
+
+    Appending to an array copies it, so totals are built within blocks of about the square root of the
+    length, and each block takes the total of the blocks before it: n values cost some n ** 1.5 copies."""
+    def scan(part: Column) -> Column:
+        return F.aggregate(part, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(
+            F.when(F.size(acc) == 0, x).otherwise(combine(F.try_element_at(acc, F.lit(-1)), x)))))
+
+    def blocks(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        return let(width, lambda w: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(v) - 1) / w).cast("int")), lambda i: scan(F.slice(v, i * w + 1, w))))
+
+    def joined(parts: Column) -> Column:
+        ends = scan(F.transform(parts, lambda p: F.try_element_at(p, F.lit(-1))))
+        return let(ends, lambda e: F.flatten(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(
+            let(F.get(e, i - 1), lambda before: F.transform(p, lambda x: combine(before, x)))))))
+
+    return let(values, lambda v: F.when(F.size(v) == 0, F.array().cast("array<int>")).otherwise(let(blocks(v), joined)))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Array of {start, end, text} of all matches, leftmost first; code points from 0."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.transform(F.split(text, pattern, -1), F.length)
-    steps = F.arrays_zip(found.alias("found"), between.alias("gap"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
-    return F.aggregate(
-        F.filter(steps, lambda s: s["found"].isNotNull()), empty,
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + F.length(s["found"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + F.length(s["found"])).alias("end"),
-                s["found"].alias("text")))).alias("out")),
-        lambda acc: acc["out"])
+    steps = F.filter(F.arrays_zip(found.alias("found"), between.alias("gap")), lambda s: s["found"].isNotNull())
+
+    def placed(steps: Column) -> Column:
+        ends = running(F.transform(steps, lambda s: s["gap"] + F.length(s["found"])), lambda x, y: x + y)
+        return let(ends, lambda e: F.transform(steps, lambda s, i: F.struct(
+            (F.get(e, i) - F.length(s["found"])).alias("start"), F.get(e, i).alias("end"), s["found"].alias("text"))))
+
+    return let(steps, placed)
 
 
 def spans_of(text: Column, kind: str) -> Column:
@@ -96,41 +122,61 @@ def row_key(id_col: Column, text: Column) -> Column:
 
 
 def replaced(text: Column, spans: Column, by) -> Column:
-    """The text with ``by(span)`` in place of each span, overlapping ones by the first."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(
-        spans, start,
-        lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-        .otherwise(F.struct(s["end"].alias("at"), F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), by(s)).alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    """The text with ``by(span, its text)`` in place of each span, overlapping ones by the first.
+
+    A span is dropped if an earlier one reaches behind its start.  Finding a place in a text means
+    walking to it, so the text is first cut into stretches of about the square root of the spans."""
+    def whole(parts: Column) -> Column:  # spans in order -> kept ones with the place where the text before them begins
+        def kept(reach: Column) -> Column:
+            before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(reach, i - 1))
+            with_before = F.transform(parts, lambda s, i: F.struct(s.alias("span"), before(i).alias("since")))
+            return F.filter(with_before, lambda x: x["span"]["start"] >= x["since"])
+
+        return let(running(F.transform(parts, lambda s: s["end"]), F.greatest), kept)
+
+    def stretches(pieces: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(pieces))).cast("int"), F.lit(1))
+        return let(width, lambda w: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / w).cast("int")),
+            lambda i: let(F.slice(pieces, i * w + 1, w), stretch)))
+
+    def stretch(part: Column) -> Column:
+        begin = F.get(part, F.lit(0))["since"]
+        end = F.try_element_at(part, F.lit(-1))["span"]["end"]
+
+        def inside(x: Column, here: Column, at: Column) -> Column:
+            taken = F.substring(here, x["span"]["start"] - at + 1, x["span"]["end"] - x["span"]["start"])
+            return F.concat(F.substring(here, x["since"] - at + 1, x["span"]["start"] - x["since"]), by(x["span"], taken))
+
+        return let(F.struct(begin.alias("at"), F.substring(text, begin + 1, end - begin).alias("text")), lambda here: F.array_join(
+            F.transform(part, lambda x: inside(x, here["text"], here["at"])), ""))
+
+    def built(pieces: Column) -> Column:
+        rest = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(stretches(pieces), ""), F.substring(text, rest + 1, F.length(text)))
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(let(spans, whole), built))
 
 
 def generalised(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets."""
-    return replaced(text, spans, lambda s: F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
+    return replaced(text, spans, lambda s, _: F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
 
 
 def terms_of(text: Column, spans: Column) -> Column:
     """The distinct terms outside the spans, lower-cased; the empty one is in every text."""
-    outside = F.when(F.size(spans) > 0, replaced(text, spans, lambda s: F.lit(" "))).otherwise(text)
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.split(F.lower(outside), rf"[^{TERM}]+")))
+    outside = replaced(text, spans, lambda s, _: F.lit(" "))
+    words = F.filter(F.split(F.lower(outside), rf"[^{TERM}]+"), lambda w: ~w.contains(UNSEEN))
+    return F.array_distinct(F.concat(F.array(F.lit("")), words))
 
 
 def places_of(text: Column, terms: Column, spans: Column) -> Column:
-    """Spans of all occurrences of the terms that lie outside the spans."""
-    found, gaps = F.regexp_extract_all(text, F.lit(f"[{TERM}]++"), F.lit(0)), F.split(text, f"[{TERM}]++", -1)
-    steps = F.filter(F.arrays_zip(found.alias("found"), F.transform(gaps, F.length).alias("gap")), lambda s: s["found"].isNotNull())
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def step(acc, s):
-        begin, end = acc["at"] + s["gap"], acc["at"] + s["gap"] + F.length(s["found"])
-        span = F.struct(begin.alias("start"), F.lit(len(KINDS)).alias("kind_no"), F.lit("term").alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(F.array_contains(terms, F.lower(s["found"])), F.concat(acc["out"], F.array(span)))
-                        .otherwise(acc["out"]).alias("out"))
-
-    return F.filter(F.aggregate(steps, empty, step, lambda acc: acc["out"]),
-                    lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    """Spans of all occurrences of the terms that lie outside the spans: letters and digits of the spans are
+    put out of sight first, so that a word that reaches into one isn't a term's either."""
+    unseen = replaced(text, spans, lambda _, taken: F.regexp_replace(taken, f"[{TERM}]", UNSEEN))
+    held = let(terms, lambda t: F.filter(matches(unseen, f"[{TERM}]++"), lambda m: F.array_contains(t, F.lower(m["text"]))))
+    return F.transform(held, lambda m: F.struct(m["start"].alias("start"), F.lit(len(KINDS)).alias("kind_no"),
+                                                F.lit("term").alias("kind"), m["end"].alias("end")))
 
 
 def with_entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -188,6 +234,8 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """The documents, all columns as they are but the text, in which entities and the terms that
     disclose them are generalised.  Texts that hold none are unchanged, null text stays null."""
-    found = with_spans(docs, id_col, text_col, **thresholds)
-    clean = F.when(F.size("_all_spans") > 0, generalised(F.col("_text"), F.col("_all_spans"))).otherwise(F.col(text_col))
-    return found.withColumn(text_col, clean).select(*docs.columns)
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # helper columns can't clash with these
+    id_at, text_at = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    found = with_spans(numbered, id_at, text_at, **thresholds)
+    clean = F.when(F.size("_all_spans") > 0, generalised(F.col("_text"), F.col("_all_spans"))).otherwise(F.col(text_at))
+    return found.withColumn(text_at, clean).select(*numbered.columns).toDF(*docs.columns)

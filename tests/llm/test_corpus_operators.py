@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -295,6 +296,58 @@ def test_terms_are_scored_by_kind_of_entity(spark):
     assert out[0] == "write to <EMAIL> today or call <TERM> <PHONE>" and out[9] == "write to <EMAIL> today or call later"
 
 
+def test_replacing_many_spans_equals_one_by_one(spark):
+    """Overlapping, adjacent and far spans, more of them than a stretch holds."""
+    rng, rows = random.Random(4), []
+    for i in range(60):
+        text = "".join(rng.choice("ab é🙂") for _ in range(rng.randrange(1, 400)))
+        starts = [rng.randrange(len(text)) for _ in range(rng.choice([0, 1, 3, 70]))]
+        rows.append((i, text, sorted((a, min(len(text), a + rng.randrange(1, 9))) for a in starts)))
+    df = spark.createDataFrame(rows, "id long, text string, spans array<struct<start:int,end:int>>")
+    got = df.select("id", sanitise.replaced(F.col("text"), F.col("spans"), lambda s, t: F.concat(F.lit("["), F.reverse(t), F.lit("]"))).alias("r"))
+    got = {r.id: r.r for r in got.collect()}
+    for i, text, spans in rows:
+        at, out = 0, ""
+        for start, end in spans:
+            if start >= at:
+                out += text[at:start] + "[" + text[start:end][::-1] + "]"
+            at = max(at, end)
+        assert got[i] == out + text[at:]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 99, 100, 101, 2500])
+def test_running_totals(spark, n):
+    values = [(i * 7919) % 31 - 9 for i in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    r = df.select(sanitise.running(F.col("v"), lambda x, y: x + y).alias("s"), sanitise.running(F.col("v"), F.greatest).alias("m")).first()
+    assert r.s == [sum(values[: i + 1]) for i in range(n)] and r.m == [max(values[: i + 1]) for i in range(n)]
+
+
+def test_long_texts_full_of_entities(spark):
+    """Twice the text takes about twice the time, where each match used to copy all before it."""
+    def took(n):
+        text = " ".join(str(10 ** 15 + i * 7919) if i % 3 else f"a{i}@b.co" for i in range(n))
+        df = spark.createDataFrame([(1, text)], DOCS)
+        begun = time.monotonic()
+        assert sanitise.sanitise(df).first().text.count("<EMAIL>") == -(-n // 3)
+        return time.monotonic() - begun
+
+    took(100)
+    assert took(60_000) < 3 * took(30_000) + 2
+
+
+def test_helper_names_may_be_columns(spark):
+    rows = [(i, f"the account Zebrano {i}@mail.example.org was closed") for i in range(6)]
+    plain = spark.createDataFrame(rows, DOCS)
+    df = plain
+    names = ["_key", "_text", "_spans", "_all_spans", "_terms", "_held", "_n_email", "term", "any", "email", "c0", "c1"]
+    for name in names:
+        df = df.withColumn(name, F.lit("x"))
+    out = sanitise.sanitise(df)
+    assert out.columns == df.columns and {r[2:] for r in out.collect()} == {("x",) * len(names)}
+    assert {r.text for r in out.collect()} == {r.text for r in sanitise.sanitise(plain).collect()}
+
+
 def test_overlapping_spans_leave_nothing(spark):
     df = spark.createDataFrame([(1, "call +1 (234) 555-1234, 4111 1111 1111 1111@x.org now")], DOCS)
     text = sanitise.sanitise(df).first().text
