@@ -6,6 +6,7 @@ principle one piece survives unedited, so one Aho-Corasick pass over the pieces
 place where the notice can be.  Only these windows go to the ``regex`` library, whose
 bounded-error matching (``{e<=k}``, best match) confirms the notice and reports its span; what
 is left on either side of a match is searched again, until a window holds no further match.
+The time follows the length of the text, also where a long text is full of notices.
 A base phrase is a notice with no edits: its one piece is the phrase itself.
 
 One map over the rows, no shuffle.  Null text counts as empty, a null id is kept, repeated
@@ -14,7 +15,10 @@ rows give repeated results, other columns of the input are not read.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from typing import NamedTuple
 
 import ahocorasick
@@ -118,24 +122,54 @@ class NoticeScanner:
             yield i, lo, hi
 
     def matches(self, i: int, words: str, lo: int, hi: int) -> Iterator[regex.Match]:
-        """The best match of a notice, then those in what lies to its left and to its right; the
-        space between two notices is part of both."""
-        open_ = [(lo, hi)]
-        while open_:
-            lo, hi = open_.pop()
+        """The best match of a notice, then those in what lies to its left and to its right, and so on; the
+        space between two notices is part of both.
+
+        No match is longer than the notice and its edits, so the window is searched in stretches that overlap by
+        as much; the best of all stretches is the window's.  What it leaves of the stretches that it touches is
+        searched again, so the time follows the window's length, not its square."""
+        most = len(self.notices[i].words) + 2 + self.notices[i].edits
+        found: list = []  # heap of the best match of each stretch that is left
+        looked = 0
+        taken: list[tuple[int, int]] = []  # places of the matches so far, without the spaces around them
+
+        def look(lo: int, hi: int) -> None:
+            nonlocal looked
             m = self.patterns[i].search(words, lo, hi)
             if m:
+                looked += 1
+                heappush(found, (sum(m.fuzzy_counts), m.start(), m.end(), looked, lo, hi, m))
+
+        def free(lo: int, hi: int) -> list[tuple[int, int]]:
+            """What the matches so far leave of a stretch."""
+            out, at = [], bisect_right(taken, (lo, lo))
+            at -= at > 0 and taken[at - 1][1] > lo
+            while at < len(taken) and taken[at][0] < hi:
+                out.append((lo, taken[at][0]))
+                lo = taken[at][1]
+                at += 1
+            return [(x, y) for x, y in [*out, (lo, hi)] if x < y]
+
+        for at in range(lo, max(lo + 1, hi - most), 2 * most):
+            look(at, min(hi, at + 3 * most))
+        while found:
+            _, start, end, _, lo, hi, m = heappop(found)
+            if any(x <= start and end <= y for x, y in free(lo, hi)):
                 yield m
-                open_ += [(lo, m.start() + (words[m.start()] == " ")), (m.end() - (words[m.end() - 1] == " "), hi)]
+                insort(taken, (start + (words[start] == " "), end - (words[end - 1] == " ")))
+            for x, y in free(lo, hi):
+                look(x, y)
 
     def scan(self, words: str) -> list[Hit]:
-        hits = set()
+        hits, blanks = set(), None
         for i, lo, hi in self.windows(words):
             notice = self.notices[i]
             for m in self.matches(i, words, lo, hi):
+                if blanks is None:
+                    blanks = [b.start() for b in re.finditer(" ", words)]
                 start, end, edits = m.start(), m.end(), sum(m.fuzzy_counts)
-                first = words.count(" ", 0, start + 1) - 1
-                last = max(first, words.count(" ", 0, max(end - 1, start + 1)) - 1)
+                first = bisect_right(blanks, start) - 1
+                last = max(first, bisect_left(blanks, max(end - 1, start + 1)) - 1)
                 hits.add(Hit(notice.label, max(first, 0), last, edits,
                              1 - edits / (len(notice.words) + 2), notice.base))
         return sorted(hits)

@@ -4,6 +4,7 @@ import base64
 import functools
 import hashlib
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -194,6 +195,22 @@ def test_worse_notices_beside_better_ones(words):
                                        for u, n in re.findall(r"released (\w+) the mit (\w+)", words)]
 
 
+@pytest.mark.parametrize("part", ["released under the mit licence x", "licensed undr the mit license", "mit license", "al rights reserved of the foo"])
+def test_long_texts_full_of_notices(part):
+    """Twice the text takes about twice the time, and no notice is lost."""
+    scanner = license_scan.NoticeScanner()
+
+    def took(n):
+        text, _ = license_scan.word_string(" ".join([part] * n))
+        begun = time.monotonic()
+        hits = scanner.scan(text)
+        assert len({h.first for h in hits}) >= n
+        return time.monotonic() - begun
+
+    took(50)
+    assert took(4000) < 3 * took(2000) + 1
+
+
 # ---- chat formatting
 
 
