@@ -78,6 +78,54 @@ def test_all_rows_in_blocks_is_exact(spark):
         (q, n): i for q, v in want.items() for n, (i, _) in enumerate(v, 1)}
 
 
+def found_by(spark, vectors, is_query, k=20, **parameters):
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in posting_lists.nearest(df, is_query, k=k, **parameters).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    return dict(got)
+
+
+def test_queries_with_too_few_candidates_see_all_rows(spark):
+    """Ten vectors far from all others: their lists hold fewer than twenty."""
+    rng = np.random.default_rng(2)
+    vectors = {i: np.array([10, 0, 0, 0]) + rng.normal(size=4) * 0.1 for i in range(3000)}
+    vectors |= {i: np.array([0, -10, 0, 0]) + rng.normal(size=4) * 0.1 for i in range(3000, 3010)}
+    got = found_by(spark, vectors, F.col("vec_id").isin(0, 3000, 3005))
+    want = brute_neighbours(vectors, [0, 3000, 3005], 20)
+    assert {q: len(v) for q, v in got.items()} == {0: 20, 3000: 20, 3005: 20}
+    for q in (3000, 3005):
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+
+
+def test_one_row_and_very_large_components(spark):
+    assert found_by(spark, {7: [1.0, 2.0]}, F.lit(True)) == {}
+    got = found_by(spark, {0: [1e150, 1.0], 20: [1e149, -1.0], 1: [1e200, 0.0], 2: [1.0, 1.0]}, F.col("vec_id") % 20 == 0)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {0: [20, 2], 20: [0, 2]}
+
+
+def test_lists_are_balanced():
+    """A third of the points in one heap, the others thin: no list has much more than its share."""
+    rng = np.random.default_rng(3)
+    points = np.concatenate([rng.normal(size=(2000, 6)) * 0.01, rng.normal(size=(4000, 6)) * 10])
+    centroids = posting_lists.balanced(points, 100)
+    assert len(centroids) == 100
+    sizes = np.bincount(((points[:, None] - centroids) ** 2).sum(2).argmin(axis=1), minlength=100)
+    assert sizes.max() <= 4 * 60
+    assert len(posting_lists.balanced(np.ones((500, 3)), 20)) == 1
+
+
+def test_recall_with_more_than_a_thousand_lists(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(200, 8))
+    vectors = {i: centres[rng.integers(200)] + rng.normal(size=8) * 0.3 for i in range(20_000)}
+    queries = [i for i in vectors if i % 500 == 0]
+    got = found_by(spark, vectors, F.col("vec_id") % 500 == 0, list_rows=16)
+    assert posting_lists.fit(np.array(list(vectors.values())), 20_000, 9.0, 20, 16, 1.05, 4, 0.0).graph.centroids.shape[0] > 1024
+    want = brute_neighbours(vectors, queries, 20)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in queries]) >= 0.9
+
+
 # ---- near duplicates
 
 
