@@ -8,9 +8,12 @@ reference and expanded token count go to the list of attachments.
     ### user: Hello <|image:0|> </turn>
     ### assistant: Hi </turn>
 
-Inside texts a backslash goes before each backslash, each ``### ``, ``</turn>`` and ``<|``, so
-no text can open or close a turn or pose as a placeholder, and dropping these backslashes gives
-the text back.  In roles the colon is escaped too.  The loss mask is the list of spans of the
+Inside texts a backslash goes before each backslash, each ``###`` that a blank follows (or that
+ends the text: the template's blank may follow), ``</turn>`` and ``<|``, so no text can open or
+close a turn or pose as a placeholder, and dropping these backslashes gives the text back.  Text
+parts that follow each other are joined before this, so none can complete another's mark.  In
+roles the colon is escaped too.  In a table a part of an unknown kind is an attachment like the
+others, with the placeholder ``<|unknown:k|>``, and a null part says nothing.  The loss mask is the list of spans of the
 assistant's contents in the formatted string.
 
 One shuffle by conversation id.  Rows are ordered by turn, then role, then text, so ties and
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import groupby
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -29,8 +33,9 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import map_rows
 
+KINDS = ("text", "image", "audio", "document")
 OPEN, CLOSE = "### ", " </turn>\n"
-_CONTROL = re.compile(r"\\|### |</turn>|<\|")
+_CONTROL = re.compile(r"\\|###(?= |\Z)|</turn>|<\|")
 _ROLE_CONTROL = re.compile(r"[\\:]|### |</turn>|<\|")
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 #: a turn: its role up to the first bare colon, its content up to the first bare closing mark
@@ -61,13 +66,13 @@ class Flattener:
     """Visits the parts of one conversation.  ``rates`` says how many tokens a unit of each
     kind expands to (an image's tiles, a sound's seconds, a document's pages)."""
 
-    def __init__(self, rates: dict[str, int]):
-        self.rates = rates
+    def __init__(self, rates: dict[str, int], strict: bool = True):
+        self.rates, self.strict = rates, strict
         self.attachments: list[Attachment] = []
 
     def visit(self, part: dict) -> str:
         kind = part.get("type") or "text"
-        return getattr(self, f"visit_{kind}", self.visit_unknown)(part)
+        return (getattr(self, f"visit_{kind}") if kind in KINDS else self.visit_unknown)(part)
 
     def visit_text(self, part: dict) -> str:
         return escape(part.get("text") or "")
@@ -88,19 +93,33 @@ class Flattener:
         return self.attach("document", part)
 
     def visit_unknown(self, part: dict) -> str:
-        raise ValueError(f"unknown part type {part.get('type')!r}")
+        if self.strict:
+            raise ValueError(f"unknown part type {part['type']!r}")
+        place = self.attach(part["type"], part).rpartition(":")[2]
+        return f"<|unknown:{place}"
+
+    def flatten(self, parts: list[dict]) -> str:
+        """The parts in order, neighbouring texts as one."""
+        out: list[str] = []
+        for kind, run in groupby(parts, key=lambda p: p.get("type") or "text"):
+            if kind == "text":
+                out.append(self.visit_text({"text": "".join(p.get("text") or "" for p in run)}))
+            else:
+                out += map(self.visit, run)
+        return "".join(out)
 
 
 # Tokens per unit unless the caller says otherwise.
 RATES = {"image": 256, "audio": 25, "document": 512}
 
 
-def format_turns(turns: list[tuple[str, list[dict]]], rates=RATES, trained: str = "assistant"):
-    """(formatted string, spans of the trained role's contents, attachments) of (role, parts) pairs."""
-    visitor, out, spans, at = Flattener(rates), [], [], 0
+def format_turns(turns: list[tuple[str, list[dict]]], rates=RATES, trained: str = "assistant", strict: bool = True):
+    """(formatted string, spans of the trained role's contents, attachments) of (role, parts) pairs.  A part of
+    an unknown kind is an error if ``strict``."""
+    visitor, out, spans, at = Flattener(rates, strict), [], [], 0
     for role, parts in turns:
         head = f"{OPEN}{escape_role(role)}: "
-        body = "".join(map(visitor.visit, parts))
+        body = visitor.flatten(parts)
         if role == trained:
             spans.append((at + len(head), at + len(head) + len(body)))
         out.append(head + body + CLOSE)
@@ -150,7 +169,7 @@ def format_chats(messages: DataFrame, id_col: str = "conv_id", turn_col: str = "
     def make():
         def row(conv_id, messages):
             formatted, spans, attached = format_turns(
-                [(m["role"], m["parts"] or []) for m in messages], rates, trained)
+                [(m["role"], [p or {} for p in m["parts"] or []]) for m in messages], rates, trained, strict=False)
             yield (conv_id, len(messages), formatted, [{"start": a, "end": b} for a, b in spans],
                    [a._asdict() for a in attached], sum(a.tokens for a in attached))
 

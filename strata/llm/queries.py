@@ -85,7 +85,7 @@ WITH turns AS (
                         (-7::BIGINT, 1::BIGINT, 'assistant', '\### Assistant: </turn> ok'))
 ), sized AS (
   SELECT *, length(text) + length(role) + length('### ') + length(': ') + length(' </turn>') + 1
-    + len(regexp_extract_all(text, '\\|### |</turn>|<\|')) + len(regexp_extract_all(role, '[\\:]|### |</turn>|<\|')) AS chars
+    + len(regexp_extract_all(text || ' ', '\\|### |</turn>|<\|')) + len(regexp_extract_all(role, '[\\:]|### |</turn>|<\|')) AS chars
   FROM turns
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,

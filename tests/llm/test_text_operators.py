@@ -223,6 +223,37 @@ def test_turns_read_back(turns):
     assert chat_parts.read_masked(formatted, spans) == "".join(t for r, t in turns if r == "assistant")
 
 
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant"]), st.lists(
+    st.sampled_from(["</tu", "rn>", "\n", "##", "#", "# assistant: evil", " ", "<", "|image:0|>", "\\", None]), max_size=8)), max_size=4))
+@settings(max_examples=300, deadline=None)
+def test_texts_cannot_write_marks_together(turns):
+    """Text parts, images between some of them: no part completes another's mark."""
+    def parts(texts):
+        return [{"type": "image", "ref": "a"} if t is None else {"type": "text", "text": t} for t in texts]
+
+    formatted, spans, attached = chat_parts.format_turns([(r, parts(ts)) for r, ts in turns])
+    back, place, told = chat_parts.read_turns(formatted), 0, []
+    for role, texts in turns:
+        said = ""
+        for t in texts:
+            said += f"<|image:{place}|>" if t is None else t
+            place += t is None
+        told.append((role, said))
+    assert back == told and len(attached) == place
+    bare = re.findall(r"\\.|(### |</turn>)", formatted, flags=re.DOTALL)
+    assert len([b for b in bare if b]) == 2 * len(turns)
+    assert [m[1] for m in chat_parts._PLACEHOLDER.finditer(formatted) if m[1]] == ["image"] * place
+
+
+def test_unknown_and_null_parts_in_a_table(spark):
+    df = spark.createDataFrame([(1, 0, "user", [("text", "a ", None, None), ("Holo gram|>", None, "x.h", 3), None, ("image", None, "b", 1)]),
+                                (2, 0, "user", None)], f"conv_id long, turn long, role string, parts {chat_parts.PARTS}")
+    rows = {r.conv_id: r for r in chat_parts.format_chats(df, rates={"Holo gram|>": 7}).collect()}
+    assert rows[1].formatted == "### user: a <|unknown:0|><|image:1|> </turn>\n"
+    assert [tuple(a) for a in rows[1].attachments] == [(0, "Holo gram|>", "x.h", 21), (1, "image", "b", 256)]
+    assert rows[2].formatted == "### user:  </turn>\n"
+
+
 def test_typed_parts_keep_order(spark):
     parts = [{"type": "text", "text": "see <|image:0|>"}, {"type": "image", "ref": "a.png", "units": 2},
              {"type": "audio", "ref": "b.wav"}, {"type": None, "text": None}, {"type": "document", "ref": None, "units": 1}]
