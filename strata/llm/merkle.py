@@ -12,19 +12,25 @@ The likeness of two fingerprints is 1 for equal roots, else the Dice coefficient
 their nodes (roots, sections, leaves).
 
 DataFrame functions only.  Null text counts as empty: its tree is a root alone.  Long texts
-keep to their row.  Following documents are found by ranges of ids of even width, so that no
-task holds the whole order: one shuffle of the texts, and one row per range beyond that.
+keep to their row.  Following documents are found by ranges of ids whose borders are quantiles of
+the ids, so that ranges hold about equally many documents however the ids lie; an id that many
+rows share, and rows without one, are spread over several ranges by a hash of the text.  No task
+holds the whole order: one shuffle of the texts, and one row per range beyond that.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.slices import slice_count
 from strata.session import ensure_checkpoint_dir
 
 PARAGRAPH = r"[^\n.!?]{1,64}[\n.!?]*+|[\n.!?]++"
 SECTION = r"(?=[0-9a-f])(?:[0-9a-f]{15}[2-9a-f])*+(?:[0-9a-f]{15}[01])?"
+SHORT_SECTION = SECTION.replace("15", "7")
 
 
 def node(data: Column) -> Column:
@@ -37,7 +43,7 @@ def leaves(text: Column) -> Column:
 
 
 def shortened(hashes: Column) -> Column:
-    return F.regexp_replace(hashes, "([0-9a-f]{8})[0-9a-f]{8}", "$1")
+    return F.regexp_replace(hashes, "[0-9a-f]{8}([0-9a-f]{8})", "$1")  # the last digit tells where sections end
 
 
 def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
@@ -65,11 +71,26 @@ def likeness(a: Column, b: Column) -> Column:
         2.0 * F.size(F.array_intersect(x, y)) / (F.size(x) + F.size(y) + 2))
 
 
+def level(fingerprint: Column, number: int) -> Column:
+    """The shortened hashes of the sections (2) or leaves (3), in order."""
+    return F.regexp_extract_all(F.split_part(fingerprint, F.lit(":"), F.lit(number)), F.lit("[0-9a-f]{8}"), F.lit(0))
+
+
 def differing_paragraphs(a: Column, b: Column) -> Column:
-    """Numbers of the paragraphs of ``a`` that ``b`` doesn't have."""
-    part = lambda f: F.regexp_extract_all(F.split_part(f, F.lit(":"), F.lit(3)), F.lit("[0-9a-f]{8}"), F.lit(0))
-    there = part(b)
-    return F.filter(F.transform(part(a), lambda x, i: F.when(~F.array_contains(there, x), i)), lambda i: i.isNotNull())
+    """Numbers of the paragraphs of ``a`` that ``b`` doesn't have, from the root down: nothing if the roots are
+    equal, and only the leaves of sections that ``b`` doesn't have are looked at."""
+    groups = F.regexp_extract_all(F.split_part(a, F.lit(":"), F.lit(3)), F.lit(SHORT_SECTION), F.lit(0))
+    section = F.struct(level(b, 2).alias("sections"), level(b, 3).alias("leaves"))
+
+    def descend(there: Column) -> Column:
+        branches = F.transform(F.arrays_zip(level(a, 2).alias("hash"), groups.alias("leaves")), lambda s: F.transform(
+            F.regexp_extract_all(s["leaves"], F.lit("[0-9a-f]{8}"), F.lit(0)),
+            lambda leaf: F.when(~F.array_contains(there["sections"], s["hash"]), leaf)))
+        return F.transform(F.flatten(branches), lambda leaf, i: F.when(
+            leaf.isNotNull() & ~F.array_contains(there["leaves"], leaf), i))
+
+    found = F.transform(F.array(section), lambda there: F.filter(descend(there), lambda i: i.isNotNull()))[0]
+    return F.when(a == b, F.array().cast("array<int>")).otherwise(found)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,16 +99,40 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                             "_text", "fingerprint").select("doc_id", "fingerprint")
 
 
-def with_following(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_range: int = 1024) -> DataFrame:
+def ranges_of(rows: DataFrame, n_ranges: int) -> Column:
+    """The range of each row of (doc_id, text, _hash): never falls along (doc_id, _hash), nulls first."""
+    n_ranges = max(2, min(n_ranges, 4096))
+    places = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
+    n, n_null, borders = rows.agg(F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull()), F.percentile_approx(
+        "doc_id", places, F.lit(10 * n_ranges if n_ranges > 1000 else 10_000))).first()  # as many borders as ranges
+    share = F.shiftright("_hash", 33) / F.lit(float(1 << 31)) + 0.5  # of the hash's values, below this one
+    null_ranges = math.ceil(n_ranges * n_null / n) if n else 0
+    if not borders:
+        return F.floor(share * null_ranges).cast("long")
+    step = math.isqrt(len(borders))
+    blocks = [borders[i:i + step] for i in range(0, len(borders), step)]
+
+    def count(values: list, test) -> Column:  # how many borders of sorted blocks pass: whole blocks, then within the next
+        heads = F.size(F.filter(F.array(*[F.lit(v[-1]) for v in values]), test))
+        inner = F.get(F.array(*[F.array(*map(F.lit, v)) for v in values]), heads)
+        return heads * step + F.coalesce(F.size(F.filter(inner, test)), F.lit(0))
+
+    below = count(blocks, lambda x: x < F.col("doc_id"))
+    upto = count(blocks, lambda x: x <= F.col("doc_id"))
+    # the rows of an id that is a border several times are dealt over the ranges between these
+    mine = F.least(upto, below + F.floor(share * (upto - below + 1)))
+    return F.when(F.col("doc_id").isNull(), F.floor(share * null_ranges) - null_ranges).otherwise(mine).cast("long")
+
+
+def with_following(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_range: int | None = None) -> DataFrame:
     """(doc_id, text, next_text): each document with the text of the next by id, the last with
-    that of the first.  Equal ids go by text; rows without an id come first; null text is empty."""
+    that of the first.  Equal ids go by a hash of the text, then by the text; rows without an id come
+    first; null text is empty.  There are as many ranges as shuffle partitions, or one for ``per_range`` rows."""
     ensure_checkpoint_dir(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    width = 1 if low is None else (high - low) // max(1, n // per_range) + 1
-    number = F.when(F.col("doc_id").isNull(), -1).otherwise(F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(width)))
-    rows = rows.withColumn("_range", number.cast("long"))
-    order = Window.partitionBy("_range").orderBy("doc_id", "text")
+    rows = rows.withColumn("_hash", F.xxhash64("text"))
+    rows = rows.withColumn("_range", ranges_of(rows, -(-rows.count() // per_range) if per_range else slice_count(docs)))
+    order = Window.partitionBy("_range").orderBy("doc_id", "_hash", "text")
     # one row per range, found before the shuffle: a range's last document needs the first of the
     # following range that has any
     firsts = rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("_range", "text").checkpoint()

@@ -431,6 +431,42 @@ def test_fingerprint_edges(spark):
     assert merkle.compare_with_next(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("ids", ["outlier", "clustered", "one id", "no id", "extreme"])
+def test_following_documents_however_the_ids_lie(spark, ids):
+    n, rng = 1200, random.Random(6)
+    number = {"outlier": lambda i: 10 ** 15 if i == 7 else i, "clustered": lambda i: i if i % 2 else 10 ** 12 + i // 3,
+              "one id": lambda i: 5 if i % 3 else i, "no id": lambda i: None if i % 3 else i,
+              "extreme": lambda i: -(1 << 63) if i == 1 else (1 << 63) - 1 if i == 2 else i}[ids]
+    rows = [(number(i), f"text {rng.randrange(10 ** 9)}") for i in range(n)]
+    df = spark.createDataFrame(rows, DOCS)
+    placed = df.withColumn("_hash", F.xxhash64("text"))
+    placed = placed.withColumn("_range", merkle.ranges_of(placed, 24)).collect()
+    assert max(Counter(r._range for r in placed).values()) < n / 6  # no range, so no task, has much more than its share
+    order = sorted(placed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r._hash))
+    assert [r._range for r in order] == sorted(r._range for r in placed)
+    got = {(r.doc_id, r.text): r.next_text for r in merkle.with_following(df, per_range=50).collect()}
+    assert got == {(r.doc_id, r.text): after.text for r, after in zip(order, order[1:] + order[:1])}
+
+
+def test_differing_paragraphs_of_long_texts(spark):
+    """Many sections, edits in a few: what comes down from the root is what a look at all leaves finds."""
+    rng = random.Random(7)
+    rows = []
+    for _ in range(12):
+        a = [f"Sentence {rng.randrange(300)} of many." for _ in range(400)]
+        b = list(a)
+        for _ in range(rng.choice([0, 1, 5, 40])):
+            b[rng.randrange(len(b))] = f"Changed {rng.random()}."
+        if rng.random() < 0.5:
+            b.insert(rng.randrange(len(b)), "Inserted here.")
+        rows.append((" ".join(a), " ".join(b)))
+    df = merkle.with_fingerprint(merkle.with_fingerprint(spark.createDataFrame(rows, "a string, b string"), "a", "fa"), "b", "fb")
+    leaf = re.compile(r"[^\n.!?]{1,64}[\n.!?]*|[\n.!?]+")
+    for r in df.select("a", "b", merkle.differing_paragraphs(F.col("fa"), F.col("fb")).alias("d")).collect():
+        there = set(leaf.findall(r.b))
+        assert r.d == [i for i, p in enumerate(leaf.findall(r.a)) if p not in there]
+
+
 def test_differing_paragraphs(spark):
     df = spark.createDataFrame([("One. Two. Three. Four.", "One. Two. 3. Four.")], "a string, b string")
     df = merkle.with_fingerprint(merkle.with_fingerprint(df, "a", "fa"), "b", "fb")
