@@ -7,7 +7,8 @@ from ``half`` minhashes; a table's key is a pair, one half key of either collect
 probability (1 - (1 - 0.75 ** half) ** m) ** 2: 0.9999 for m = 12, half = 2.
 
 The pairs are formed after the shuffle, which goes by the first half key alone: rows that share
-it with no other are dropped there, and only the rest meet their second half keys.
+it with no other are dropped there, and only the rest meet their second half keys.  Half keys that
+very many share go without this shuffle.
 
 Equal sets are one class from the start, represented by the smallest id.  A bucket of a few
 classes gives all its pairs.  A larger one gives each member's pair with the smallest member.
@@ -131,15 +132,38 @@ def similar_sizes(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def crowd(counts: DataFrame, size: str, total: int) -> DataFrame:
+    """The keys that over a thousandth of all ``total`` rows have: fewer than a thousand, so they are broadcast."""
+    return F.broadcast(counts.where(F.col(size) > total / 1000))
+
+
 def buckets(classes: DataFrame) -> DataFrame:
-    """(a, b, node, n, size, low) of all buckets with two classes or more."""
+    """(a, b, node, n, size, low) of all buckets with two classes or more.
+
+    Rows meet by their first half key, unless over a thousandth of all rows have it: such crowded keys are known
+    from a count that is combined before the shuffle, and their rows stay where they are.  Their buckets are
+    counted in the same way, and the counts go back to the rows, those of crowded buckets by broadcast."""
     rows = classes.select("node", "n", "second", F.explode("first").alias("a"))
-    rows = rows.withColumn("_shared", F.count("*").over(Window.partitionBy("a"))).where("_shared > 1").drop("_shared")
+    keys = rows.groupBy("a").agg(F.count("*").alias("_k")).checkpoint()
+    total = keys.agg(F.coalesce(F.sum("_k"), F.lit(0))).first()[0]
+    apart = rows.join(crowd(keys, "_k", total).select(F.col("a").alias("_crowded")), F.col("a") == F.col("_crowded"), "left")
+
+    usual = apart.where("_crowded IS NULL")
+    usual = usual.withColumn("_shared", F.count("*").over(Window.partitionBy("a"))).where("_shared > 1")
     # keyed by ``a`` already: the second half keys meet without another shuffle
-    rows = rows.select("a", "node", "n", F.explode("second").alias("b"))
+    usual = usual.select("a", "node", "n", F.explode("second").alias("b"))
     bucket = Window.partitionBy("a", "b")
-    return rows.select("*", F.count("*").over(bucket).alias("size"),
-                       F.min(F.struct("node", "n")).over(bucket).alias("low")).where("size > 1")
+    usual = usual.select("*", F.count("*").over(bucket).alias("size"),
+                         F.min(F.struct("node", "n")).over(bucket).alias("low")).where("size > 1")
+
+    crowded = apart.where("_crowded IS NOT NULL").select("a", "node", "n", F.explode("second").alias("b"))
+    sizes = crowded.groupBy("a", "b").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("low"))
+    sizes = sizes.where("size > 1").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "size", "low").checkpoint()
+    same = (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))
+    large = crowded.join(crowd(sizes, "size", total), same, "left")
+    columns = [*usual.columns]
+    rest = large.where("size IS NULL").select("a", "node", "n", "b").join(sizes.where(F.col("size") <= total / 1000), same)
+    return usual.unionByName(large.where("size IS NOT NULL").select(*columns)).unionByName(rest.select(*columns))
 
 
 def first_pairs(found: DataFrame, percent: int) -> DataFrame:
@@ -286,7 +310,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = signatures(rows, m, half).checkpoint()
     classes = (signed.where("doc_id is not null and n_shingles > 0").groupBy("set_id")
                .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("first").alias("first"),
-                    F.first("second").alias("second")))
+                    F.first("second").alias("second"))).checkpoint()
     found = buckets(classes).checkpoint()  # shared keys only: few rows beside all keys
     pairs = first_pairs(found, percent).checkpoint()
     links = confirmed(pairs, rows, percent)
@@ -305,14 +329,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """The documents with one of each group, the smallest id.  Columns stay as they are.  Documents
-    without words or without an id stay; of rows with the same id one stays."""
+    """The documents with one of each group, the smallest id.  Columns stay as they are, whatever their
+    names.  Documents without words or without an id stay; of rows with the same id one stays."""
     found = near_duplicates(docs, id_col, text_col, **parameters)
+    columns = [f"c{i}" for i in range(len(docs.columns))]  # helper columns can't clash with these
+    rows, id_at = docs.toDF(*columns), columns[docs.columns.index(id_col)]
     dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    same = F.col(id_col).cast("long") == F.col("_id")
-    out = docs.join(dropped, same, "left_anti")
+    same = F.col(id_at).cast("long") == F.col("_id")
+    out = rows.join(dropped, same, "left_anti")
     repeated = found.groupBy(F.col("doc_id").alias("_id")).count().where("count > 1 and _id is not null").select("_id")
     if not repeated.isEmpty():
         out = out.join(repeated, same, "left_anti").unionByName(
-            out.join(repeated, same, "left_semi").dropDuplicates([id_col]))
-    return out
+            out.join(repeated, same, "left_semi").dropDuplicates([id_at]))
+    return out.toDF(*docs.columns)

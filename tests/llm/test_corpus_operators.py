@@ -227,6 +227,29 @@ def test_deduplicate_keeps_columns_and_one_of_each(spark):
     assert tensor_minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_deduplicate_with_helper_names_as_columns(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    df = spark.createDataFrame([(1, text), (2, text + " x"), (3, "another text of five words"), (None, None)], DOCS)
+    names = ["_id", "id", "count", "node", "component", "a", "b", "n", "size", "low", "c0", "kept"]
+    for name in names:
+        df = df.withColumn(name, F.lit("x"))
+    out = tensor_minhash.deduplicate(df)
+    assert out.columns == df.columns and {r.doc_id for r in out.collect()} == {1, 3, None}
+
+
+def test_buckets_of_crowded_keys(spark):
+    """A third of all classes under one first half key, half of these in one bucket: the same as by plain counts."""
+    rng = random.Random(9)
+    rows = [(i, 5, [7 if i % 3 == 0 else rng.randrange(4000)], [3 if i % 6 == 0 else rng.randrange(40), 900 + i % 7]) for i in range(6000)]
+    classes = spark.createDataFrame(rows, "node long, n long, first array<long>, second array<int>")
+    got = {(r.a, r.b, r.node): (r.size, r.low.node) for r in tensor_minhash.buckets(classes).collect()}
+    held = defaultdict(list)
+    for node, _, (a,), second in rows:
+        for b in second:
+            held[a, b].append(node)
+    assert got == {(a, b, node): (len(of), min(of)) for (a, b), of in held.items() if len(of) > 1 for node in of}
+
+
 def test_stars_find_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100 + rng.randrange(30), 100 + rng.randrange(30)) for _ in range(25)]
