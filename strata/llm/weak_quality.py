@@ -10,8 +10,9 @@ A linear scorer then learns the weak labels of a bounded sample (``sample`` docu
 with the smallest hashes of id) from hashed features: runs of four character shapes (small,
 capital, digit, space, other marks as they are) and how repetitive the words are.  It scores
 every whole text, also where all labellers are silent or disagree.  A document's score is the
-larger of the scorer's probability and its weak label, so that short clean texts, of which the
-scorer sees little, are kept; it is rejected when the score falls below ``threshold``.
+scorer's probability: the scorer rejects as well as rescues what the weak label thinks of a text.
+Only under ``SHORT`` words, of which it sees too little, the larger of the two counts.  A document
+is rejected when its score falls below ``threshold``.
 
 Null or empty text is rejected with score 0 (nothing to learn from) and takes no part in the
 statistics; a null id is kept as it is; repeated rows count as often as they occur; an empty
@@ -31,13 +32,14 @@ from strata.llm.common import map_rows, ship_package
 
 DIMENSIONS = 2048
 SAMPLE = 4000  # documents the scorer is fitted on
+SHORT = 8  # words
 
 # Fixed list: frequent small words of English, German, French and Spanish.
 STOPWORDS = frozenset(
     "the of and to in is that it for was on are as with at be by this from or an a "
     "der die das und von den dem ein eine ist nicht mit für auf im zu sich des "
     "le la les de et des un une que qui dans par sur est du en pas au avec "
-    "el los las una y que por con para su al no se es lo".encode().decode().split())
+    "el los las una y que por con para su al no se es lo".split())
 _STOP = frozenset(w.encode() for w in STOPWORDS)
 _MARKS = b"#$%&*!|~^<>{}[]\\=_@"
 
@@ -202,7 +204,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample:
     y = np.array([posteriors[r["pattern"]] for r in seen])
     if (y >= 0.5).all() or (y < 0.5).all():
         return QualityModel(labels, posteriors, None, 0.0)
-    x = np.stack([np.frombuffer(r["features"], np.float32) for r in seen])
+    x = np.stack([np.frombuffer(r["features"], np.float32) for r in seen]).astype(np.float64)  # once, not in every step
     w, bias = fit_scorer(x, y)
     return QualityModel(labels, posteriors, w, bias)
 
@@ -219,7 +221,8 @@ def score_text(model: QualityModel, text: str | None) -> tuple[str, float, float
     if model.weights is None:
         return pattern, weak, weak
     margin = float(features(f, data, len(model.weights)) @ model.weights) + model.bias
-    return pattern, weak, max(weak, float(1 / (1 + np.exp(-np.clip(margin, -500, 500)))))
+    score = float(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
+    return pattern, weak, max(weak, score) if f.n_words < SHORT else score
 
 
 def classify(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", text_col: str = "text",

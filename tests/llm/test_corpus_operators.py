@@ -300,6 +300,49 @@ def test_label_model_on_ordinary_labellers(seed):
     assert abs(model.share[1] - 0.12) < 0.02
 
 
+def plain_em(rows, steps):
+    """The same model document by document, with loops."""
+    names, kinds = list(weak_quality.LABELLERS), list(weak_quality.KINDS.values())
+    now = []
+    for row in rows:
+        first = [1.0] + [10.0 ** (2 * sum(row[names.index(m)] == "-" for m in members) - 1) for members in kinds]
+        now.append([p / sum(first) for p in first])
+    for _ in range(steps):
+        share = [(sum(p[c] for p in now) + 1) / (len(rows) + len(now[0])) for c in range(len(now[0]))]
+        table = {}
+        for i in range(len(names)):
+            for c in range(len(share)):
+                held = {v: sum(p[c] for p, row in zip(now, rows) if row[i] == v) + 0.5 for v in "-+"}
+                table[i, c] = {v: held[v] / sum(held.values()) for v in "-+"}
+        now = []
+        for row in rows:
+            p = [s * np.prod([table[i, c][v] for i, v in enumerate(row) if v != "0"]) for c, s in enumerate(share)]
+            now.append([x / sum(p) for x in p])
+    return share, now
+
+
+def test_em_on_patterns_is_em_on_documents():
+    rng = random.Random(11)
+    rows = ["".join(rng.choice("-0+" if rng.random() < 0.5 else "+") for _ in weak_quality.LABELLERS) for _ in range(150)]
+    model = weak_quality.fit_labels(Counter(rows), steps=12)
+    share, now = plain_em(rows, 12)
+    assert np.allclose(model.share, share, atol=1e-6)
+    assert np.allclose([model.posterior(r) for r in rows], [p[0] for p in now], atol=1e-6)
+
+
+def test_the_scorer_decides_but_for_short_texts():
+    """A text that the labellers call good and the scorer bad goes, unless it is short; and the other way round."""
+    text = "a quiet sentence about the garden and the river that runs by"
+    model = weak_quality.fit_labels({"+" * 7: 90, "-" * 7: 10})
+    weights = np.zeros(weak_quality.DIMENSIONS)
+    pattern = weak_quality.votes(weak_quality.facts(text)[0])
+    for posterior, bias in ((0.9, -5.0), (0.1, 5.0)):
+        full = weak_quality.QualityModel(model, {pattern: posterior}, weights, bias)
+        assert weak_quality.score_text(full, text)[1:] == (posterior, pytest.approx(1 / (1 + np.exp(-bias))))
+    short = weak_quality.votes(weak_quality.facts("the end")[0])
+    assert weak_quality.score_text(weak_quality.QualityModel(model, {short: 0.8}, weights, -5.0), "the end")[2] == 0.8
+
+
 def test_classifier_edges(spark):
     df = spark.createDataFrame([(1, None), (None, "A quiet sentence about the garden and the river."), (2, ""), (3, "!!! $$$ %%% ###")], DOCS)
     model = weak_quality.fit(df)
