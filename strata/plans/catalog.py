@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from strata.functions import expr as X
 from strata.operators import canonical, constraints, quality, refint
 from strata.operators.calendar import date_dimension
+from strata.operators.collation import as_stored, compare_as
 from strata.operators.dedupe import duplicate_groups, duplicate_members, first_per_key
 from strata.operators.keys import assign_keys
 from strata.operators.merge import ensure_placeholder, incremental_insert, infer_missing_members, new_rows, upsert_scd1
@@ -43,6 +44,7 @@ from strata.sources.csv_bronze import REJECTED, file_verdicts, good_rows, read_b
 from strata.sources.parts import append_new, compact, upsert_buckets
 from strata.sources.tables import (create_views, current_tables, open_warehouse, preview, publish, read_layer, read_manifest,
                                    unique_version, write_part)
+from strata.sources.trust import validate
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
@@ -327,6 +329,39 @@ def q_pruned_batches(spark, d):
     return read_layer(spark, root, "silver", "orders")
 
 
+def q_trusted_report(spark, d):
+    """Two appended batches of orders, some without a customer or status, checked after each:
+    the second check reads the second batch only and reports on both."""
+    root = _scratch_root(spark)
+    o = table(spark, d, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderstatus")).alias("o_orderstatus"), "o_orderdate")
+    customers = table(spark, d, "customer")
+    checks = {
+        "rows": lambda df: constraints.not_null_rules(df, ["o_custkey", "o_orderstatus"], "orders"),
+        "customer": lambda df: constraints.fk_rule(df, "o_custkey", customers, "c_custkey", "orders", "FK_orders_customer")}
+    early = F.col("o_orderdate") < X.ntz_lit(LOADED_BEFORE)
+    for batch in (early, ~early | F.col("o_orderdate").isNull()):
+        _append(spark, root, o.where(batch), "b")
+        manifest = read_manifest(spark, root)
+        report, facts, _ = validate(spark, root, "silver/orders", checks, "order_key", manifest)
+        publish(spark, root, manifest.number, {}, facts)
+    return report
+
+
+def q_collated_lookup(spark, d):
+    """Each customer's first order and the customer's key, where orders and customers write the
+    customer's id in other cases and with trailing blanks."""
+    number = F.col("o_custkey").cast("string")
+    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("CUST-"), number))
+                                         .otherwise(F.concat(F.lit("Cust-"), number, F.lit("  "))).alias("patient"))
+    c = assign_keys(table(spark, d, "customer").select("c_custkey"), ["c_custkey"], "customer_key")
+    c = c.select("customer_key", F.concat(F.lit("cUsT-"), F.col("c_custkey").cast("string")).alias("id"))
+    first = first_per_key(compare_as(o, "patient"), ["patient"], [("o_orderkey", "asc")])
+    found = refint.lookup_key(first, "patient", compare_as(c, "id"), "id", "customer_key")
+    return as_stored(found).select("o_orderkey", "patient", "customer_key")
+
+
 def q_compacted(spark, d):
     """Orders appended in eight small parts, then compacted: the rows by the manifest before
     and by the one after."""
@@ -834,6 +869,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd1_two_batches": q_scd1_two_batches,
     "pruned_batches": q_pruned_batches,
     "compacted": q_compacted,
+    "trusted_report": q_trusted_report,
+    "collated_lookup": q_collated_lookup,
     "incremental_insert": q_incremental_insert,
     "inferred_members": q_inferred_members,
     "placeholder_member": q_placeholder_member,
