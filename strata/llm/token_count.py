@@ -8,11 +8,17 @@ the change of the token count as its output.  The token that ends at a position
 whose neighbour to the left can stand beside it, i.e. whose pair encodes to itself; such
 sequences are exactly the merges' results.  The sum of the outputs along a word is its count.
 
-A text is cut into chunks.  Within a chunk, words (runs between spaces; no token crosses the
-start of a run) and characters outside the vocabulary (one token per byte) end the state, so a
-chunk's state map is (open head, tokens inside, open tail), or one open part if no run ends in
-it.  These maps compose associatively; a prefix scan, halving the number of maps at each step,
-gives the count of the text.
+A long text is cut into chunks, also within words.  A chunk's state map says, for any state in
+which the machine may enter it, how many tokens are emitted and in which state it leaves.  Between
+characters that no token spans (at least at every start of a run of spaces) the machine starts
+anew whatever came before; so the map is what follows the first such place, which no entry
+changes, and the part before it.  Of that part it keeps the path from the start state: another
+entry is followed only until it meets this path, mostly after a few characters, and has its
+counts from there.  Maps compose associatively; a prefix scan, halving the number of maps at each
+step, gives the count of the text.
+
+The machine has at most ``max_states`` states and begins anew when they are used up, also within
+a word, of which it keeps the last ``longest``.
 
 One map over the rows; word counts are kept in a bounded memo per Python worker.  Null text
 counts as empty, repeated rows give repeated results.
@@ -53,10 +59,12 @@ class CountTransducer:
             raise ValueError("a piece holds a space after other characters: words can't be counted alone")
         self.beside: dict[tuple[str, str], bool] = {}
         self.max_states = max_states
+        self.generation = 0
         self.start()
 
     def start(self) -> None:
         """Only the first state: the start of a word."""
+        self.generation += 1
         #: per state: the token that ends there, the count, the state one character before, characters since the start
         self.token, self.count, self.parent, self.depth = [""], [0], [-1], [0]
         self.tail = [""]  # the last characters, as many as a token can have before the next
@@ -123,16 +131,50 @@ class CountTransducer:
             column.append(value)
         return len(self.token) - 1
 
+    def snapshot(self, state: int) -> list[tuple[str, int, int, str]]:
+        """What the next tokens can see of a state: it and those before it, newest first."""
+        out = []
+        while state > 0 and len(out) < self.longest:
+            out.append((self.token[state], self.count[state], self.depth[state], self.tail[state]))
+            state = self.parent[state]
+        return out
+
+    def enter(self, seen: list[tuple[str, int, int, str]]) -> int:
+        """The state of a snapshot, after the machine began anew."""
+        state = 0 if not seen or seen[-1][2] == 1 else -1
+        for token, count, depth, tail in reversed(seen):
+            for column, value in ((self.token, token), (self.count, count), (self.parent, state), (self.depth, depth),
+                                  (self.tail, tail), (self.moves, {})):
+                column.append(value)
+            state = len(self.token) - 1
+        return max(state, 0)
+
+    def advance(self, state: int, char: str) -> tuple[int, int]:
+        """Next state and change of the count within a part."""
+        if len(self.moves) >= self.max_states:
+            seen = self.snapshot(state)
+            self.start()
+            state = self.enter(seen)
+        return self.moves[state].get(char) or self.step(state, char)
+
     def count_part(self, part: str) -> int:
         """Tokens of characters that the vocabulary has: the outputs along the part's path."""
-        if len(self.moves) > self.max_states:
-            self.start()
         state = total = 0
         for char in part:
-            state, delta = self.moves[state].get(char) or self.step(state, char)
+            state, delta = self.moves[state].get(char) or self.advance(state, char)
             total += delta
         return total
 
+    def anew(self, last: str, char: str) -> bool:
+        """Whether the machine starts anew between two characters, as no token spans them."""
+        return last + char not in self.joined
+
+    def read(self, char: str, state: int, last: str) -> tuple[int, int]:
+        """Next state and change of the count on any character of a text; ``last`` came before it."""
+        if char not in self.known:
+            return 0, len(char.encode())
+        return self.advance(0 if not last or self.anew(last, char) else state, char)
+
     def count_word(self, word: str) -> int:
         """Falls apart where no token spans two neighbours; a character outside the vocabulary
         falls back to its bytes."""
@@ -145,13 +187,27 @@ class CountTransducer:
         return total
 
 
+class Place(NamedTuple):
+    """Where the machine stands after some text: in a state, of which a snapshot outlives the states."""
+
+    state: int
+    generation: int
+    seen: list
+    last: str
+
+
 class ChunkMap(NamedTuple):
-    """What a chunk does to the count, whatever stands around it.  ``tail`` is None if nothing
-    ends in the chunk: then ``head`` is all of it."""
+    """What a chunk does, in whatever state it is entered."""
+
+    head: str  # up to the first place where the machine starts anew; all of it, if there is none
+    marks: list[tuple[int, int]]  # state and count after each of the first characters of the head, entered at the start
+    generation: int  # of these states
+    count: int  # of the head, entered at the start
+    inside: int | None  # tokens after the head, to the end
+    end: Place  # entered at the start, if the head is all
 
-    head: str
-    inside: int
-    tail: str | None
+
+MARKS = 512
 
 
 class TokenCounter:
@@ -165,26 +221,55 @@ class TokenCounter:
     def sum_units(self, text: str) -> int:
         return sum(map(self.words.__getitem__, self.units.findall(text)))
 
+    def place(self, state: int, last: str) -> Place:
+        return Place(state, self.transducer.generation, self.transducer.snapshot(state), last)
+
     def chunk_map(self, text: str) -> ChunkMap:
-        units = self.units.findall(text)
-        if len(units) == 1:
-            return ChunkMap(text, 0, None)
-        return ChunkMap(units[0], sum(map(self.words.__getitem__, units[1:-1])), units[-1])
+        machine = self.transducer
+        border = next((i for i in range(1, len(text)) if machine.anew(text[i - 1], text[i])), len(text))
+        head, rest = text[:border], text[border:]
+        state = total = 0
+        marks, generation, last = [], machine.generation, ""
+        for char in head:
+            state, delta = machine.read(char, state, last)
+            total += delta
+            last = char
+            if len(marks) < MARKS and machine.generation == generation:
+                marks.append((state, total))
+        if not rest:
+            return ChunkMap(head, marks, generation, total, None, self.place(state, last))
+        units = self.units.findall(rest)
+        inside, state, last = sum(map(self.words.__getitem__, units[:-1])), 0, ""
+        for char in units[-1]:
+            state, delta = machine.read(char, state, last)
+            inside += delta
+            last = char
+        return ChunkMap(head, marks, generation, total, inside, self.place(state, last))
+
+    def follow(self, begin: Place, chunk: ChunkMap) -> tuple[int, Place]:
+        """Count and end of a chunk's head, entered at a place."""
+        machine, at_end = self.transducer, chunk.end if chunk.inside is None else None
+        if machine.anew(begin.last, chunk.head[0]):
+            return chunk.count, at_end
+        state = begin.state if begin.generation == machine.generation else machine.enter(begin.seen)
+        total, last = 0, begin.last
+        for i, char in enumerate(chunk.head):
+            state, delta = machine.read(char, state, last)
+            total += delta
+            last = char
+            if i < len(chunk.marks) and machine.generation == chunk.generation and state == chunk.marks[i][0]:
+                return total + chunk.count - chunk.marks[i][1], at_end
+        return total, self.place(state, last)
 
     def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        if a.tail is None:
-            joined = self.chunk_map(a.head + b.head)
-            if b.tail is None:
-                return joined
-            if joined.tail is None:
-                return ChunkMap(joined.head, b.inside, b.tail)
-            return ChunkMap(joined.head, joined.inside + self.sum_units(joined.tail) + b.inside, b.tail)
-        if b.tail is None:
-            joined = self.chunk_map(a.tail + b.head)
-            if joined.tail is None:
-                return ChunkMap(a.head, a.inside, joined.head)
-            return ChunkMap(a.head, a.inside + self.sum_units(joined.head) + joined.inside, joined.tail)
-        return ChunkMap(a.head, a.inside + self.sum_units(a.tail + b.head) + b.inside, b.tail)
+        count, end = self.follow(a.end, b)
+        after = count + (b.inside or 0)
+        end = end if b.inside is None else b.end
+        if a.inside is not None:
+            return a._replace(inside=a.inside + after, end=end)
+        if self.transducer.anew(a.end.last, b.head[0]):
+            return a._replace(inside=after, end=end)
+        return a._replace(head=a.head + b.head, count=a.count + count, inside=b.inside, end=end)
 
     def count(self, text: str) -> int:
         if not text:
@@ -195,8 +280,7 @@ class TokenCounter:
         maps = [self.chunk_map(text[i : i + self.chunk]) for i in range(0, len(text), self.chunk)]
         while len(maps) > 1:
             maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        whole = maps[0]
-        return self.sum_units(whole.head) + whole.inside + self.sum_units(whole.tail or "")
+        return maps[0].count + (maps[0].inside or 0)
 
 
 _COUNTERS: dict[str, TokenCounter] = {}

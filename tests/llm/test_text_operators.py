@@ -3,6 +3,7 @@
 import base64
 import functools
 import hashlib
+import random
 import re
 import time
 
@@ -195,6 +196,42 @@ def test_worse_notices_beside_better_ones(words):
                                        for u, n in re.findall(r"released (\w+) the mit (\w+)", words)]
 
 
+@pytest.mark.parametrize("chunk, states", [(1, 100_000), (7, 100_000), (50, 60), (200, 40)])
+def test_chunk_maps_compose_to_the_whole(chunk, states):
+    """Texts cut anywhere, also within words and between starts of the machine: the counts of the library."""
+    rng = random.Random(chunk)
+    path = public_tokenizers.path(token_count.MODEL)
+    library, tokens = sentencepiece.SentencePieceProcessor(model_file=path), token_count.TokenCounter(path, chunk)
+    tokens.transducer.max_states = states
+    alphabets = ["abcdefgh ", "theranind  .,\n1é🙂ß漢", ["the", "ing", "and", " ", "x", "aaa", "  "], "-", "ab"]
+    for i in range(120):
+        text = "".join(rng.choice(alphabets[i % 5]) for _ in range(rng.randrange(300)))
+        assert tokens.count(text) == len(library.encode(text)), text
+        assert len(tokens.transducer.moves) <= states + tokens.transducer.longest + 1
+
+
+def test_state_maps_do_not_depend_on_how_they_are_composed():
+    tokens = token_count.TokenCounter(public_tokenizers.path(token_count.MODEL), 10)
+    text = token_count.SPACE + "unbrokenlettersthatgoonandon" * 3 + token_count.SPACE + "and" + token_count.SPACE + "another" * 9
+    maps = [tokens.chunk_map(text[i:i + 10]) for i in range(0, len(text), 10)]
+    left = right = None
+    for m in maps:
+        left = m if left is None else tokens.compose(left, m)
+    for m in reversed(maps):
+        right = m if right is None else tokens.compose(m, right)
+    assert left.count + (left.inside or 0) == right.count + (right.inside or 0) == tokens.chunk_map(text).count + tokens.chunk_map(text).inside
+
+
+def test_one_long_varied_word_keeps_the_bound():
+    tokens = token_count.TokenCounter(public_tokenizers.path(token_count.MODEL))
+    tokens.transducer.max_states = 5_000
+    rng = random.Random(1)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(token_count.MODEL))
+    assert tokens.count(word) == len(library.encode(word))
+    assert len(tokens.transducer.moves) <= 5_000 + tokens.transducer.longest + 1
+
+
 @pytest.mark.parametrize("part", ["released under the mit licence x", "licensed undr the mit license", "mit license", "al rights reserved of the foo"])
 def test_long_texts_full_of_notices(part):
     """Twice the text takes about twice the time, and no notice is lost."""
