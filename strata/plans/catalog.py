@@ -21,6 +21,7 @@ where the limit is the feature.
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Callable
 
@@ -40,7 +41,9 @@ from strata.plans import questions as Q
 from strata.plans.silver import silver_encounters, silver_patients, silver_payers, silver_procedures
 from strata import schemas
 from strata.session import ensure_checkpoint_dir
+from strata.sources.audit import load_audit, observed
 from strata.sources.csv_bronze import REJECTED, file_verdicts, good_rows, read_bronze, rejected_rows
+from strata.sources.lookups import us_states
 from strata.sources.parts import append_new, compact, upsert_buckets
 from strata.sources.tables import (create_views, current_tables, open_warehouse, preview, publish, read_layer, read_manifest,
                                    unique_version, write_part)
@@ -539,7 +542,7 @@ def q_gold_fact_encounters(spark, d):
 
 
 def q_gold_fact_procedures(spark, d):
-    return gold_layer(spark, d)["fact_procedures"]
+    return gold_layer(spark, d, ["fact_procedures"])["fact_procedures"]
 
 
 def q_gold_encounter_date(spark, d):
@@ -555,7 +558,7 @@ def q_gold_procedure_date(spark, d):
 
 def _gold_question(name: str):
     def run(spark, d):
-        return Q.gold_questions(gold_layer(spark, d))[name]
+        return Q.gold_questions(gold_layer(spark, d, list(Q.QUESTION_TABLES[name])), names=[name])[name]
 
     return run
 
@@ -741,6 +744,32 @@ def q_load_verdict(spark, d):
     return found
 
 
+def q_load_audit(spark, d):
+    """Suppliers and nations as CSV files, the latter's rows too wide: what the load audit says of
+    writing them as bronze tables, counted while they were written, and per layer."""
+    root, schema, entries = _scratch_root(spark), schemas.BRONZE["payers"], []
+    width = len(schema.fieldNames())
+    for name, key, more in (("supplier", "s_suppkey", 0), ("nation", "n_nationkey", 3)):
+        lines = table(spark, d, name).select(F.concat_ws(",", F.col(key), *[F.lit("x")] * (width - 1 + more)).alias("line"))
+        header = spark.createDataFrame([(",".join(schema.fieldNames()),)], "line string").withColumn("n", F.lit(0))
+        whole = header.unionByName(lines.withColumn("n", F.lit(1))).coalesce(1).sortWithinPartitions("n")
+        whole.select("line").write.text(f"{root}-csv/{name}.csv")
+        begun = time.monotonic()
+        tracked, seen = observed(read_bronze(spark, f"{root}-csv/{name}.csv", schema), f"{name}/{uuid.uuid4().hex}", REJECTED)
+        write_part(tracked, root, "bronze", name, unique_version("a"), partition_by=[REJECTED])
+        rows, rejected = seen.get["rows"], seen.get["rejected"]
+        entries.append(("bronze", name, rows, rows - rejected, rejected, time.monotonic() - begun))
+    return load_audit(spark, entries, BATCH1_TS).where("seconds >= 0").drop("seconds")
+
+
+def q_state_names(spark, d):
+    """Suppliers with the name of a state of the fixed lookup; numbers beyond it have none."""
+    s = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") % 60 + 1).cast("int").alias("state_id"))
+    states = F.broadcast(us_states(spark))  # 50 rows
+    return s.join(states, F.col("state_id") == F.col("StateID"), "left").select(
+        "s_suppkey", F.col("StateName").alias("state_name"), F.col("Abbreviation").alias("abbreviation"))
+
+
 def q_published_view(spark, d):
     """The payers' dimension, published and read by another session through a view of the catalog."""
     root = _scratch_root(spark)
@@ -910,6 +939,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_rows": q_first_rows,
     "load_verdict": q_load_verdict,
     "published_view": q_published_view,
+    "load_audit": q_load_audit,
+    "state_names": q_state_names,
     "q08_bitmap_batches": q08_bitmap_batches,
     "csv_round_trip": q_csv_round_trip,
     "two_batches": q_two_batches,

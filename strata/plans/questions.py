@@ -155,27 +155,43 @@ def most_readmissions(rows: DataFrame, patient: str, k: int = 10) -> DataFrame:
     return per.orderBy(F.col("n_readmissions").desc(), F.col(patient).asc()).limit(k)
 
 
+# the gold tables that each question reads
+QUESTION_TABLES = {
+    "q01_per_year": ("fact_encounters",), "q02_class_share": ("fact_encounters",), "q03_over_24h": ("fact_encounters",),
+    "q04_zero_coverage": (), "q05_top_frequent": ("fact_procedures",), "q06_top_cost": ("fact_procedures",),
+    "q07_claim_by_payer": ("fact_encounters", "dim_payers"), "q08_patients_per_quarter": ("fact_encounters",),
+    "q09_readmitted_30d": ("fact_encounters",), "q10_most_readmissions": ("fact_encounters",),
+}
+
+
 def gold_questions(gold: dict[str, DataFrame], bronze_encounters: DataFrame | None = None,
-                   k: int = 10, classes: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Q1-Q10 over the published gold star schema (``gold_tables`` output).  Q4 needs the
-    bronze encounters, because silver raises a zero coverage to 1."""
-    enc, proc, payers = gold["fact_encounters"], gold["fact_procedures"], gold["dim_payers"]
-    # a code has one canonical description, so grouping by both is grouping by the code
-    stats = code_stats(proc, "procedure_code", "base_procedure_cost", "procedure_description")
-    readmits = readmission_rows(enc, "patient_key", "encounter_start", "encounter_stop",
-                                ["encounter_start", "encounter_key"])
-    out = {
-        "q01_per_year": encounters_per_year(enc, "encounter_start"),
-        "q02_class_share": class_share(enc, "encounter_start", "encounterclass"),
-        "q03_over_24h": duration_share(enc, "encounter_start", "encounter_stop", 24.0),
-        "q05_top_frequent": top_codes(stats, "procedure_code", "n_procedures", k),
-        "q06_top_cost": top_codes(stats, "procedure_code", "avg_base_cost", k),
-        "q07_claim_by_payer": avg_by_member(enc, "payer_key", "total_claim_cost", payers, "payer_key",
-                                            "payer_key", "payer_name"),
-        "q08_patients_per_quarter": distinct_per_quarter(enc, "encounter_start", "patient_key", "encounterclass", classes),
-        "q09_readmitted_30d": readmission_summary(readmits, "patient_key"),
-        "q10_most_readmissions": most_readmissions(readmits, "patient_key", k),
+                   k: int = 10, classes: Sequence[str] | None = None, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Q1-Q10, or those of ``names``, over the published gold star schema (``gold_tables`` output; only the
+    tables of ``QUESTION_TABLES`` are needed).  Q4 needs the bronze encounters, because silver raises a zero
+    coverage to 1; it is left out without them."""
+    def enc() -> DataFrame:
+        return gold["fact_encounters"]
+
+    def stats() -> DataFrame:
+        # a code has one canonical description, so grouping by both is grouping by the code
+        return code_stats(gold["fact_procedures"], "procedure_code", "base_procedure_cost", "procedure_description")
+
+    def readmits() -> DataFrame:
+        return readmission_rows(enc(), "patient_key", "encounter_start", "encounter_stop", ["encounter_start", "encounter_key"])
+
+    wanted = [n for n in sorted(names or QUESTION_TABLES) if n != "q04_zero_coverage" or bronze_encounters is not None]
+    both = readmits() if {"q09_readmitted_30d", "q10_most_readmissions"} & set(wanted) else None  # sliced once for both
+    make = {
+        "q01_per_year": lambda: encounters_per_year(enc(), "encounter_start"),
+        "q02_class_share": lambda: class_share(enc(), "encounter_start", "encounterclass"),
+        "q03_over_24h": lambda: duration_share(enc(), "encounter_start", "encounter_stop", 24.0),
+        "q04_zero_coverage": lambda: zero_share(bronze_encounters, "PAYER_COVERAGE"),
+        "q05_top_frequent": lambda: top_codes(stats(), "procedure_code", "n_procedures", k),
+        "q06_top_cost": lambda: top_codes(stats(), "procedure_code", "avg_base_cost", k),
+        "q07_claim_by_payer": lambda: avg_by_member(enc(), "payer_key", "total_claim_cost", gold["dim_payers"], "payer_key",
+                                                    "payer_key", "payer_name"),
+        "q08_patients_per_quarter": lambda: distinct_per_quarter(enc(), "encounter_start", "patient_key", "encounterclass", classes),
+        "q09_readmitted_30d": lambda: readmission_summary(both, "patient_key"),
+        "q10_most_readmissions": lambda: most_readmissions(both, "patient_key", k),
     }
-    if bronze_encounters is not None:
-        out["q04_zero_coverage"] = zero_share(bronze_encounters, "PAYER_COVERAGE")
-    return dict(sorted(out.items()))
+    return {name: make[name]() for name in wanted}
