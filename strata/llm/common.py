@@ -1,5 +1,6 @@
 """Helpers the operators of this folder share: reading, shipping the package to Python
-workers, per-row Arrow maps, and a bounded memo."""
+workers, per-row Arrow maps, lookups in a table of which some rows are asked for very often, and
+a bounded memo."""
 
 from __future__ import annotations
 
@@ -11,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -65,6 +67,29 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[..., Iterat
     return df.mapInArrow(run, schema)
 
 
+def lookup(rows: DataFrame, keys: dict[str, str], table: DataFrame, values: list[str], asked: str, total: int) -> DataFrame:
+    """``rows`` with the ``values`` of the row of ``table`` whose keys (table's -> rows') agree, null without one.
+    ``asked`` says how many rows ask for a row of ``table``: what over a thousandth of all ``total`` ask for are
+    fewer than a thousand rows, so these are broadcast, and the rows they serve are not shuffled."""
+    named = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(v).alias(f"_v_{v}") for v in values],
+                         F.lit(True).alias("_hit"), F.col(asked).alias("_asked"))
+    limit = total / 1000
+    hot, rest = (named.where(c).drop("_asked") for c in (F.col("_asked") > limit, F.col("_asked") <= limit))
+
+    def same():
+        cond = F.lit(True)
+        for k, mine in keys.items():
+            cond &= F.col(f"_k_{k}") == F.col(mine)
+        return cond
+
+    def done(df: DataFrame) -> DataFrame:
+        return df.select(*rows.columns, *[F.col(f"_v_{v}").alias(v) for v in values])
+
+    first = rows.join(F.broadcast(hot), same(), "left")
+    return done(first.where("_hit")).unionByName(
+        done(first.where("_hit IS NULL").select(*rows.columns).join(rest, same(), "left")))
+
+
 class Memo(dict):
     """A dict that computes missing values.  Once it holds ``bound`` of them, it keeps them as
     the old generation, from which what is still asked for moves over, and forgets the one

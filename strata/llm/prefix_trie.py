@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ship_package
+from strata.llm.common import lookup, ship_package
 from strata.operators.slices import running_in_key, slice_count
 from strata.session import ensure_checkpoint_dir
 
@@ -252,29 +252,6 @@ def shard_nodes(turns: DataFrame, shard_turns: int = SHARD_TURNS, num_partitions
     return ranged.mapInArrow(_shards_of(_carried(ranged), shard_turns), _SHARD_NODES)
 
 
-def _lookup(rows: DataFrame, keys: dict[str, str], table: DataFrame, values: list[str], asked: str, total: int) -> DataFrame:
-    """``rows`` with the ``values`` of the row of ``table`` whose keys (table's -> rows') agree, null without one.
-    ``asked`` says how many rows ask for a row of ``table``: what over a thousandth of all ``total`` ask for are
-    fewer than a thousand rows, so these are broadcast, and the rows they serve are not shuffled."""
-    named = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(v).alias(f"_v_{v}") for v in values],
-                         F.lit(True).alias("_hit"), F.col(asked).alias("_asked"))
-    limit = total / 1000
-    hot, rest = (named.where(c).drop("_asked") for c in (F.col("_asked") > limit, F.col("_asked") <= limit))
-
-    def same():
-        cond = F.lit(True)
-        for k, mine in keys.items():
-            cond &= F.col(f"_k_{k}") == F.col(mine)
-        return cond
-
-    def done(df: DataFrame) -> DataFrame:
-        return df.select(*rows.columns, *[F.col(f"_v_{v}").alias(v) for v in values])
-
-    first = rows.join(F.broadcast(hot), same(), "left")
-    return done(first.where("_hit")).unionByName(
-        done(first.where("_hit IS NULL").select(*rows.columns).join(rest, same(), "left")))
-
-
 def _path_totals(paths: DataFrame, names: list[str]) -> DataFrame:
     """Sums over each path and all that hang on it, by pointer doubling: after round k a path holds the sums of
     all within 2**k steps below it, and points 2**k steps up."""
@@ -289,7 +266,7 @@ def _path_totals(paths: DataFrame, names: list[str]) -> DataFrame:
         summed = state.join(below, F.col("conv") == F.col("_to"), "left")
         up = summed.where("_asked IS NOT NULL").select("conv", F.col("to").alias("next"), "_asked")
         summed = summed.select("conv", "above", "top", *[(F.col(n) + F.coalesce(f"_s_{n}", F.lit(0))).alias(n) for n in names], "to")
-        moved = _lookup(summed, {"conv": "to"}, up, ["next"], "_asked", total)
+        moved = lookup(summed, {"conv": "to"}, up, ["next"], "_asked", total)
         state = moved.select("conv", "above", "top", *names, F.col("next").alias("to")).checkpoint()
 
 
@@ -307,7 +284,7 @@ def trie(turns: DataFrame, shard_turns: int = SHARD_TURNS, num_partitions: int |
     nodes = nodes.drop("_lo", "_hi", "_depth").fillna(0, ["n_children", "_single"]).checkpoint()
     parents = nodes.where("n_children > 0").select("lo", "hi", (F.col("depth") + 1).alias("level"), F.col("conv").alias("parent"),
                                                    F.col("n_children").alias("asked"))
-    nodes = _lookup(nodes, {"lo": "up_lo", "hi": "up_hi", "level": "depth"}, parents, ["parent"], "asked", total)
+    nodes = lookup(nodes, {"lo": "up_lo", "hi": "up_hi", "level": "depth"}, parents, ["parent"], "asked", total)
     nodes = nodes.select("conv", "depth", "parent", "n_convs", "n_children", "_single", "words", "ends_sha256").checkpoint()
 
     shared = nodes.where("n_convs > 1").withColumns({

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_rows
+from strata.llm.common import lookup, map_rows
 from strata.session import ensure_checkpoint_dir
 
 WORDS = 5
@@ -132,11 +132,6 @@ def similar_sizes(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def crowd(counts: DataFrame, size: str, total: int) -> DataFrame:
-    """The keys that over a thousandth of all ``total`` rows have: fewer than a thousand, so they are broadcast."""
-    return F.broadcast(counts.where(F.col(size) > total / 1000))
-
-
 def buckets(classes: DataFrame) -> DataFrame:
     """(a, b, node, n, size, low) of all buckets with two classes or more.
 
@@ -146,7 +141,8 @@ def buckets(classes: DataFrame) -> DataFrame:
     rows = classes.select("node", "n", "second", F.explode("first").alias("a"))
     keys = rows.groupBy("a").agg(F.count("*").alias("_k")).checkpoint()
     total = keys.agg(F.coalesce(F.sum("_k"), F.lit(0))).first()[0]
-    apart = rows.join(crowd(keys, "_k", total).select(F.col("a").alias("_crowded")), F.col("a") == F.col("_crowded"), "left")
+    crowded = F.broadcast(keys.where(F.col("_k") > total / 1000).select(F.col("a").alias("_crowded")))  # fewer than a thousand
+    apart = rows.join(crowded, F.col("a") == F.col("_crowded"), "left")
 
     usual = apart.where("_crowded IS NULL")
     usual = usual.withColumn("_shared", F.count("*").over(Window.partitionBy("a"))).where("_shared > 1")
@@ -158,12 +154,10 @@ def buckets(classes: DataFrame) -> DataFrame:
 
     crowded = apart.where("_crowded IS NOT NULL").select("a", "node", "n", F.explode("second").alias("b"))
     sizes = crowded.groupBy("a", "b").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("low"))
-    sizes = sizes.where("size > 1").select(F.col("a").alias("_a"), F.col("b").alias("_b"), "size", "low").checkpoint()
-    same = (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b"))
-    large = crowded.join(crowd(sizes, "size", total), same, "left")
-    columns = [*usual.columns]
-    rest = large.where("size IS NULL").select("a", "node", "n", "b").join(sizes.where(F.col("size") <= total / 1000), same)
-    return usual.unionByName(large.where("size IS NOT NULL").select(*columns)).unionByName(rest.select(*columns))
+    sizes = sizes.where("size > 1").checkpoint()
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    crowded = lookup(crowded, {"a": "a", "b": "b"}, sizes, ["size", "low"], "size", total).where("size IS NOT NULL")
+    return usual.unionByName(crowded.select(*usual.columns))
 
 
 def first_pairs(found: DataFrame, percent: int) -> DataFrame:
@@ -225,12 +219,16 @@ def separate_members(found: DataFrame, labels: DataFrame) -> DataFrame:
     per first half key; active are those outside the commonest component there."""
     large = found.where(F.col("size") > SMALL_BUCKET).select("a", "b", "node")
     rows = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (rows.groupBy("a", "b").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-             .where("_low < _high").select("a", "b"))
-    rows = rows.join(mixed, ["a", "b"]).groupBy("a", "node").agg(F.first("component").alias("component"))
+    mixed = (rows.groupBy("a", "b").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_n"))
+             .where("_low < _high").select("a", "b", "_n", F.lit(True).alias("_mixed")).checkpoint())
+    total = mixed.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    rows = lookup(rows, {"a": "a", "b": "b"}, mixed, ["_mixed"], "_n", total).where("_mixed")
+    rows = rows.groupBy("a", "node").agg(F.first("component").alias("component")).checkpoint()
     main = (rows.groupBy("a", "component").agg(F.count("*").alias("_k"))
-            .groupBy("a").agg(F.max(F.struct("_k", "component"))["component"].alias("_main")))
-    return rows.join(main, "a").select("a", "node", "component", (F.col("component") != F.col("_main")).alias("active"))
+            .groupBy("a").agg(F.max(F.struct("_k", "component"))["component"].alias("_main"), F.sum("_k").alias("_n")).checkpoint())
+    total = main.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    rows = lookup(rows, {"a": "a"}, main, ["_main"], "_n", total)
+    return rows.select("a", "node", "component", (F.col("component") != F.col("_main")).alias("active"))
 
 
 def spanning_links(asked, there, percent: int) -> list[tuple[int, int]]:
@@ -285,12 +283,14 @@ def remaining_links(members: DataFrame, docs: DataFrame, percent: int, m: int, h
     sets = map_rows(docs.join(ids, "doc_id", "left_semi"), "node long, n long, hashes binary, first array<long>", make).checkpoint()
     sized = members.join(sets.select("node", "n"), "node")
     parts = lambda n: F.ceil(F.sum(n) / CELL_SHINGLES).cast("int")
-    blocks = sized.groupBy("a").agg(parts(F.when(F.col("active"), F.col("n"))).alias("_asked"), parts(F.col("n")).alias("_there"))
-    rows = members.join(blocks, "a").where("_asked > 0")
+    blocks = sized.groupBy("a").agg(parts(F.when(F.col("active"), F.col("n"))).alias("_for"), parts(F.col("n")).alias("_there"),
+                                    F.count("*").alias("_n")).checkpoint()
+    total = blocks.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    rows = lookup(members, {"a": "a"}, blocks, ["_for", "_there"], "_n", total).where("_for > 0")
     number = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asked = rows.where("active").select("a", "node", "component", number("_asked").alias("i"), every("_there").alias("j"))
-    there = rows.select("a", "node", "component", every("_asked").alias("i"), number("_there").alias("j"))
+    asked = rows.where("active").select("a", "node", "component", number("_for").alias("i"), every("_there").alias("j"))
+    there = rows.select("a", "node", "component", every("_for").alias("i"), number("_there").alias("j"))
 
     def search(asked, there):
         links = spanning_links(asked, there, percent) if len(asked) and len(there) else []
