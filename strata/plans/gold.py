@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from strata import schemas
 from strata.operators import constraints as C
 from strata.operators.calendar import date_dimension
+from strata.sources.trust import Checks
 
 # The columns declared NOT NULL and the declared widths of texts.
 DATE_PARTS = ["full_date", "calendar_year", "calendar_quarter", "calendar_month", "calendar_day", "day_of_week",
@@ -40,17 +41,21 @@ def gold_tables(silver: Mapping[str, DataFrame], names: Sequence[str] | None = N
     return {name: make[name]() for name in names or make}
 
 
-def gold_constraint_report(gold: Mapping[str, DataFrame]) -> DataFrame:
+def _encounter_keys(g: Mapping[str, DataFrame], facts: DataFrame) -> list[DataFrame]:
+    return [C.fk_rule(facts, fk, g[dim], fk, "fact_encounters", f"FK_encounters_{name}")
+            for fk, dim, name in (("date_key", "dim_encounter_date", "date"), ("patient_key", "dim_patients", "patient"),
+                                  ("payer_key", "dim_payers", "payer"))]
+
+
+def gold_constraint_report(gold: Mapping[str, DataFrame], without: Sequence[str] = ()) -> DataFrame:
     """Six foreign keys (the procedure date points at the procedure date dimension),
-    the primary keys, the NOT NULL columns and the declared widths."""
+    the primary keys, the NOT NULL columns and the declared widths.  The rules of the tables
+    ``without`` are left out (``encounter_checks`` has those of the encounters)."""
     g = gold
-    rules = [
-        C.fk_rule(g["fact_encounters"], "date_key", g["dim_encounter_date"], "date_key", "fact_encounters",
-                  "FK_encounters_date"),
-        C.fk_rule(g["fact_encounters"], "patient_key", g["dim_patients"], "patient_key", "fact_encounters",
-                  "FK_encounters_patient"),
-        C.fk_rule(g["fact_encounters"], "payer_key", g["dim_payers"], "payer_key", "fact_encounters",
-                  "FK_encounters_payer"),
+    rules = []
+    if "fact_encounters" not in without:
+        rules += _encounter_keys(g, g["fact_encounters"])
+    rules += [
         C.fk_rule(g["fact_procedures"], "date_key", g["dim_procedure_date"], "date_key", "fact_procedures",
                   "FK_procedures_date"),
         C.fk_rule(g["fact_procedures"], "patient_key", g["dim_patients"], "patient_key", "fact_procedures",
@@ -58,12 +63,17 @@ def gold_constraint_report(gold: Mapping[str, DataFrame]) -> DataFrame:
         C.fk_rule(g["fact_procedures"], "encounter_key", g["fact_encounters"], "encounter_key", "fact_procedures",
                   "FK_procedures_encounter"),
     ]
-    for name, key in [("dim_payers", "payer_key"), ("dim_patients", "patient_key"),
-                      ("dim_encounter_date", "date_key"), ("fact_encounters", "encounter_key"),
-                      ("dim_procedure_date", "date_key"), ("fact_procedures", "procedure_key")]:
-        rules.append(C.pk_rule(g[name], [key], name, f"PK_{name}"))
-    for name, columns in NOT_NULL.items():
-        rules.append(C.not_null_rules(g[name], columns, name))
-    for name, limits in WIDTHS.items():
-        rules.append(C.length_rules(g[name], limits, name))
+    keys = [("dim_payers", "payer_key"), ("dim_patients", "patient_key"), ("dim_encounter_date", "date_key"),
+            ("fact_encounters", "encounter_key"), ("dim_procedure_date", "date_key"), ("fact_procedures", "procedure_key")]
+    rules += [C.pk_rule(g[name], [key], name, f"PK_{name}") for name, key in keys if name not in without]
+    rules += [C.not_null_rules(g[name], columns, name) for name, columns in NOT_NULL.items() if name not in without]
+    rules += [C.length_rules(g[name], limits, name) for name, limits in WIDTHS.items() if name not in without]
     return C.constraint_report(rules)
+
+
+def encounter_checks(gold: Mapping[str, DataFrame]) -> Checks:
+    """The encounters' rules but the primary key, for validation part by part: their dimensions never lose members."""
+    name = "fact_encounters"
+    return {"FK_encounters": lambda part: C.constraint_report(_encounter_keys(gold, part)),
+            "NOT NULL": lambda part: C.not_null_rules(part, NOT_NULL[name], name),
+            "LENGTH": lambda part: C.length_rules(part, WIDTHS[name], name)}

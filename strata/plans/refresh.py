@@ -8,7 +8,9 @@ one that is run again with the same stamp, touches nothing that is published.
 
 Encounters are appended: a refresh writes the new ones only, as one part more, and looks for
 known ids only in the parts whose ids meet the batch's.  Patients are kept in buckets by a hash
-of their id: a refresh rewrites the buckets in which a patient changed or is new.  ``maintain``
+of their id: a refresh rewrites the buckets in which a patient changed or is new.  The gold facts
+of encounters grow by the new part of silver, and their rules are checked on new parts only.
+``maintain``
 merges what many refreshes have appended and removes what no kept manifest names.
 """
 
@@ -18,16 +20,18 @@ import datetime as dt
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.operators.constraints import assert_constraints
-from strata.plans.gold import gold_constraint_report, gold_tables
+from strata.plans.gold import encounter_checks, gold_constraint_report, gold_tables
 from strata.plans.silver import PATIENT_TRACKED, clean_encounters, clean_patients, silver_payers, silver_procedures
 from strata.sources.audit import load_audit, observed
 from strata.sources.csv_bronze import MAX_ERRORS, REJECTED, assert_accepted, good_rows, read_bronze_table
 from strata.sources.parts import Change, append_new, compact, expire, upsert_buckets, write_measured
-from strata.sources.tables import (Facts, Tables, create_views, open_views, open_warehouse, publish, read_manifest,
+from strata.sources.tables import (Facts, Manifest, Tables, create_views, open_views, open_warehouse, publish, read_manifest,
                                    read_parts, unique_version, write_part)
+from strata.sources.trust import validate
 
 BRONZE_TABLES = ("payers", "patients", "encounters", "procedures")
 # the silver table each gold table is made from
@@ -51,6 +55,10 @@ class Attempt:
         before, self.since = self.since, time.monotonic()
         return self.since - before
 
+    def manifest(self) -> Manifest:
+        """What would be published now."""
+        return Manifest(self.published.number, self.published.tables | self.tables, self.published.facts | self.facts)
+
     def rows_out(self, table: str) -> int:
         return self.counts[table][1]
 
@@ -110,9 +118,19 @@ def run_refresh(spark: SparkSession, src_dir: str, root: str, batch_ts: dt.datet
         silver_procedures(bronze["procedures"], silver["patients"], "patient_id", silver["encounters"], "encounter_id"),
         "silver", "procedures", came["procedures"])
 
-    gold = {name: attempt.write(df, "gold", name, attempt.rows_out(f"silver/{GOLD_SOURCE[name]}"))
-            for name, df in gold_tables(silver).items()}
-    report = gold_constraint_report(gold)
+    # facts of encounters never change: the part that was added to silver becomes one part more of gold
+    before = published.get("gold/fact_encounters", [])
+    added = read_parts(spark, root, encounters.written) if before else silver["encounters"]
+    part, facts = write_measured(gold_tables({"encounters": added}, ["fact_encounters"])["fact_encounters"], root, "gold",
+                                 "fact_encounters", attempt.version, ["encounter_key", "encounter_start"])
+    gold = {"fact_encounters": attempt.take(Change("gold/fact_encounters", [*before, part], facts, [part]),
+                                            attempt.rows_out("silver/encounters"))}
+    gold |= {name: attempt.write(df, "gold", name, attempt.rows_out(f"silver/{GOLD_SOURCE[name]}"))
+             for name, df in gold_tables(silver, [n for n in GOLD_SOURCE if n not in gold]).items()}
+    checked, facts, _ = validate(spark, root, "gold/fact_encounters", encounter_checks(gold), "encounter_key", attempt.manifest())
+    attempt.facts |= facts
+    report = gold_constraint_report(gold, without=["fact_encounters"]).unionByName(checked, allowMissingColumns=True).orderBy(
+        F.col("kind").desc(), "table_name", "rule")
     assert_constraints(report)  # raises before anything is published
 
     audit = load_audit(spark, [(*table.split("/"), *counts) for table, counts in attempt.counts.items()], batch_ts)
@@ -131,7 +149,7 @@ def maintain(spark: SparkSession, root: str, keep: int = 7, min_age_seconds: flo
     manifests and remove the folders that none of them names.  Returns the written and the removed folders."""
     manifest = read_manifest(spark, root)
     tables, facts, written = {}, {}, []
-    for table in ("silver/encounters", "audit/loads"):
+    for table in ("silver/encounters", "gold/fact_encounters", "audit/loads"):
         change = compact(spark, root, table, unique_version("compact"), fan, least, manifest=manifest)
         if change.written:
             tables |= change.tables()

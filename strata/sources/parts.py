@@ -185,6 +185,15 @@ def _tier(rows: int, least: int, fan: int) -> int:
     return 0 if rows <= least else int(math.log(rows / least, fan) + 1e-9) + 1
 
 
+def _added(counts) -> list[list]:
+    """Sums of [rule, kind, violating rows] over parts."""
+    out: dict[tuple[str, str], int] = {}
+    for part in counts:
+        for rule, kind, n in part:
+            out[rule, kind] = out.get((rule, kind), 0) + n
+    return [[rule, kind, n] for (rule, kind), n in out.items()]
+
+
 def compact(spark: SparkSession, root: str, table: str, version: str, fan: int = 4, least: int = 100_000,
             rows_per_file: int = 5_000_000, manifest: Manifest | None = None) -> Change:
     """Merge parts of one size tier (rows, in powers of ``fan`` above ``least``) wherever a tier, or a bucket's,
@@ -208,6 +217,9 @@ def compact(spark: SparkSession, root: str, table: str, version: str, fan: int =
             columns = set.intersection(*(set(facts[f][side]) for f in small))
             values = {c: [v for f in small if (v := facts[f][side][c]) is not None] for c in sorted(columns)}
             merged[side] = {c: best(v) if v else None for c, v in values.items()}
+        checks = [facts[f].get("checks", {}) for f in small]
+        both = set.intersection(*(set(c) for c in checks))  # what was counted of all parts adds up, but for keys
+        merged["checks"] = {g: _added(c[g] for c in checks) for g in sorted(both) if not g.startswith("PK_")}
         if BUCKET in facts[small[0]]:
             merged[BUCKET] = facts[small[0]][BUCKET]
         at = change.folders.index(small[0])

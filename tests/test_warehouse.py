@@ -7,9 +7,9 @@ import shutil
 import pytest
 
 from strata import cli
-from strata.operators.constraints import length_rules, not_null_rules, unique_rule
+from strata.operators.constraints import ConstraintViolation, length_rules, not_null_rules, unique_rule
 from strata.operators.sequence import next_in_key, running_max_before
-from strata.plans import refresh
+from strata.plans import gold, refresh
 from strata.plans.refresh import run_refresh
 from strata.sources import tables
 from strata.sources.csv_bronze import LoadRejected
@@ -150,6 +150,31 @@ def test_only_changed_buckets_of_patients_are_written(spark, loaded):
     assert {r[1]: r[0] for r in silver(spark, root)} == {"pat-1": 1, "pat-2": 2, "pat-3": 3, "pat-4": 4}
 
 
+def test_gold_encounters_grow_and_only_the_new_part_is_checked(spark, loaded):
+    root = copy(loaded, "growing")
+    first = tables.read_manifest(spark, root)
+    out = run_refresh(spark, str(loaded / "src2"), root, TS2)
+    now = tables.read_manifest(spark, root)
+    assert now.tables["gold/fact_encounters"][:-1] == first.tables["gold/fact_encounters"]
+    assert all("PK_fact_encounters" in now.facts[f]["checks"] for f in now.tables["gold/fact_encounters"])
+    report = {r.rule: r for r in out["report"].collect()}
+    for rule in ("FK_encounters_patient", "NN_encounter_start", "LEN_reason_code", "PK_fact_encounters"):
+        assert (report[rule].ok, report[rule].n_parts, report[rule].trusted_parts) == (True, 2, 1)
+    assert report["FK_procedures_patient"].n_parts is None  # a table written as a whole is checked as a whole
+    facts, whole = tables.read_layer(spark, root, "gold", "fact_encounters"), tables.read_layer(spark, root, "silver", "encounters")
+    assert sorted(map(tuple, facts.collect()), key=str) == sorted(map(tuple, whole.select(*facts.columns).collect()), key=str)
+
+
+def test_a_broken_rule_of_new_encounters_publishes_nothing(spark, loaded, monkeypatch):
+    root = copy(loaded, "rule")
+    listed = tables.current_tables(spark, root)
+    with monkeypatch.context() as m:
+        m.setitem(gold.WIDTHS, "fact_encounters", {"encounter_code": 0})
+        with pytest.raises(ConstraintViolation, match="fact_encounters.LEN_encounter_code: 1"):
+            run_refresh(spark, str(loaded / "src2"), root, TS2)  # the first part is trusted, the new one has one row
+    assert tables.current_tables(spark, root) == listed
+
+
 def test_maintenance_between_refreshes(spark, loaded):
     """Compaction changes no row; views of an older manifest's reader last as long as it is kept; answers stay."""
     root = copy(loaded, "maintained")
