@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from strata.plans.gold import gold_tables  # noqa: E402
 from strata.plans.questions import gold_questions  # noqa: E402
 from strata.plans.refresh import maintain, run_refresh  # noqa: E402
 from strata.session import build_session  # noqa: E402
