@@ -219,11 +219,9 @@ def separate_members(found: DataFrame, labels: DataFrame) -> DataFrame:
     per first half key; active are those outside the commonest component there."""
     large = found.where(F.col("size") > SMALL_BUCKET).select("a", "b", "node")
     rows = large.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (rows.groupBy("a", "b").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_n"))
-             .where("_low < _high").select("a", "b", "_n", F.lit(True).alias("_mixed")).checkpoint())
-    total = mixed.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    rows = lookup(rows, {"a": "a", "b": "b"}, mixed, ["_mixed"], "_n", total).where("_mixed")
-    rows = rows.groupBy("a", "node").agg(F.first("component").alias("component")).checkpoint()
+    mixed = (rows.groupBy("a", "b").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+             .where("_low < _high").select("a", "b"))
+    rows = rows.join(mixed, ["a", "b"]).groupBy("a", "node").agg(F.first("component").alias("component")).checkpoint()
     main = (rows.groupBy("a", "component").agg(F.count("*").alias("_k"))
             .groupBy("a").agg(F.max(F.struct("_k", "component"))["component"].alias("_main"), F.sum("_k").alias("_n")).checkpoint())
     total = main.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
