@@ -90,7 +90,21 @@ class CountTransducer:
         return self.beside[pair]
 
     def step(self, state: int, char: str) -> tuple[int, int]:
-        """The next state and the change of the count; made when first asked for."""
+        """The next state and the change of the count; made when first asked for.  If there are no more states
+        to be had, the machine begins anew and goes on from what the next tokens can see of this one."""
+        if len(self.moves) >= self.max_states:
+            seen = self.snapshot(state)
+            self.start()
+            state = self.enter(seen)
+            if char in self.moves[state]:
+                return self.moves[state][char]
+        if char not in self.known:  # falls back to its bytes
+            self.moves[state][char] = 0, len(char.encode())
+            return self.moves[state][char]
+        if state and self.anew(self.tail[state][-1], char):
+            found = self.moves[0].get(char) or self.step(0, char)
+            self.moves[state][char] = found
+            return found
         text, depth = self.tail[state] + char, self.depth[state] + 1
         before, back = state, 1
         token, count = "", 0
@@ -149,19 +163,11 @@ class CountTransducer:
             state = len(self.token) - 1
         return max(state, 0)
 
-    def advance(self, state: int, char: str) -> tuple[int, int]:
-        """Next state and change of the count within a part."""
-        if len(self.moves) >= self.max_states:
-            seen = self.snapshot(state)
-            self.start()
-            state = self.enter(seen)
-        return self.moves[state].get(char) or self.step(state, char)
-
     def count_part(self, part: str) -> int:
-        """Tokens of characters that the vocabulary has: the outputs along the part's path."""
+        """Tokens of a text: the outputs along its path."""
         state = total = 0
         for char in part:
-            state, delta = self.moves[state].get(char) or self.advance(state, char)
+            state, delta = self.moves[state].get(char) or self.step(state, char)
             total += delta
         return total
 
@@ -169,23 +175,6 @@ class CountTransducer:
         """Whether the machine starts anew between two characters, as no token spans them."""
         return last + char not in self.joined
 
-    def read(self, char: str, state: int, last: str) -> tuple[int, int]:
-        """Next state and change of the count on any character of a text; ``last`` came before it."""
-        if char not in self.known:
-            return 0, len(char.encode())
-        return self.advance(0 if not last or self.anew(last, char) else state, char)
-
-    def count_word(self, word: str) -> int:
-        """Falls apart where no token spans two neighbours; a character outside the vocabulary
-        falls back to its bytes."""
-        total = begin = 0
-        for i in range(1, len(word) + 1):
-            if i == len(word) or word[i - 1 : i + 1] not in self.joined:
-                part = word[begin:i]
-                total += self.count_part(part) if part[0] in self.known else len(part.encode())
-                begin = i
-        return total
-
 
 class Place(NamedTuple):
     """Where the machine stands after some text: in a state, of which a snapshot outlives the states."""
@@ -215,7 +204,7 @@ class TokenCounter:
         self.transducer = CountTransducer(path)
         stop = "" if "\n" in self.transducer.known else "\n"
         self.units = re.compile(f"{SPACE}+[^{SPACE}{stop}]*|[^{SPACE}{stop}]+" + (f"|{stop}" if stop else ""))
-        self.words = Memo(self.transducer.count_word)
+        self.words = Memo(self.transducer.count_part)
         self.chunk = chunk
 
     def sum_units(self, text: str) -> int:
@@ -231,7 +220,7 @@ class TokenCounter:
         state = total = 0
         marks, generation, last = [], machine.generation, ""
         for char in head:
-            state, delta = machine.read(char, state, last)
+            state, delta = machine.moves[state].get(char) or machine.step(state, char)
             total += delta
             last = char
             if len(marks) < MARKS and machine.generation == generation:
@@ -241,7 +230,7 @@ class TokenCounter:
         units = self.units.findall(rest)
         inside, state, last = sum(map(self.words.__getitem__, units[:-1])), 0, ""
         for char in units[-1]:
-            state, delta = machine.read(char, state, last)
+            state, delta = machine.moves[state].get(char) or machine.step(state, char)
             inside += delta
             last = char
         return ChunkMap(head, marks, generation, total, inside, self.place(state, last))
@@ -254,7 +243,7 @@ class TokenCounter:
         state = begin.state if begin.generation == machine.generation else machine.enter(begin.seen)
         total, last = 0, begin.last
         for i, char in enumerate(chunk.head):
-            state, delta = machine.read(char, state, last)
+            state, delta = machine.moves[state].get(char) or machine.step(state, char)
             total += delta
             last = char
             if i < len(chunk.marks) and machine.generation == chunk.generation and state == chunk.marks[i][0]:
