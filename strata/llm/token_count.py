@@ -42,7 +42,7 @@ SPACE = "▁"  # the mark that stands for a space inside pieces
 
 
 class CountTransducer:
-    def __init__(self, path: str, max_states: int = 100_000):
+    def __init__(self, path: str, max_states: int = 400_000):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         special = lambda i: model.IsControl(i) or model.IsUnknown(i) or model.IsByte(i) or model.IsUnused(i)
         self.rank = {model.IdToPiece(i): -model.GetScore(i) for i in range(model.GetPieceSize()) if not special(i)}
