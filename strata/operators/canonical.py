@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.collation import as_stored, collated_like
 from strata.operators.dedupe import first_per_key
 
 
@@ -13,11 +14,12 @@ def canonical_description(df: DataFrame, code: str, description: str) -> DataFra
 
     Length ignores trailing blanks; a NULL description sorts first and therefore wins
     (as in the source, where ``ORDER BY LEN(d)`` puts NULL first); equal lengths are
-    broken by the description text.  No DISTINCT pass is needed: the top-1 window is
-    pre-limited map-side (partial ``WindowGroupLimit``), so each code -- codes are few
-    and hot -- leaves every map task as a single row.
+    broken by the description text.  The pairs are made distinct first, by a hash aggregate
+    combined map-side: the window's sort then sees the few pairs, not every row.
     """
-    ranked = df.select(code, description, F.length(F.rtrim(F.col(description))).alias("_len"))
+    pairs = df.select(code, description)
+    pairs = collated_like(as_stored(pairs).distinct(), pairs.schema)
+    ranked = pairs.select(code, description, F.length(F.rtrim(F.col(description))).alias("_len"))
     best = first_per_key(ranked, [code], [("_len", "asc"), (description, "asc")])
     return best.select(code, description)
 

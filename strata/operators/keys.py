@@ -3,16 +3,16 @@
 ``assign_keys`` numbers rows 1..n (or from ``start``) in the order of a natural key:
 
 1. range-partition the rows into ``num_partitions`` slices of the order key and sort
-   inside each slice (one shuffle, spread over all tasks), then ``checkpoint()`` that
-   result to the shared ``spark.checkpoint.dir``;
-2. count rows per slice (a hash aggregate over the checkpoint: one row per slice) and
+   inside each slice (one shuffle, spread over all tasks), then store that result, with
+   each row's slice and place in it as a column, in the shared ``spark.checkpoint.dir``;
+2. count rows per slice (a hash aggregate over that one column: one row per slice) and
    turn the counts into running offsets.  The offsets are as many as the slices -- a
    number chosen by the caller, not a property of the data -- so they are brought to
    the driver and applied as an array literal;
 3. key = start + offset[slice] + position of the row inside its slice.  No join and
    no window over the data.
 
-The checkpoint matters for correctness: the counted slices and the numbered slices
+The stored copy matters for correctness: the counted slices and the numbered slices
 must be the same rows in the same order.  Two separately planned range exchanges would
 each sample their own bounds; one written copy cannot disagree with itself, and a task
 re-run after a lost executor reads the same slice, so keys never change.  Keys are
@@ -26,7 +26,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import stored
+
+_PLACE = "_place_in_order"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -44,9 +46,10 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_name: str, start: int |
     """
     n = _partitions(df, num_partitions)
     sort_cols = [F.col(c).asc_nulls_first() for c in order]
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols).checkpoint(eager=True)
-    per_slice = dict(ranged.groupBy(F.spark_partition_id().alias("p")).count().collect())  # <= n rows
+    ranged = stored(df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+                    .withColumn(_PLACE, F.monotonically_increasing_id()))
+    pid = F.shiftright(_PLACE, 33)
+    per_slice = dict(ranged.groupBy(pid.alias("p")).count().collect())  # <= n rows
     # the range exchange makes at most n slices (fewer when the data has few distinct keys)
     slices = max([n] + [p + 1 for p in per_slice])
     offsets, running = [], 0
@@ -54,9 +57,8 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_name: str, start: int |
         offsets.append(running)
         running += per_slice.get(p, 0)
     first = _resolve_start(start)
-    pid = F.spark_partition_id()
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1) if offsets else F.lit(0)
-    in_slice = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (pid + 1).cast("int")) if offsets else F.lit(0)
+    in_slice = F.col(_PLACE) - F.shiftleft(pid, 33)
     key = (F.lit(first).cast("long") + offset + in_slice).cast(key_type)
     return ranged.select(*[F.col(c) for c in df.columns], key.alias(key_name))
 

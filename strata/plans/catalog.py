@@ -40,7 +40,7 @@ from strata.operators.sequence import next_in_key
 from strata.plans import questions as Q
 from strata.plans.silver import silver_encounters, silver_patients, silver_payers, silver_procedures
 from strata import schemas
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, stored
 from strata.sources.audit import load_audit, observed
 from strata.sources.csv_bronze import REJECTED, file_verdicts, good_rows, read_bronze, rejected_rows
 from strata.sources.lookups import us_states
@@ -483,8 +483,7 @@ def q_silver_encounters(spark, d):
     """Silver encounters through the warehouse's own load: IQR limit over all bronze
     rows, canonical descriptions, patient / payer filters (NULL payer -> placeholder),
     dedupe, key lookups, floors and caps, incremental insert into an empty table."""
-    ensure_checkpoint_dir(spark)
-    bronze = bronze_encounters(spark, d).checkpoint(eager=True)  # bronze is a stored layer
+    bronze = stored(bronze_encounters(spark, d))  # bronze is a stored layer
     patients = silver_patients(bronze_patients(spark, d), None, BATCH1_TS)
     payers = q_silver_payers(spark, d)
     return silver_encounters(bronze, patients, payers, None, BATCH1_TS)
@@ -502,17 +501,16 @@ def bronze_procedures_text_ids(spark: SparkSession, d: str) -> DataFrame:
 def gold_layer(spark: SparkSession, d: str, names: list[str] | None = None) -> dict[str, DataFrame]:
     """The silver -> gold path on the driver tables, as far as the gold tables ``names`` (all by
     default) need it.  Silver is a stored layer: each of its tables is made once and read by
-    everything that follows."""
+    everything that follows (the encounters and procedures are stored with their keys)."""
     from strata.plans.gold import gold_tables
 
-    ensure_checkpoint_dir(spark)
-    silver = {"payers": q_silver_payers(spark, d).checkpoint(),
-              "patients": silver_patients(bronze_patients(spark, d), None, BATCH1_TS).checkpoint()}
-    silver["encounters"] = silver_encounters(bronze_encounters(spark, d).checkpoint(), silver["patients"], silver["payers"],
-                                             None, BATCH1_TS).checkpoint()
+    silver = {"payers": stored(q_silver_payers(spark, d)),
+              "patients": stored(silver_patients(bronze_patients(spark, d), None, BATCH1_TS))}
+    silver["encounters"] = silver_encounters(stored(bronze_encounters(spark, d)), silver["patients"], silver["payers"],
+                                             None, BATCH1_TS)
     if names is None or any("procedure" in n for n in names):
-        silver["procedures"] = silver_procedures(bronze_procedures_text_ids(spark, d).checkpoint(), silver["patients"],
-                                                 "patient_id", silver["encounters"], "encounter_id").checkpoint()
+        silver["procedures"] = silver_procedures(stored(bronze_procedures_text_ids(spark, d)), silver["patients"],
+                                                 "patient_id", silver["encounters"], "encounter_id")
     return gold_tables(silver, names) if names else gold_tables(silver)
 
 
@@ -587,8 +585,7 @@ def q_gold_fact(spark, d):
     encounters = assign_keys(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], "encounter_key")
     # bronze is a stored layer: derive it once (a three-way join here) and let the IQR
     # limit, the canonical descriptions and the main path all read the written copy
-    ensure_checkpoint_dir(spark)
-    bronze = bronze_procedures(spark, d).checkpoint(eager=True)
+    bronze = stored(bronze_procedures(spark, d))
     return silver_procedures(bronze, patients, "c_custkey", encounters, "o_orderkey", birth_date_col=None)
 
 
