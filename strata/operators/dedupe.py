@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.collation import as_stored, collated_like
-from strata.operators.slices import running_in_key
+from strata.operators.slices import running_in_key, slices_for
 
 Order = Sequence[tuple[str, str]]  # (column, "asc" | "desc"); asc = NULLS FIRST, desc = NULLS LAST
 
@@ -68,7 +68,8 @@ def duplicate_members(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     sort = [n for n, _ in complete_order(df.columns, keys, [(o, "asc") for o in order])]
     stored = as_stored(df)  # spellings that a collation takes for equal are different rows
     distinct = collated_like(stored.groupBy(*stored.columns).agg(F.count(F.lit(1)).alias("_n")), df.schema)
-    rows = running_in_key(distinct, keys, sort, {"_upto": "_n"}, {"_rows": "_n"}, num_partitions).where("_rows > 1")
+    rows = running_in_key(distinct, keys, sort, {"_upto": "_n"}, {"_rows": "_n"},
+                          slices_for(df, num_partitions)).where("_rows > 1")
     first = F.col("_upto") - F.col("_n") + 1
     return rows.select(*[F.col(c) for c in df.columns],
                        F.explode(F.sequence(first.cast("int"), F.col("_upto").cast("int"))).alias(number))
