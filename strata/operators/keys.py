@@ -17,18 +17,23 @@ must be the same rows in the same order.  Two separately planned range exchanges
 each sample their own bounds; one written copy cannot disagree with itself, and a task
 re-run after a lost executor reads the same slice, so keys never change.  Keys are
 contiguous and unique even with ties.
+
+``first_in_slices`` and ``number_places`` are the same in two halves, for rows that are first
+reduced to one per natural key: the slices of that key serve the reduction and the numbering,
+so the rows are shuffled and sorted once for both.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.dedupe import Order, first_per_key
 from strata.session import stored
 
-_PLACE = "_place_in_order"
+PLACE = "_place_in_order"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -46,21 +51,42 @@ def assign_keys(df: DataFrame, order: Sequence[str], key_name: str, start: int |
     """
     n = _partitions(df, num_partitions)
     sort_cols = [F.col(c).asc_nulls_first() for c in order]
-    ranged = stored(df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-                    .withColumn(_PLACE, F.monotonically_increasing_id()))
-    pid = F.shiftright(_PLACE, 33)
-    per_slice = dict(ranged.groupBy(pid.alias("p")).count().collect())  # <= n rows
-    # the range exchange makes at most n slices (fewer when the data has few distinct keys)
-    slices = max([n] + [p + 1 for p in per_slice])
+    ranged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+              .withColumn(PLACE, F.monotonically_increasing_id()))
+    return number_places(ranged, key_name, start, key_type)
+
+
+def first_in_slices(df: DataFrame, keys: Sequence[str], order: Order = (), where: Column | None = None,
+                    num_partitions: int | None = None) -> DataFrame:
+    """``dedupe.first_per_key`` inside range slices of ``keys``, of its rows those that pass
+    ``where``, each with its place for ``number_places``.  Rows of one key share a slice and lie in
+    the order of ``keys`` there, so Spark's window needs no other exchange.  Sampling the slices'
+    bounds runs the last stage before them once more, but not the window.  Rows of one key
+    aren't reduced before the exchange, as ``first_per_key`` does: a key with a large share of
+    all rows is sorted by one task (it spills)."""
+    sort_cols = [F.col(c).asc_nulls_first() for c in keys]
+    ranged = df.repartitionByRange(_partitions(df, num_partitions), *sort_cols)
+    first = first_per_key(ranged, keys, order)
+    if where is not None:
+        first = first.where(where)
+    return first.sortWithinPartitions(*sort_cols).withColumn(PLACE, F.monotonically_increasing_id())
+
+
+def number_places(placed: DataFrame, key_name: str, start: int | DataFrame = 1, key_type: str = "long") -> DataFrame:
+    """Store rows that have a place and turn it into the key.  Joins since the place was given must
+    have lost no row."""
+    ranged = stored(placed)
+    pid = F.shiftright(PLACE, 33)
+    per_slice = dict(ranged.groupBy(pid.alias("p")).count().collect())  # one row per slice
     offsets, running = [], 0
-    for p in range(slices):
+    for p in range(max(per_slice, default=0) + 1):  # a slice may be empty
         offsets.append(running)
         running += per_slice.get(p, 0)
     first = _resolve_start(start)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (pid + 1).cast("int")) if offsets else F.lit(0)
-    in_slice = F.col(_PLACE) - F.shiftleft(pid, 33)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), (pid + 1).cast("int"))
+    in_slice = F.col(PLACE) - F.shiftleft(pid, 33)
     key = (F.lit(first).cast("long") + offset + in_slice).cast(key_type)
-    return ranged.select(*[F.col(c) for c in df.columns], key.alias(key_name))
+    return ranged.select(*[F.col(c) for c in placed.columns if c != PLACE], key.alias(key_name))
 
 
 def _resolve_start(start: int | DataFrame) -> int:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from strata.functions.expr import ntz_lit
 from strata.operators.keys import assign_keys, next_key_start
 from strata.operators.refint import keep_new
-from strata.session import ensure_checkpoint_dir
+from strata.session import stored
 
 
 def _typed_lit(value: Any, data_type) -> Column:
@@ -51,7 +51,7 @@ def changed(tracked: Mapping[str, Any], left: str = "t", right: str = "s") -> Co
 
 def scd1_merge(target: DataFrame, source: DataFrame, key: str, tracked: Mapping[str, Any], stamp_col: str,
                batch_ts: Any) -> DataFrame:
-    """``target`` and ``source`` in one full outer join, checkpointed: the target's columns with their values after
+    """``target`` and ``source`` in one full outer join, stored: the target's columns with their values after
     the upsert, ``_new`` (only in the source; its surrogate key is still NULL) and ``_takes`` (new or changed)."""
     types = {f.name: f.dataType for f in target.schema.fields}
     from_source = [c for c in target.columns if c in source.columns and c != stamp_col]
@@ -64,8 +64,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, key: str, tracked: Mapping[
         *[F.when(takes, stamp).otherwise(F.col(f"t.{c}")).alias(c) if c == stamp_col
           else F.when(takes, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in from_source
           else F.col(f"t.{c}").alias(c) for c in target.columns], is_new.alias("_new"), takes.alias("_takes"))
-    ensure_checkpoint_dir(target.sparkSession)
-    return merged.checkpoint()  # read several times: the rows that stay, and the new ones to be numbered
+    return stored(merged)  # read several times: the rows that stay, and the new ones to be numbered
 
 
 def upsert_scd1(target: DataFrame, source: DataFrame, key: str, tracked: Mapping[str, Any],

@@ -483,9 +483,9 @@ def q_silver_encounters(spark, d):
     """Silver encounters through the warehouse's own load: IQR limit over all bronze
     rows, canonical descriptions, patient / payer filters (NULL payer -> placeholder),
     dedupe, key lookups, floors and caps, incremental insert into an empty table."""
-    bronze = stored(bronze_encounters(spark, d))  # bronze is a stored layer
-    patients = silver_patients(bronze_patients(spark, d), None, BATCH1_TS)
-    payers = q_silver_payers(spark, d)
+    bronze = stored(bronze_encounters(spark, d))  # bronze is a stored layer, and so are the dimensions
+    patients = stored(silver_patients(bronze_patients(spark, d), None, BATCH1_TS))
+    payers = stored(q_silver_payers(spark, d))
     return silver_encounters(bronze, patients, payers, None, BATCH1_TS)
 
 

@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 from strata.functions import expr as X
 from strata.operators.canonical import canonical_description
 from strata.operators.dedupe import drop_null_keys, first_per_key
-from strata.operators.keys import assign_keys
+from strata.operators.keys import PLACE, first_in_slices, next_key_start, number_places
 from strata.operators.merge import (UNGUARDED, ensure_placeholder, infer_missing_members, new_rows, upsert_scd1)
 from strata.operators.outliers import cap_outliers, iqr_bounds
+from strata.operators.refint import keep_new
 from strata.sources.lookups import us_states
 from strata import schemas
 
@@ -118,46 +119,65 @@ def _durations(df: DataFrame) -> DataFrame:
     return df.withColumn("_dur", X.minute_diff("START", "STOP"))
 
 
-def clean_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, batch_ts: dt.datetime) -> DataFrame:
-    """IQR limit over all bronze rows; canonical descriptions; RI filters (patient, payer
-    with NULL -> placeholder) and id dedupe up front; derived columns.  One row per encounter,
-    without its surrogate key."""
+def _known_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame) -> DataFrame:
+    """The encounters with an id whose patient and payer (NULL -> placeholder) exist, with their keys.  Patients
+    and payers are unique per id, so an inner join is the semi join *and* the key lookup: one join per dimension."""
     b = trim_ids(bronze, ["Id", "PATIENT", "PAYER", "CODE"])
-    limits = iqr_bounds(_durations(bronze), "_dur")
-    canon = canonical_description(b, "CODE", "DESCRIPTION").withColumnRenamed("DESCRIPTION", "_canon")
     b = b.withColumn("_payer", F.coalesce(F.col("PAYER"), F.lit(PLACEHOLDER_PAYER_ID)))
     b = drop_null_keys(b, ["Id"])
-    # Referential filters before the dedupe.  Patients and payers are unique per id, so
-    # an inner join is the semi join *and* the key lookup: one join per dimension.
     pats = patients.select(F.col("patient_id").alias("_pid"), "patient_key", F.col("birth_date").alias("_birth"))
     pays = payers.select(F.col("payer_id").alias("_yid"), "payer_key")
-    b = b.join(pats, F.col("PATIENT") == F.col("_pid")).join(pays, F.col("_payer") == F.col("_yid"))
-    b = first_per_key(b, ["Id"])
-    j = cap_outliers(_durations(b.join(canon, "CODE")), "_dur", "encounter_duration_min", limits)
+    return b.join(pats, F.col("PATIENT") == F.col("_pid")).join(pays, F.col("_payer") == F.col("_yid"))
+
+
+def _encounter_columns(known: DataFrame, bronze: DataFrame, batch_ts: dt.datetime) -> list[Any]:
+    """``known``, one row per encounter, with canonical descriptions and the IQR limit over all bronze rows; and the
+    silver columns but the surrogate key."""
+    limits = iqr_bounds(_durations(bronze), "_dur")
+    codes = trim_ids(bronze, ["CODE"])
+    canon = canonical_description(codes, "CODE", "DESCRIPTION").withColumnRenamed("DESCRIPTION", "_canon")
+    j = cap_outliers(_durations(known.join(canon, "CODE")), "_dur", "encounter_duration_min", limits)
     money = "decimal(10,2)"
-    src = j.select(
-        F.col("Id").alias("encounter_id"), F.col("START").alias("encounter_start"),
-        F.col("STOP").alias("encounter_stop"), X.date_key("START").alias("date_key"),
-        "encounter_duration_min", "patient_key",
-        X.year_diff("_birth", "START").alias("patient_age_ed"), F.col("ORGANIZATION").alias("organization"),
-        "payer_key", X.title_or("ENCOUNTERCLASS", "Unknown").alias("encounterclass"),
-        F.col("CODE").alias("encounter_code"), F.col("_canon").alias("encounter_description"),
-        X.floor_to_one("BASE_ENCOUNTER_COST", money).alias("base_encounter_cost"),
-        X.floor_to_one("TOTAL_CLAIM_COST", money).alias("total_claim_cost"),
-        X.cap_coverage("PAYER_COVERAGE", "TOTAL_CLAIM_COST", money).alias("payer_coverage"),
-        X.null_to("REASONCODE", "Unknown").alias("reason_code"),
-        X.null_to("REASONDESCRIPTION", "Unknown").alias("reason_description"),
-        X.ntz_lit(batch_ts).alias("recorded_at"))
-    return src.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                        for f in schemas.SILVER_ENCOUNTERS.fields if f.name != "encounter_key"])
+    made = {
+        "encounter_id": F.col("Id"), "encounter_start": F.col("START"),
+        "encounter_stop": F.col("STOP"), "date_key": X.date_key("START"),
+        "patient_age_ed": X.year_diff("_birth", "START"), "organization": F.col("ORGANIZATION"),
+        "encounterclass": X.title_or("ENCOUNTERCLASS", "Unknown"),
+        "encounter_code": F.col("CODE"), "encounter_description": F.col("_canon"),
+        "base_encounter_cost": X.floor_to_one("BASE_ENCOUNTER_COST", money),
+        "total_claim_cost": X.floor_to_one("TOTAL_CLAIM_COST", money),
+        "payer_coverage": X.cap_coverage("PAYER_COVERAGE", "TOTAL_CLAIM_COST", money),
+        "reason_code": X.null_to("REASONCODE", "Unknown"),
+        "reason_description": X.null_to("REASONDESCRIPTION", "Unknown"),
+        "recorded_at": X.ntz_lit(batch_ts)}
+    return [j, [made.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
+                for f in schemas.SILVER_ENCOUNTERS.fields if f.name != "encounter_key"]]
+
+
+def clean_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, batch_ts: dt.datetime) -> DataFrame:
+    """IQR limit over all bronze rows; canonical descriptions; RI filters (patient, payer
+    with NULL -> placeholder) before the id dedupe; derived columns.  One row per encounter,
+    without its surrogate key."""
+    one = first_per_key(_known_encounters(bronze, patients, payers), ["Id"])
+    rows, columns = _encounter_columns(one, bronze, batch_ts)
+    return rows.select(*columns)
 
 
 def new_silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, existing: DataFrame | None,
                           batch_ts: dt.datetime) -> DataFrame:
     """Only the encounters that are not loaded yet, with keys after the last (rows already
-    loaded never change)."""
+    loaded never change): ``clean_encounters`` and ``new_rows``, with one exchange for the dedupe and the keys."""
     target = existing if existing is not None else _empty(bronze.sparkSession, schemas.SILVER_ENCOUNTERS)
-    return new_rows(target, clean_encounters(bronze, patients, payers, batch_ts), "encounter_id", "encounter_key")
+    if bronze.schema["Id"].dataType != T.StringType():  # ids that don't sort as the stored text does
+        return new_rows(target, clean_encounters(bronze, patients, payers, batch_ts), "encounter_id", "encounter_key")
+    known = _known_encounters(bronze, patients, payers)
+    if existing is not None:
+        known = keep_new(known, existing, "Id", "encounter_id")
+    # a row without a code has no canonical description and is lost with it
+    placed = first_in_slices(known, ["Id"], where=F.col("CODE").isNotNull())
+    rows, columns = _encounter_columns(placed, bronze, batch_ts)
+    keyed = number_places(rows.select(PLACE, *columns), "encounter_key", next_key_start(target, "encounter_key"))
+    return keyed.select(*target.columns)
 
 
 def silver_encounters(bronze: DataFrame, patients: DataFrame, payers: DataFrame, existing: DataFrame | None,
@@ -179,16 +199,18 @@ def silver_procedures(bronze: DataFrame, patients: DataFrame, patient_id_col: st
     keep = [c for c in ["START", "STOP", "PATIENT", "ENCOUNTER", "CODE", "DESCRIPTION", "BASE_COST",
                         "REASONCODE", "REASONDESCRIPTION"] if c in b.columns]
     # Referential filters before the dedupe; patients and encounters are unique per id,
-    # so the inner join is both the filter and the key lookup.
+    # so the inner join is both the filter and the key lookup.  A row without a code has no
+    # canonical description and is lost with it.
     pat_cols = [F.col(patient_id_col).alias("_pid"), "patient_key"]
     if birth_date_col:
         pat_cols.append(F.col(birth_date_col).alias("_birth"))
     encs = encounters.select(F.col(encounter_id_col).alias("_eid"), "encounter_key")
-    b = (b.select(*keep).join(patients.select(*pat_cols), F.col("PATIENT") == F.col("_pid"))
+    b = (b.select(*keep).where(F.col("CODE").isNotNull())
+         .join(patients.select(*pat_cols), F.col("PATIENT") == F.col("_pid"))
          .join(encs, F.col("ENCOUNTER") == F.col("_eid")))
     # the looked-up columns depend on PATIENT / ENCOUNTER only, so they cannot change
     # which row of a (START, PATIENT, CODE) group sorts first
-    b = first_per_key(b, ["START", "PATIENT", "CODE"], [("STOP", "desc")])
+    b = first_in_slices(b.drop("_pid", "_eid"), ["START", "PATIENT", "CODE"], [("STOP", "desc")])
     j = cap_outliers(_durations(b.join(canon, "CODE")), "_dur", "procedure_duration_min", limits)
     cols: list[Column] = [
         F.col("START").alias("procedure_start"), F.col("STOP").alias("procedure_stop"),
@@ -201,6 +223,6 @@ def silver_procedures(bronze: DataFrame, patients: DataFrame, patient_id_col: st
     if "REASONCODE" in b.columns:
         cols += [X.null_to("REASONCODE", "Unknown").alias("reason_code"),
                  X.null_to("REASONDESCRIPTION", "Unknown").alias("reason_description")]
-    out = j.select(*cols, F.col("PATIENT").alias("_patient_id"))
-    keyed = assign_keys(out, ["procedure_start", "_patient_id", "procedure_code"], "procedure_key")
-    return keyed.select("procedure_key", *[c for c in out.columns if c != "_patient_id"])
+    out = j.select(*cols, PLACE)
+    keyed = number_places(out, "procedure_key")
+    return keyed.select("procedure_key", *[c for c in out.columns if c != PLACE])
