@@ -26,6 +26,7 @@ from strata.llm.common import Memo, map_rows
 from strata.llm.pretokens import split
 
 RANKS = "byte_bpe_50k.tiktoken"
+BITS = [1 << k for k in range(256)]
 
 
 class RankQueue:
@@ -70,45 +71,98 @@ class BytePairEncoder:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
+        self.byte_ranks = [self.ranks.get(bytes([b])) for b in range(256)]
         self.queue = RankQueue(max(self.ranks.values()) + 1)
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        ranks, n = self.ranks, len(piece)
-        if piece in ranks:
-            return [ranks[piece]]
-        rank_of = ranks.get
-        end = list(range(1, n + 1))  # the token at i is piece[i:end[i]]; 0: merged into its left neighbour
+        rank_of = self.ranks.get
+        whole = rank_of(piece)
+        if whole is not None:
+            return [whole]
+        n = len(piece)
+        last = n - 1
+        ids = [self.byte_ranks[b] for b in piece]  # the rank of the token that begins at i
+        end = list(range(1, n + 1))  # the token at i is piece[i:end[i]]
         before = list(range(-1, n))
+        pair = [rank_of(piece[i : i + 2], -1) for i in range(last)]  # rank of the pair that begins at i; -1: none
+        pair.append(-1)
+        live = n - pair.count(-1)
         queue = self.queue
-        push, pop = queue.push, queue.pop
-        for i in range(n - 1):
-            rank = rank_of(piece[i : i + 2])
-            if rank is not None:
-                push(rank, i)
-        while queue.root:
-            rank, i = pop()
+        words, buckets, root = queue.words, queue.buckets, 0
+        # RankQueue's push and pop, written out: nearly all pieces are short, and calls would cost more than the work
+        for i in range(last):
+            rank = pair[i]
+            if rank >= 0:
+                bucket = buckets.get(rank)
+                if bucket is not None:
+                    bucket.append(i)  # ascending: a heap already
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> 8
+                    words[word] |= BITS[rank & 255]
+                    root |= 1 << word
+        while live > 0:
+            first = root & -root
+            word = first.bit_length() - 1
+            bits = words[word]
+            lowest = bits & -bits
+            rank = word << 8 | (lowest.bit_length() - 1)
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                words[word] = bits = bits ^ lowest
+                if not bits:
+                    root ^= first
+            if pair[i] != rank:
+                continue  # stale: one of the two has grown or was merged into its left neighbour
             middle = end[i]
-            if not middle or middle >= n:
-                continue  # stale: merged into its left neighbour, or nothing stands to the right any more
             right = end[middle]
-            if rank_of(piece[i:right]) != rank:
-                continue  # stale: one of the two has grown
-            end[i], end[middle] = right, 0
+            ids[i], end[i] = rank, right
+            live -= 1
+            if pair[middle] >= 0:
+                pair[middle] = -1
+                live -= 1
             if right < n:
                 before[right] = i
-                rank = rank_of(piece[i : end[right]])
-                if rank is not None:
-                    push(rank, i)
+                new = pair[i] = rank_of(piece[i : end[right]], -1)
+                if new >= 0:
+                    live += 1
+                    bucket = buckets.get(new)
+                    if bucket is not None:
+                        heappush(bucket, i)
+                    else:
+                        buckets[new] = [i]
+                        word = new >> 8
+                        words[word] |= BITS[new & 255]
+                        root |= 1 << word
+            else:
+                pair[i] = -1
             left = before[i]
             if left >= 0:
-                rank = rank_of(piece[left:right])
-                if rank is not None:
-                    push(rank, left)
-        ids, i = [], 0
+                if pair[left] >= 0:
+                    live -= 1
+                new = pair[left] = rank_of(piece[left:right], -1)
+                if new >= 0:
+                    live += 1
+                    bucket = buckets.get(new)
+                    if bucket is not None:
+                        heappush(bucket, left)
+                    else:
+                        buckets[new] = [left]
+                        word = new >> 8
+                        words[word] |= BITS[new & 255]
+                        root |= 1 << word
+        for rank in buckets:  # only stale entries are left
+            words[rank >> 8] = 0
+        buckets.clear()
+        out, i = [], 0
         while i < n:
-            ids.append(ranks[piece[i : end[i]]])
+            out.append(ids[i])
             i = end[i]
-        return ids
+        return out
 
     def encode(self, text: str) -> list[int]:
         return [i for piece in split(text) for i in self.encode_piece(piece.encode())]
